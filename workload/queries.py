@@ -28,7 +28,7 @@ AS_OF = given.AS_OF
 
 
 def rounded(df: DataFrame) -> DataFrame:
-    """Doubles to three digits, so that the order of floating-point sums does not show."""
+    """Doubles of aggregates to three digits, so that the order of floating-point sums does not show."""
     return df.select(
         *[F.round(f"`{c}`", DIGITS).alias(c) if kind == "double" else F.col(f"`{c}`") for c, kind in df.dtypes]
     )
@@ -281,7 +281,7 @@ def weekend_traffic(i):
 
 @query
 def fact_sessions(i):
-    return rounded(i.sessions())
+    return i.sessions()
 
 
 @query
@@ -337,22 +337,22 @@ def funnel_step_rates(i):
 
 @query
 def fact_ad_spend_google(i):
-    return rounded(i.google())
+    return i.google()
 
 
 @query
 def fact_ad_spend_meta(i):
-    return rounded(spend.fact_ad_spend_meta(given.meta_insights(i.spark, i.folder)))
+    return spend.fact_ad_spend_meta(given.meta_insights(i.spark, i.folder))
 
 
 @query
 def fact_ad_spend(i):
-    return rounded(i.spend())
+    return i.spend()
 
 
 @query
 def raw_ad_spend(i):
-    return rounded(spend.raw_spend(given.landed_spend(i.spark, i.folder)))
+    return spend.raw_spend(given.landed_spend(i.spark, i.folder))
 
 
 @query
@@ -716,7 +716,7 @@ def incremental_sessions(i):
     since = date(2024, 1, 23)
     recent = staging.stg_events(raw, given.SITE, since=since)
     replace_recent(facts.fact_sessions(recent), path, since, "date", facts.CLUSTER)
-    return rounded(i.spark.read.parquet(path))
+    return i.spark.read.parquet(path)
 
 
 @query
@@ -785,7 +785,7 @@ def stream_fact_sessions(i):
     fact = work_path(i.spark, "stream-fact")
     raw = jobs.event_stream(i.spark, _stored_events(i))
     jobs.refresh_session_fact(raw, work_path(i.spark, "store"), fact, work_path(i.spark, "checkpoint"), given.SITE).awaitTermination()
-    return rounded(i.spark.read.parquet(fact))
+    return i.spark.read.parquet(fact)
 
 
 def queries() -> dict[str, Query]:
