@@ -12,8 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from martlight.functions.columns import any_of
-
 
 @dataclass(frozen=True)
 class Site:
@@ -25,6 +23,23 @@ class Site:
     app_login: str = "mymob"
 
 
+def quoted(text: str) -> str:
+    return "r'" + text + "'"
+
+
+def like_test(column: str, pattern: str) -> str:
+    """LIKE as a SQL condition.
+
+    A pattern with the one-character wildcard needs a regular expression at run time; a plain search for
+    its longest literal part goes first, so that the expression runs on few rows only.
+    """
+    test = f"{column} LIKE {quoted(pattern)}"
+    if "_" not in pattern:
+        return test
+    part = max(pattern.replace("_", "%").split("%"), key=len)
+    return f"(contains({column}, {quoted(part)}) AND {test})"
+
+
 @dataclass(frozen=True)
 class Rule:
     """One label. ``equals``/``like``/``like_any_case``/``regex`` test the main column.
@@ -42,30 +57,29 @@ class Rule:
     or_medium_like: tuple[str, ...] = ()
     or_null: bool = False
 
-    def condition(self, main: Column, medium: Column | None) -> Column:
+    def condition(self, main: str, medium: str | None) -> str:
         tests = []
         if self.equals:
-            tests.append(main.isin(*self.equals))
-        tests += [main.like(pattern) for pattern in self.like]
-        tests += [F.lower(main).like(pattern) for pattern in self.like_any_case]
-        tests += [main.rlike(pattern) for pattern in self.regex]
+            tests.append(f"{main} IN ({', '.join(quoted(value) for value in self.equals)})")
+        tests += [like_test(main, pattern) for pattern in self.like]
+        tests += [like_test(f"lower({main})", pattern) for pattern in self.like_any_case]
+        tests += [f"{main} RLIKE {quoted(pattern)}" for pattern in self.regex]
         if self.or_medium:
-            tests.append(medium.isin(*self.or_medium))
-        tests += [medium.like(pattern) for pattern in self.or_medium_like]
+            tests.append(f"{medium} IN ({', '.join(quoted(value) for value in self.or_medium)})")
+        tests += [like_test(medium, pattern) for pattern in self.or_medium_like]
         if self.or_null:
-            tests.append(main.isNull())
-        if self.medium is not None:
-            same = medium == self.medium
-            return any_of(*tests) & same if tests else same
-        return any_of(*tests)
+            tests.append(f"{main} IS NULL")
+        either = " OR ".join(tests)
+        if self.medium is None:
+            return either
+        same = f"{medium} = {quoted(self.medium)}"
+        return f"({either}) AND {same}" if tests else same
 
 
-def label_column(rules: tuple[Rule, ...], main: Column, medium: Column | None = None, default: str = "Other") -> Column:
-    (first, *rest) = rules
-    labels = F.when(first.condition(main, medium), F.lit(first.label))
-    for rule in rest:
-        labels = labels.when(rule.condition(main, medium), F.lit(rule.label))
-    return labels.otherwise(F.lit(default))
+def label_column(rules: tuple[Rule, ...], main: str, medium: str | None = None, default: str = "Other") -> Column:
+    """One CASE expression over all rules, in order."""
+    branches = " ".join(f"WHEN {rule.condition(main, medium)} THEN {quoted(rule.label)}" for rule in rules)
+    return F.expr(f"CASE {branches} ELSE {quoted(default)} END")
 
 
 def source_rules(site: Site) -> tuple[Rule, ...]:
@@ -215,19 +229,19 @@ CHANNEL_GROUPS = tuple(rule.label for rule in channel_rules()) + ("Other",)
 
 
 def source_clean(site: Site, source: str = "source", medium: str = "medium") -> Column:
-    return label_column(source_rules(site), F.col(source), F.col(medium))
+    return label_column(source_rules(site), source, medium)
 
 
 def channel_group(source: str = "source", medium: str = "medium") -> Column:
-    return label_column(channel_rules(), F.col(source), F.col(medium))
+    return label_column(channel_rules(), source, medium)
 
 
 def product_category(site: Site, page: str = "page_location") -> Column:
-    return label_column(product_rules(site), F.col(page))
+    return label_column(product_rules(site), page)
 
 
 def bank_channel_group(source: str = "acquired_source", medium: str = "acquired_medium") -> Column:
-    return label_column(bank_channel_rules(), F.lower(F.col(source)), F.lower(F.col(medium)))
+    return label_column(bank_channel_rules(), f"lower({source})", f"lower({medium})")
 
 
 def channel_type(group: Column) -> Column:

@@ -90,13 +90,8 @@ def contract_metrics(staged: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
     sessions = Distinct(F.col("session_id"), {"sessions": None})
     joined = Distinct(F.expr("concat(user_pseudo_id, cast(session_id as string))"), {"user_sessions": None})
     pairs = Distinct(F.expr("concat(user_pseudo_id, ' ', cast(session_id as string))"), {"session_pairs": None})
-    counts = distinct_counts(staged, key_columns, [users, sessions, joined, pairs])
-    views = staged.groupBy(*keys).agg(F.count_if(event == "page_view").alias("pageviews"))
-    if keys:
-        same = [counts[k].eqNullSafe(views[k]) for k in keys]
-        both = counts.join(views, same, "inner").select(*[counts[c] for c in counts.columns], views["pageviews"])
-    else:
-        both = counts.crossJoin(F.broadcast(views))
+    views = {"pageviews": F.when(event == "page_view", 1).otherwise(0)}
+    both = distinct_counts(staged, key_columns, [users, sessions, joined, pairs], views)
     return both.select(
         *both.columns,
         ratio(F.col("registrations"), F.col("sessions"), 100).alias("session_to_registration_pct"),

@@ -32,15 +32,22 @@ def _bits(conditions: dict[str, Column | None]) -> Column:
     return reduce(add, bits)
 
 
-def distinct_counts(df: DataFrame, keys: dict[str, Column], distincts: list[Distinct]) -> DataFrame:
+def distinct_counts(
+    df: DataFrame, keys: dict[str, Column], distincts: list[Distinct], sums: dict[str, Column] | None = None
+) -> DataFrame:
     """Distinct counts per key combination; every combination in ``df`` gets a row, as in GROUP BY.
 
-    With several ids each row is tagged once per id, not once per count.
+    With several ids each row is tagged once per id, not once per count. ``sums`` adds plain sums to the
+    same pass; they ride on the rows of the first id.
     """
+    sums = sums or {}
     key_columns = [column.alias(name) for name, column in keys.items()]
     ids = [
         F.struct(
-            F.lit(tag).alias("_tag"), d.id.cast("string").alias("_id"), _bits(d.counts).alias("_bits")
+            F.lit(tag).alias("_tag"),
+            d.id.cast("string").alias("_id"),
+            _bits(d.counts).alias("_bits"),
+            *[(value.cast("long") if tag == 0 else F.lit(0).cast("long")).alias(name) for name, value in sums.items()],
         )
         for tag, d in enumerate(distincts)
     ]
@@ -48,12 +55,13 @@ def distinct_counts(df: DataFrame, keys: dict[str, Column], distincts: list[Dist
         tagged = df.select(*key_columns, ids[0].alias("_one")).select(*keys, "_one.*")
     else:
         tagged = df.select(*key_columns, F.inline(F.array(*ids)))
-    per_id = tagged.groupBy(*keys, "_tag", "_id").agg(F.bit_or("_bits").alias("_bits"))
+    per_id = tagged.groupBy(*keys, "_tag", "_id").agg(
+        F.bit_or("_bits").alias("_bits"), *[F.sum(name).alias(name) for name in sums]
+    )
     counts = [
-        F.count_if(
-            (F.col("_tag") == tag) & F.col("_id").isNotNull() & (F.col("_bits").bitwiseAND(F.lit(1 << n).cast("long")) != 0)
-        ).alias(name)
+        F.expr(f"count_if(_tag = {tag} AND _id IS NOT NULL AND (_bits & {1 << n}L) <> 0)").alias(name)
         for tag, d in enumerate(distincts)
         for n, name in enumerate(d.counts)
     ]
-    return per_id.groupBy(*keys).agg(*counts)
+    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums]
+    return per_id.groupBy(*keys).agg(*counts, *totals)

@@ -73,6 +73,17 @@ def replace_recent(df: DataFrame, path: str, since: date, partition: str = "date
         empty.write.mode("overwrite").parquet(f"{path}/{partition}={day.isoformat()}")
 
 
+def replace_days(df: DataFrame, path: str, partition: str = "date", cluster: tuple[str, ...] = ()) -> None:
+    """Replace exactly the days that occur in ``df``; creates the table where it does not exist."""
+    (
+        _laid_out(df, partition, cluster)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(partition)
+        .parquet(path)
+    )
+
+
 def append_new(df: DataFrame, path: str, keys: tuple[str, ...]) -> None:
     """Append the rows whose key the table does not have yet."""
     spark = df.sparkSession

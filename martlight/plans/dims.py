@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlight.functions.calendar import HOLIDAYS, calendar_columns
-from martlight.functions.classify import channel_category, channel_type, is_paid
+from martlight.functions.classify import Site, channel_category, channel_group, channel_type, is_paid, source_clean
 from martlight.sources.readers import date_spine
 
 
@@ -22,12 +22,23 @@ def dim_date(
     return date_spine(spark, start, end, bounds).select(*calendar_columns(F.col("date"), holidays))
 
 
-def dim_channel(staged: DataFrame) -> DataFrame:
+def channel_pairs(raw: DataFrame, site: Site = Site()) -> DataFrame:
+    """Distinct (source, channel) pairs of raw events.
+
+    Reads two fields of the events and classifies distinct traffic sources instead of events.
+    """
+    sources = raw.select(
+        F.col("traffic_source.source").alias("source"), F.col("traffic_source.medium").alias("medium")
+    ).distinct()
+    return sources.select(source_clean(site).alias("source_clean"), channel_group().alias("channel_group")).distinct()
+
+
+def dim_channel(events: DataFrame) -> DataFrame:
     """Distinct (source, channel) pairs with their groupings.
 
     The classifiers allow at most 24 x 21 pairs, so numbering them in one partition is safe.
     """
-    pairs = staged.select("source_clean", "channel_group").distinct()
+    pairs = events.select("source_clean", "channel_group").distinct()
     number = F.row_number().over(Window.orderBy("channel_group", "source_clean"))
     group = F.col("channel_group")
     return pairs.select(

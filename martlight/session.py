@@ -14,6 +14,9 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # The classifiers are long CASE expressions. Generated methods above this size are never compiled by the
+    # JVM and run several times slower; below the limit Spark splits them instead of fusing the whole stage.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -6,6 +6,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from martlight.sources import schemas
 
@@ -47,7 +48,7 @@ def ad_spend(spark: SparkSession, path: str) -> DataFrame:
 
 def typed_csv(spark: SparkSession, path: str, schema: str, separator: str = ",") -> DataFrame:
     """A CSV file with a header; columns are matched by name, absent optional ones are NULL."""
-    wanted = spark.createDataFrame([], schema).schema
+    wanted = StructType.fromDDL(schema)
     present = spark.read.option("header", True).option("sep", separator).csv(path).columns
     text = spark.read.option("header", True).option("sep", separator).option("enforceSchema", False).csv(
         path, schema=", ".join(f"`{name}` string" for name in present)
@@ -107,7 +108,7 @@ def date_spine(spark: SparkSession, start: Column | date, end: Column | date, so
 
 def literal_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:
     """A small constant table as part of the plan, so it needs neither a file nor the driver's memory."""
-    fields = spark.createDataFrame([], schema).schema.fields
+    fields = StructType.fromDDL(schema).fields
     structs = [
         F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(row, fields)])
         for row in rows

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlight.functions.classify import Site
-from martlight.operators.sinks import path_exists, replace_recent, replace_table
+from martlight.operators.sinks import replace_days
 from martlight.plans import facts
 from martlight.plans.staging import stg_events
 from martlight.sources import schemas
@@ -54,10 +54,11 @@ def sessions(staged: DataFrame) -> DataFrame:
     )
 
 
-def write_table(frame: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
+def write_final(frame: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Append the rows the watermark has made final; state of older rows is dropped."""
     return (
         frame.writeStream.format("parquet")
-        .outputMode(mode)
+        .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
@@ -65,43 +66,23 @@ def write_table(frame: DataFrame, path: str, checkpoint: str, mode: str = "appen
     )
 
 
-def write_state(frame: DataFrame, path: str, checkpoint: str, mode: str = "complete") -> StreamingQuery:
-    """Each micro-batch replaces the result table; for aggregates whose rows change until they are final."""
-
-    def save(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
-
-    return (
-        frame.writeStream.foreachBatch(save)
-        .outputMode(mode)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-
-
 def refresh_session_fact(raw: DataFrame, store: str, fact_path: str, checkpoint: str, site: Site = Site()) -> StreamingQuery:
     """Keep the session fact exact while events arrive.
 
     Each micro-batch is added to the stored raw events under its batch number, so a repeated batch replaces
-    itself. Then the days it touches, from the earliest on, are recomputed and replaced.
+    itself. Then exactly the days it touches are read back, recomputed and replaced.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
-        first = (
-            spark.read.schema(schemas.EVENTS).parquet(f"{store}/batch={batch_id}")
-            .agg(F.to_date(F.min("event_date"), "yyyyMMdd")).first()[0]
-        )
-        if first is None:
-            return
+        batch.write.mode("overwrite").partitionBy("event_date").parquet(f"{store}/batch={batch_id}")
         stored = spark.read.schema(schemas.EVENTS).parquet(store)
-        fact = facts.fact_sessions(stg_events(stored, site, since=first))
-        if path_exists(spark, fact_path):
-            replace_recent(fact, fact_path, first, "date", facts.CLUSTER)
-        else:
-            replace_table(fact, fact_path, "date", facts.CLUSTER)
+        added = spark.read.schema(schemas.EVENTS).parquet(f"{store}/batch={batch_id}")
+        # Partition values only: the calendar days of one micro-batch.
+        days = [row[0] for row in added.select("event_date").distinct().collect()]
+        if days:
+            touched = stored.where(F.col("event_date").isin(days))
+            replace_days(facts.fact_sessions(stg_events(touched, site)), fact_path, "date", facts.CLUSTER)
 
     return (
         raw.writeStream.foreachBatch(upsert)
@@ -109,4 +90,3 @@ def refresh_session_fact(raw: DataFrame, store: str, fact_path: str, checkpoint:
         .trigger(availableNow=True)
         .start()
     )
-

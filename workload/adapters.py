@@ -66,73 +66,69 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def _literal(value) -> str:
+    return "CAST(NULL AS STRING)" if value is None else f"'{value}'"
+
+
+def _picked(values, index: str) -> str:
+    return f"element_at(array({', '.join(_literal(v) for v in values)}), CAST({index} AS INT) + 1)"
+
+
 def _pick(values, index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), (index + 1).cast("int"))
+    return F.element_at(F.expr(f"array({', '.join(_literal(v) for v in values)})"), (index + 1).cast("int"))
 
 
-def _param(key: str, text: Column | None = None, number: Column | None = None) -> Column:
-    value = F.struct(
-        (text if text is not None else F.lit(None)).cast("string").alias("string_value"),
-        (number if number is not None else F.lit(None)).cast("bigint").alias("int_value"),
-    )
-    return F.struct(F.lit(key).alias("key"), value.alias("value"))
+def _param(key: str, text: str = "CAST(NULL AS STRING)", number: str = "CAST(NULL AS BIGINT)") -> str:
+    value = f"named_struct('string_value', {text}, 'int_value', CAST({number} AS BIGINT))"
+    return f"named_struct('key', '{key}', 'value', {value})"
 
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """The nested raw event shape from the events table."""
-    ts = F.col("ts").cast("timestamp")
-    base = table(spark, folder, "events").select(
+    base = table(spark, folder, "events").selectExpr(
         "event_id",
         "user_id",
         "event_type",
         "value",
-        ts.alias("ts"),
-        F.regexp_extract("props", "([0-9]+)", 1).cast("bigint").alias("k"),
-        (F.dayofmonth(ts) * 4 + F.floor(F.hour(ts) / F.lit(6.0))).cast("bigint").alias("sid"),
+        "CAST(ts AS TIMESTAMP) AS ts",
+        "CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS k",
+        "CAST(dayofmonth(ts) * 4 + floor(hour(ts) / 6.0D) AS BIGINT) AS sid",
     )
     return shape_events(base)
 
 
 def shape_events(base: DataFrame) -> DataFrame:
-    user, event, k, sid = F.col("user_id"), F.col("event_id"), F.col("k"), F.col("sid")
-    name = F.lit("page_view")
-    for kind, names in EVENT_NAMES.items():
-        name = F.when(F.col("event_type") == kind, _pick(names, k % 7)).otherwise(name)
-    traffic = (user + sid) % 42
-    path = _pick(PAGES, (k + event) % 21)
-    params = F.array(
-        _param("ga_session_id", number=F.when(event % 97 != 0, sid)),
-        _param("ga_session_number", number=(user * 7 + sid * 3) % 5 + 1),
-        _param("page_location", text=path),
-        _param("page_title", text=F.concat(F.lit("Page "), ((k + event) % 21).cast("string"))),
-        _param("page_referrer", text=F.when(k % 2 == 0, F.lit("https://ref.example/"))),
-        _param("Access Token Sub ID", text=F.when(F.col("event_type") == "signup", F.concat(F.lit("tok"), k.cast("string")))),
-        _param("engagement_time_msec", number=F.when(k % 10 != 0, F.floor(F.col("value") * 100))),
-        _param("session_engaged", number=F.when(F.col("value") >= 10, 1).otherwise(0)),
+    names = " ".join(
+        f"WHEN event_type = '{kind}' THEN {_picked(names, 'k % 7')}" for kind, names in EVENT_NAMES.items()
+    )
+    params = (
+        _param("ga_session_id", number="CASE WHEN event_id % 97 <> 0 THEN sid END"),
+        _param("ga_session_number", number="(user_id * 7 + sid * 3) % 5 + 1"),
+        _param("page_location", text=_picked(PAGES, "(k + event_id) % 21")),
+        _param("page_title", text="concat('Page ', (k + event_id) % 21)"),
+        _param("page_referrer", text="CASE WHEN k % 2 = 0 THEN 'https://ref.example/' END"),
+        _param("Access Token Sub ID", text="CASE WHEN event_type = 'signup' THEN concat('tok', k) END"),
+        _param("engagement_time_msec", number="CASE WHEN k % 10 <> 0 THEN floor(value * 100) END"),
+        _param("session_engaged", number="CASE WHEN value >= 10 THEN 1 ELSE 0 END"),
     )
-    return base.select(
-        F.date_format("ts", "yyyyMMdd").alias("event_date"),
-        F.unix_micros("ts").alias("event_timestamp"),
-        name.alias("event_name"),
-        F.when(event % 211 != 0, F.concat(F.lit("u"), user.cast("string"))).alias("user_pseudo_id"),
-        F.when(user % 4 == 0, F.concat(F.lit("login"), user.cast("string"))).alias("user_id"),
-        F.lit("WEB").alias("platform"),
-        params.alias("event_params"),
-        F.struct(
-            _pick([s for s, _ in TRAFFIC], traffic).alias("source"),
-            _pick([m for _, m in TRAFFIC], traffic).alias("medium"),
-            F.when(user % 6 != 0, F.concat(F.lit("camp_"), (user % 6).cast("string"))).alias("name"),
-        ).alias("traffic_source"),
-        F.struct(
-            _pick(("mobile", "desktop", "tablet"), user % 3).alias("category"),
-            _pick(("Apple", "Samsung", None), user % 3).alias("mobile_brand_name"),
-            _pick(("iOS", "Windows", "Android"), user % 3).alias("operating_system"),
-            F.struct(_pick(("Safari", "Chrome"), user % 2).alias("browser")).alias("web_info"),
-        ).alias("device"),
-        F.struct(
-            F.when(user % 5 == 4, "Georgia").otherwise("Armenia").alias("country"),
-            _pick(("Yerevan", "Gyumri", "Vanadzor", None, "Tbilisi"), user % 5).alias("city"),
-        ).alias("geo"),
+    traffic = "(user_id + sid) % 42"
+    return base.selectExpr(
+        "date_format(ts, 'yyyyMMdd') AS event_date",
+        "unix_micros(ts) AS event_timestamp",
+        f"CASE {names} ELSE 'page_view' END AS event_name",
+        "CASE WHEN event_id % 211 <> 0 THEN concat('u', user_id) END AS user_pseudo_id",
+        "CASE WHEN user_id % 4 = 0 THEN concat('login', user_id) END AS user_id",
+        "'WEB' AS platform",
+        f"array({', '.join(params)}) AS event_params",
+        f"""named_struct('source', {_picked([s for s, _ in TRAFFIC], traffic)},
+            'medium', {_picked([m for _, m in TRAFFIC], traffic)},
+            'name', CASE WHEN user_id % 6 <> 0 THEN concat('camp_', user_id % 6) END) AS traffic_source""",
+        f"""named_struct('category', {_picked(("mobile", "desktop", "tablet"), "user_id % 3")},
+            'mobile_brand_name', {_picked(("Apple", "Samsung", None), "user_id % 3")},
+            'operating_system', {_picked(("iOS", "Windows", "Android"), "user_id % 3")},
+            'web_info', named_struct('browser', {_picked(("Safari", "Chrome"), "user_id % 2")})) AS device""",
+        f"""named_struct('country', CASE WHEN user_id % 5 = 4 THEN 'Georgia' ELSE 'Armenia' END,
+            'city', {_picked(("Yerevan", "Gyumri", "Vanadzor", None, "Tbilisi"), "user_id % 5")}) AS geo""",
     )
 
 

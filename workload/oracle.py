@@ -1194,7 +1194,8 @@ add(
 )
 add(
     "stream_daily_counts",
-    "SELECT event_date AS date, channel_group, count(*) AS events, count(*) FILTER (WHERE event_name = 'page_view') AS pageviews FROM staged GROUP BY ALL",
+    "SELECT event_date AS date, channel_group, count(*) AS events, count(*) FILTER (WHERE event_name = 'page_view') AS pageviews FROM staged "
+    "WHERE event_date + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 7 DAY FROM events) GROUP BY ALL",
 )
 CTES["stream_chunks"] = """SELECT user_pseudo_id, event_timestamp AS ts, event_id,
   CASE WHEN lag(event_timestamp) OVER w IS NULL OR event_timestamp - lag(event_timestamp) OVER w >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS starts
@@ -1202,7 +1203,8 @@ FROM flat WINDOW w AS (PARTITION BY user_pseudo_id ORDER BY event_timestamp, eve
 add(
     "stream_sessions",
     """SELECT user_pseudo_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events FROM (
-  SELECT *, sum(starts) OVER (PARTITION BY user_pseudo_id ORDER BY ts, event_id) AS no FROM stream_chunks) GROUP BY user_pseudo_id, no""",
+  SELECT *, sum(starts) OVER (PARTITION BY user_pseudo_id ORDER BY ts, event_id) AS no FROM stream_chunks) GROUP BY user_pseudo_id, no
+HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 7 DAY FROM events)""",
 )
 
 

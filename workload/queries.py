@@ -60,7 +60,7 @@ class Inputs:
         return facts.fact_conversions(self.clean(), "clean")
 
     def channels(self) -> DataFrame:
-        return dims.dim_channel(self.staged())
+        return dims.dim_channel(dims.channel_pairs(given.raw_events(self.spark, self.folder), given.SITE))
 
     def google(self) -> DataFrame:
         return spend.fact_ad_spend_google(given.google_ads_stats(self.spark, self.folder))
@@ -763,19 +763,19 @@ def _stored_events(i) -> str:
 
 @query
 def stream_daily_counts(i):
-    """Daily counts of a stream over the stored events, run until all of them are read."""
+    """Daily counts of a stream over the stored events: the days the watermark has made final."""
     out = work_path(i.spark, "daily")
     staged = jobs.staged_stream(jobs.event_stream(i.spark, _stored_events(i)), given.SITE)
-    jobs.write_state(jobs.daily_counts(staged), out, work_path(i.spark, "checkpoint")).awaitTermination()
+    jobs.write_final(jobs.daily_counts(staged), out, work_path(i.spark, "checkpoint")).awaitTermination()
     return i.spark.read.parquet(out).drop("approx_users")
 
 
 @query
 def stream_sessions(i):
-    """Inactivity sessions of a stream over the stored events."""
+    """Inactivity sessions of a stream over the stored events: those the watermark has made final."""
     out = work_path(i.spark, "sessions")
     staged = jobs.staged_stream(jobs.event_stream(i.spark, _stored_events(i)), given.SITE)
-    jobs.write_state(jobs.sessions(staged), out, work_path(i.spark, "checkpoint")).awaitTermination()
+    jobs.write_final(jobs.sessions(staged), out, work_path(i.spark, "checkpoint")).awaitTermination()
     return i.spark.read.parquet(out)
 
 
