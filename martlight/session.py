@@ -41,18 +41,21 @@ def local_session(app: str = "martlight", cores: int | str = "*", partitions: in
     return configure(spark)
 
 
+FALLBACK = "spark.martlight.folder"
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, named by ``spark.checkpoint.dir``.
 
     Only where nothing is set, and only on a local master, a fresh temporary folder is used.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(FALLBACK, None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
     folder = tempfile.mkdtemp(prefix="martlight-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    spark.conf.set(FALLBACK, folder)
     return folder
 
 
