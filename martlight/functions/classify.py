@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from martlight.functions.columns import one_of, quoted
+
 
 @dataclass(frozen=True)
 class Site:
@@ -23,10 +25,6 @@ class Site:
     app_login: str = "mymob"
 
 
-def quoted(text: str) -> str:
-    return "r'" + text + "'"
-
-
 def like_test(column: str, pattern: str) -> str:
     """LIKE as a SQL condition.
 
@@ -60,12 +58,12 @@ class Rule:
     def condition(self, main: str, medium: str | None) -> str:
         tests = []
         if self.equals:
-            tests.append(f"{main} IN ({', '.join(quoted(value) for value in self.equals)})")
+            tests.append(one_of(main, self.equals))
         tests += [like_test(main, pattern) for pattern in self.like]
         tests += [like_test(f"lower({main})", pattern) for pattern in self.like_any_case]
         tests += [f"{main} RLIKE {quoted(pattern)}" for pattern in self.regex]
         if self.or_medium:
-            tests.append(f"{medium} IN ({', '.join(quoted(value) for value in self.or_medium)})")
+            tests.append(one_of(medium, self.or_medium))
         tests += [like_test(medium, pattern) for pattern in self.or_medium_like]
         if self.or_null:
             tests.append(f"{main} IS NULL")

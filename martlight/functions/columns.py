@@ -16,6 +16,16 @@ def any_of(*conditions: Column) -> Column:
     return reduce(or_, conditions)
 
 
+def one_of(column: str, values: tuple[str, ...]) -> str:
+    """SQL condition: the column has one of the values."""
+    return f"{column} IN ({', '.join(quoted(value) for value in values)})"
+
+
+def quoted(text: str) -> str:
+    """A SQL text literal without escapes."""
+    return "r'" + text + "'"
+
+
 def event_param(key: str, kind: str, params: str = "event_params", strict: bool = False) -> Column:
     """Value of one entry of a key/value parameter list, NULL when the key is absent.
 

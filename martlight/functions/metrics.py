@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlight.functions.columns import ratio
+from martlight.functions.columns import one_of, ratio
 from martlight.operators.distinct import Distinct, distinct_counts
 
 APPLIES = "sum(loans_apply_click) + sum(cards_deposits_apply_click)"
@@ -73,25 +73,23 @@ def contract_metrics(staged: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame
     Sessions come in the three readings in use: distinct session ids, distinct concatenations of user and
     session id, distinct (user, session id) pairs.
     """
-    event = F.col("event_name")
-    key_columns = {k: F.col(k) for k in keys}
     users = Distinct(
-        F.col("user_pseudo_id"),
+        "user_pseudo_id",
         {
             "users": None,
-            "new_users": F.col("session_number") == 1,
-            "registrations": event == "registration_success",
-            "sub_id_loans": event == "Get Sub ID sprint",
-            "sub_id_cards": event == "Get Sub ID",
-            "sub_ids": event.isin("Get Sub ID", "Get Sub ID sprint"),
-            "apply_clicks": event.isin(*APPLY_EVENTS),
+            "new_users": "session_number = 1",
+            "registrations": "event_name = 'registration_success'",
+            "sub_id_loans": "event_name = 'Get Sub ID sprint'",
+            "sub_id_cards": "event_name = 'Get Sub ID'",
+            "sub_ids": one_of("event_name", ("Get Sub ID", "Get Sub ID sprint")),
+            "apply_clicks": one_of("event_name", APPLY_EVENTS),
         },
     )
-    sessions = Distinct(F.col("session_id"), {"sessions": None})
-    joined = Distinct(F.expr("concat(user_pseudo_id, cast(session_id as string))"), {"user_sessions": None})
-    pairs = Distinct(F.expr("concat(user_pseudo_id, ' ', cast(session_id as string))"), {"session_pairs": None})
-    views = {"pageviews": F.when(event == "page_view", 1).otherwise(0)}
-    both = distinct_counts(staged, key_columns, [users, sessions, joined, pairs], views)
+    sessions = Distinct("session_id", {"sessions": None})
+    joined = Distinct("concat(user_pseudo_id, CAST(session_id AS STRING))", {"user_sessions": None})
+    pairs = Distinct("concat(user_pseudo_id, ' ', CAST(session_id AS STRING))", {"session_pairs": None})
+    views = {"pageviews": "IF(event_name = 'page_view', 1, 0)"}
+    both = distinct_counts(staged, {k: k for k in keys}, [users, sessions, joined, pairs], views)
     return both.select(
         *both.columns,
         ratio(F.col("registrations"), F.col("sessions"), 100).alias("session_to_registration_pct"),

@@ -9,59 +9,53 @@ down to one row per task before anything is shuffled. A second aggregation count
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from functools import reduce
-from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
 class Distinct:
-    """Distinct counts of one id: output name -> condition, or None to count every non-null id."""
+    """Distinct counts of one id: output name -> SQL condition, or None to count every non-null id."""
 
-    id: Column
-    counts: dict[str, Column | None] = field(default_factory=dict)
+    id: str
+    counts: dict[str, str | None] = field(default_factory=dict)
 
-
-def _bits(conditions: dict[str, Column | None]) -> Column:
-    bits = [
-        F.lit(1 << n).cast("long") if condition is None else F.when(condition, F.lit(1 << n).cast("long")).otherwise(F.lit(0).cast("long"))
-        for n, condition in enumerate(conditions.values())
-    ]
-    return reduce(add, bits)
+    def bits(self) -> str:
+        return " | ".join(
+            f"{1 << n}L" if condition is None else f"IF({condition}, {1 << n}L, 0L)"
+            for n, condition in enumerate(self.counts.values())
+        )
 
 
 def distinct_counts(
-    df: DataFrame, keys: dict[str, Column], distincts: list[Distinct], sums: dict[str, Column] | None = None
+    df: DataFrame, keys: dict[str, str], distincts: list[Distinct], sums: dict[str, str] | None = None
 ) -> DataFrame:
     """Distinct counts per key combination; every combination in ``df`` gets a row, as in GROUP BY.
 
-    With several ids each row is tagged once per id, not once per count. ``sums`` adds plain sums to the
-    same pass; they ride on the rows of the first id.
+    ``keys`` maps output names to SQL expressions. With several ids each row is tagged once per id, not once
+    per count. ``sums`` adds plain integer sums to the same pass; they ride on the rows of the first id.
     """
     sums = sums or {}
-    key_columns = [column.alias(name) for name, column in keys.items()]
-    ids = [
-        F.struct(
-            F.lit(tag).alias("_tag"),
-            d.id.cast("string").alias("_id"),
-            _bits(d.counts).alias("_bits"),
-            *[(value.cast("long") if tag == 0 else F.lit(0).cast("long")).alias(name) for name, value in sums.items()],
-        )
-        for tag, d in enumerate(distincts)
-    ]
+    key_columns = [f"{expression} AS {name}" for name, expression in keys.items()]
+    ids = []
+    for tag, distinct in enumerate(distincts):
+        riders = [f"'{name}', CAST({value if tag == 0 else 0} AS BIGINT)" for name, value in sums.items()]
+        fields = [f"'_tag', {tag}", f"'_id', CAST({distinct.id} AS STRING)", f"'_bits', {distinct.bits()}", *riders]
+        ids.append(f"named_struct({', '.join(fields)})")
     if len(ids) == 1:
-        tagged = df.select(*key_columns, ids[0].alias("_one")).select(*keys, "_one.*")
+        tagged = df.selectExpr(*key_columns, f"{ids[0]} AS _one").selectExpr(*keys, "_one.*")
     else:
-        tagged = df.select(*key_columns, F.inline(F.array(*ids)))
-    per_id = tagged.groupBy(*keys, "_tag", "_id").agg(
-        F.bit_or("_bits").alias("_bits"), *[F.sum(name).alias(name) for name in sums]
-    )
+        tagged = df.selectExpr(*key_columns, f"inline(array({', '.join(ids)}))")
+    per_id = tagged.groupBy(*keys, "_tag", "_id").agg(*_all(["bit_or(_bits) AS _bits", *[f"sum({n}) AS {n}" for n in sums]]))
     counts = [
-        F.expr(f"count_if(_tag = {tag} AND _id IS NOT NULL AND (_bits & {1 << n}L) <> 0)").alias(name)
-        for tag, d in enumerate(distincts)
-        for n, name in enumerate(d.counts)
+        f"count_if(_tag = {tag} AND _id IS NOT NULL AND (_bits & {1 << n}L) <> 0) AS {name}"
+        for tag, distinct in enumerate(distincts)
+        for n, name in enumerate(distinct.counts)
     ]
-    totals = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in sums]
-    return per_id.groupBy(*keys).agg(*counts, *totals)
+    totals = [f"coalesce(sum({name}), 0L) AS {name}" for name in sums]
+    return per_id.groupBy(*keys).agg(*_all([*counts, *totals]))
+
+
+def _all(expressions: list[str]):
+    return [F.expr(e) for e in expressions]

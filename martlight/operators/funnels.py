@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from martlight.functions.columns import ratio
+from martlight.functions.columns import one_of, quoted, ratio
 from martlight.operators.distinct import Distinct, distinct_counts
 
 
@@ -20,13 +20,13 @@ class Step:
     pages: tuple[str, ...] = ()
     skip_tests: bool = False
 
-    def condition(self) -> Column:
-        test = F.col("event_name_clean").isin(*self.events)
+    def condition(self) -> str:
+        tests = [one_of("event_name_clean", self.events)]
         if self.pages:
-            test = test & F.col("product_category").isin(*self.pages)
+            tests.append(one_of("product_category", self.pages))
         if self.skip_tests:
-            test = test & ~F.col("is_test_event")
-        return test
+            tests.append("NOT is_test_event")
+        return " AND ".join(tests)
 
 
 @dataclass(frozen=True)
@@ -39,20 +39,16 @@ class Funnel:
     keys: tuple[str, ...]
     steps: tuple[Step, ...]
 
-    def population(self) -> Column:
-        return F.col("product_category").isin(*self.products) | (F.col("flow_type") == self.flow)
+    def population(self) -> str:
+        return f"({one_of('product_category', self.products)} OR flow_type = {quoted(self.flow)})"
 
 
 NOT_SET = "(not set)"
 
 
-def key_column(name: str) -> Column:
+def key_column(name: str) -> str:
     """Grouping columns of the facts and funnels: ``date`` is the event date, an absent campaign is labelled."""
-    if name == "date":
-        return F.col("event_date")
-    if name == "campaign":
-        return F.coalesce(F.col("campaign"), F.lit(NOT_SET))
-    return F.col(name)
+    return {"date": "event_date", "campaign": f"coalesce(campaign, '{NOT_SET}')"}.get(name, name)
 
 
 def funnel(events: DataFrame, spec: Funnel) -> DataFrame:
@@ -60,7 +56,7 @@ def funnel(events: DataFrame, spec: Funnel) -> DataFrame:
     return distinct_counts(
         events.where(spec.population()),
         {name: key_column(name) for name in spec.keys},
-        [Distinct(F.col("user_pseudo_id"), {step.name: step.condition() for step in spec.steps})],
+        [Distinct("user_pseudo_id", {step.name: step.condition() for step in spec.steps})],
     )
 
 
@@ -145,11 +141,11 @@ def funnel_summary(events: DataFrame, as_of, days: int = 30, specs: tuple[Funnel
     """
     recent = events.where(F.col("event_date") >= F.date_sub(F.lit(as_of), days))
     conditions = {
-        column: spec.population() & step.condition()
+        column: f"{spec.population()} AND {step.condition()}"
         for spec in specs
         for column, step in zip(SUMMARY_COLUMNS[spec.name], spec.steps)
     }
-    totals = distinct_counts(recent, {}, [Distinct(F.col("user_pseudo_id"), conditions)])
+    totals = distinct_counts(recent, {}, [Distinct("user_pseudo_id", conditions)])
     rows = F.array(
         *[
             F.struct(

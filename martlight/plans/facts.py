@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from martlight.functions.columns import one_of
 from martlight.operators.distinct import Distinct, distinct_counts
 from martlight.operators.funnels import key_column
 
@@ -19,20 +20,15 @@ USER_SESSION = "concat(user_pseudo_id, cast(session_id as string))"
 def session_rollup(staged: DataFrame) -> DataFrame:
     """Events rolled up to user, session and the fact keys; engagement is kept in whole milliseconds."""
     keys = {name: key_column(name) for name in CONVERSION_KEYS}
-    keys["user_pseudo_id"] = F.col("user_pseudo_id")
-    keys["session_id"] = F.col("session_id")
-    keys["user_type"] = F.when(F.col("session_number") == 1, "New").otherwise("Returning")
+    keys |= {"user_pseudo_id": "user_pseudo_id", "session_id": "session_id"}
+    keys["user_type"] = "IF(session_number = 1, 'New', 'Returning')"
+    measures = ("event_name", "engagement_time_msec", "session_engaged")
     return (
-        staged.select(
-            *[column.alias(name) for name, column in keys.items()],
-            "event_name",
-            "engagement_time_msec",
-            "session_engaged",
-        )
+        staged.selectExpr(*[f"{expression} AS {name}" for name, expression in keys.items()], *measures)
         .groupBy(*keys)
         .agg(
-            F.count_if(F.col("event_name") == "page_view").alias("pageviews"),
-            F.sum(F.coalesce("engagement_time_msec", F.lit(0))).alias("engagement_msec"),
+            F.expr("count_if(event_name = 'page_view') AS pageviews"),
+            F.expr("sum(coalesce(engagement_time_msec, 0L)) AS engagement_msec"),
             F.max("session_engaged").alias("session_engaged"),
         )
     )
@@ -46,36 +42,35 @@ def fact_sessions(staged: DataFrame) -> DataFrame:
     so they do not depend on the order of the rows.
     """
     sessions = session_rollup(staged)
-    bounced = (F.col("pageviews") == 1) & (F.col("engagement_msec") < 10_000)
     rows = sessions.groupBy(*CONVERSION_KEYS, "user_type").agg(
         F.count_distinct("user_pseudo_id").alias("users"),
-        F.count(F.lit(1)).alias("sessions"),
-        F.count_if(bounced).alias("bounced_sessions"),
-        F.sum("pageviews").alias("pageviews"),
-        F.sum("engagement_msec").alias("_msec"),
+        F.expr("count(1) AS sessions"),
+        F.expr("count_if(pageviews = 1 AND engagement_msec < 10000) AS bounced_sessions"),
+        F.expr("sum(pageviews) AS pageviews"),
+        F.expr("sum(engagement_msec) AS _msec"),
     )
-    return rows.select(
+    return rows.selectExpr(
         *CONVERSION_KEYS,
         "user_type",
         "users",
-        F.when(F.col("user_type") == "New", F.col("users")).otherwise(F.lit(0)).alias("new_users"),
+        "IF(user_type = 'New', users, 0L) AS new_users",
         "sessions",
         "bounced_sessions",
         "pageviews",
-        (F.col("_msec") / F.lit(1000.0) / F.col("sessions")).alias("avg_session_duration_sec"),
-        (F.col("pageviews") / F.col("sessions").cast("double")).alias("avg_pages_per_session"),
+        "_msec / 1000.0D / sessions AS avg_session_duration_sec",
+        "pageviews / CAST(sessions AS DOUBLE) AS avg_pages_per_session",
     )
 
 
-def _event(*names: str, column: str = "event_name") -> Column:
-    return F.col(column).isin(*names)
+def _event(*names: str, column: str = "event_name") -> str:
+    return one_of(column, names)
 
 
-def _page_view(*products: str) -> Column:
-    return (F.col("event_name") == "page_view") & F.col("product_category").isin(*products)
+def _page_view(*products: str) -> str:
+    return f"event_name = 'page_view' AND {one_of('product_category', products)}"
 
 
-def raw_conversions() -> dict[str, Column | None]:
+def raw_conversions() -> dict[str, str | None]:
     # Conversion counts over the tracked event names.
     return {
         "loans_pageview": _page_view("Consumer Loans"),
@@ -92,7 +87,7 @@ def raw_conversions() -> dict[str, Column | None]:
     }
 
 
-def clean_conversions() -> dict[str, Column | None]:
+def clean_conversions() -> dict[str, str | None]:
     # Conversion counts over the cleaned event names.
     def clean(*names):
         return _event(*names, column="event_name_clean")
@@ -103,7 +98,7 @@ def clean_conversions() -> dict[str, Column | None]:
         "loans_sub_id": clean("sprint_sub_id_captured"),
         "loans_check_limit": clean("sprint_check_limit_click"),
         "loans_phone_submit": clean("sprint_phone_submitted"),
-        "loans_completed": clean("sprint_check_limit_completed") & ~F.col("is_test_event"),
+        "loans_completed": clean("sprint_check_limit_completed") + " AND NOT is_test_event",
         "cards_deposits_pageview": _page_view("Cards", "Deposits"),
         "cards_deposits_apply_click": clean("reg_apply_click", "cards_apply_click"),
         "cards_deposits_sub_id": clean("reg_sub_id_captured"),
@@ -119,8 +114,8 @@ def fact_conversions(staged: DataFrame, variant: str = "raw") -> DataFrame:
         staged,
         {name: key_column(name) for name in CONVERSION_KEYS},
         [
-            Distinct(F.col("user_pseudo_id"), {"total_users": None, **steps}),
-            Distinct(F.expr(USER_SESSION), {"total_sessions": None}),
+            Distinct("user_pseudo_id", {"total_users": None, **steps}),
+            Distinct(USER_SESSION, {"total_sessions": None}),
         ],
     )
     return counts.select(*CONVERSION_KEYS, "total_users", "total_sessions", *steps)
@@ -129,9 +124,9 @@ def fact_conversions(staged: DataFrame, variant: str = "raw") -> DataFrame:
 def fact_conversions_plain(staged: DataFrame, variant: str = "raw") -> DataFrame:
     """The same fact as one aggregation of plain distinct counts; kept as the yardstick of the bench and tests."""
     steps = {"raw": raw_conversions, "clean": clean_conversions}[variant]()
-    keys = [key_column(name).alias(name) for name in CONVERSION_KEYS]
+    keys = [F.expr(key_column(name)).alias(name) for name in CONVERSION_KEYS]
     return staged.groupBy(*keys).agg(
         F.count_distinct("user_pseudo_id").alias("total_users"),
         F.count_distinct(F.expr(USER_SESSION)).alias("total_sessions"),
-        *[F.count_distinct(F.when(c, F.col("user_pseudo_id"))).alias(name) for name, c in steps.items()],
+        *[F.expr(f"count(DISTINCT IF({c}, user_pseudo_id, NULL)) AS {name}") for name, c in steps.items()],
     )

@@ -35,6 +35,8 @@ def local_session(app: str = "martlight", cores: int | str = "*", partitions: in
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(partitions))
+        # Plans are built from many small column calls; recording the Python line of each costs more than the call.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
