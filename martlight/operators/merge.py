@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martlight.operators.sinks import path_exists
+from martlight.session import materialize
 
 KEYS = ("token_id", "client_code", "event_date")
 UPDATED = ("loan_count", "loan_amount", "deposit_count", "deposit_amount", "card_count", "uploaded_at")
@@ -28,15 +29,21 @@ def latest_per_key(source: DataFrame, keys: tuple[str, ...] = KEYS, newest: str
 
 
 def upsert(
-    target: DataFrame, source: DataFrame, keys: tuple[str, ...] = KEYS, updated: tuple[str, ...] = UPDATED
+    target: DataFrame,
+    source: DataFrame,
+    keys: tuple[str, ...] = KEYS,
+    updated: tuple[str, ...] = UPDATED,
+    unique: bool = False,
 ) -> DataFrame:
     """The merged table with ``_action`` = keep, update or insert.
 
     Matched target rows take the updated columns of the source, unmatched source rows are inserted whole.
     A left join and an anti join instead of one full outer join: Spark can split a hot key of the target
-    in both, and rows with a NULL key, which never match, are not shuffled at all.
+    in both, and rows with a NULL key, which never match, are not shuffled at all. ``unique`` says that the
+    source has one row per key already.
     """
-    source = latest_per_key(source, keys)
+    if not unique:
+        source = latest_per_key(source, keys)
     complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
     patch = source.where(complete).select(
         *keys, *[F.col(c).alias(f"_new_{c}") for c in updated], F.lit(True).alias("_hit")
@@ -71,7 +78,8 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, schema: str) -
     The date is part of the key, so only the dates of the source can change: only their partitions are
     read and replaced, in one job whose output becomes visible at commit. Returns added and updated rows.
     """
-    source = latest_per_key(source)
+    # Read several times below, so written once.
+    source = materialize(latest_per_key(source), "merge-source")
     if path_exists(spark, path):
         first, last, keyless = source.agg(
             F.min("event_date"), F.max("event_date"), F.count_if(F.col("event_date").isNull())
@@ -81,7 +89,7 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, schema: str) -
         # One row per calendar day of the source, so the size is bounded.
         dates = F.broadcast(source.select(F.col("event_date").alias("_date")).distinct())
         touched = stored.join(dates, F.col("event_date").eqNullSafe(F.col("_date")), "left_semi")
-        merged = upsert(touched, source)
+        merged = upsert(touched, source, unique=True)
     else:
         merged = source.withColumn("_action", F.lit("insert"))
     seen = Observation()

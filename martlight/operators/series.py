@@ -57,18 +57,19 @@ def share(value: str, keys: tuple[str, ...] = (), scale: float = 100) -> Column:
     return ratio(F.col(value), F.sum(value).over(group), scale)
 
 
-def period_overlay(series: DataFrame, value: str, start, days: int, time: str = "date") -> DataFrame:
-    """Each day of a period next to the same day of the period before it.
+def period_overlay(series: DataFrame, values: tuple[str, ...], start, days: int, time: str = "date") -> DataFrame:
+    """Each day of a period next to the same day of the period before it, as ``previous_<value>``.
 
     The period is the ``days`` days from ``start``; days without data count as 0.
     """
-    spark = series.sparkSession
     first = F.lit(start)
-    spine = date_spine(spark, first, F.date_add(first, days - 1))
-    now = series.select(F.col(time).alias("date"), F.col(value).alias("_now"))
-    old = series.select(F.date_add(time, days).alias("date"), F.col(value).alias("_old"))
+    spine = date_spine(series.sparkSession, first, F.date_add(first, days - 1))
+    both = series.where(F.col(time).between(F.date_sub(first, days), F.date_add(first, days - 1)))
+    now = both.select(F.col(time).alias("date"), *values)
+    old = both.select(F.date_add(time, days).alias("date"), *[F.col(v).alias(f"previous_{v}") for v in values])
+    columns = [*values, *[f"previous_{v}" for v in values]]
     return (
         spine.join(now, "date", "left")
         .join(old, "date", "left")
-        .select("date", F.coalesce("_now", F.lit(0)).alias(value), F.coalesce("_old", F.lit(0)).alias("previous"))
+        .select("date", *[F.coalesce(c, F.lit(0)).alias(c) for c in columns])
     )

@@ -396,17 +396,18 @@ def paid_organic_split(sessions: DataFrame, bank: DataFrame) -> DataFrame:
 
 
 def revenue_overlay(bank: DataFrame, targets: DataFrame, start: date, days: int) -> DataFrame:
-    """Daily revenue of a period, the period before it, and the month's target spread over its days."""
-    daily = bank.groupBy("date").agg(F.sum("total_revenue_amd").alias("revenue"))
-    overlay = period_overlay(daily, "revenue", start, days)
+    """Daily revenue and approved products of a period, the period before it, and the month's target per day."""
+    daily = bank.groupBy("date").agg(
+        F.sum("total_revenue_amd").alias("revenue"),
+        F.sum(F.col("loan_count") + F.col("card_count") + F.col("deposit_count")).alias("approved"),
+    )
+    overlay = period_overlay(daily, ("revenue", "approved"), start, days)
     goal = targets.where((F.col("metric") == "revenue") & (F.col("channel") == "all") & (F.col("product") == "all"))
     goal = goal.select("period", "target_value")
     month = F.to_date(F.date_trunc("month", "date"))
     joined = overlay.join(goal, month == F.col("period"), "left")
     return joined.select(
-        "date",
-        "revenue",
-        "previous",
+        *overlay.columns,
         (F.col("target_value") / F.dayofmonth(F.last_day("date"))).alias("target_per_day"),
     )
 

@@ -12,7 +12,6 @@ from martlight.functions.columns import any_of, column_or, flexible_date, missin
 from martlight.operators.merge import merge_into
 from martlight.operators.sinks import replace_table
 from martlight.plans.staging import stg_bank_conversions
-from martlight.session import materialize
 from martlight.sources import schemas
 
 # Headers of the export, as they are spelled there.
@@ -156,7 +155,7 @@ def load_totals(fact: DataFrame) -> DataFrame:
 
 def load_bank(spark: SparkSession, csv_path: str, warehouse: str, loaded_at: datetime) -> dict:
     """CSV export to raw table (merge), staging table and fact table. Returns the counts and totals."""
-    cleaned = materialize(clean_export(check_headers(read_export(spark, csv_path)), loaded_at), "bank-load")
+    cleaned = clean_export(check_headers(read_export(spark, csv_path)), loaded_at)
     raw_path = f"{warehouse}/raw/bank_conversions"
     counts = merge_into(spark, raw_path, cleaned, schemas.BANK_CONVERSIONS)
     raw = spark.read.schema(schemas.BANK_CONVERSIONS).parquet(raw_path)

@@ -144,3 +144,16 @@ def refresh(
     ok = all(row[2] for row in status) and totals.first()["ok"]
     return Outcome(status_rows, checked, totals, ok, seen.get["rows"])
 
+
+MARTS = (
+    "dim_channel", "dim_date", "dim_product", "fact_sessions", "fact_conversions", "fact_ad_spend_google", "fact_ad_spend",
+    "fact_bank_conversions", "funnel_loans", "funnel_registration", "funnel_summary",
+)
+
+
+def register_views(spark: SparkSession, warehouse: str) -> list[str]:
+    """Temporary views over the marts that exist, for SQL users; returns their names."""
+    found = [name for name in MARTS if path_exists(spark, marts_path(warehouse, name))]
+    for name in found:
+        spark.read.parquet(marts_path(warehouse, name)).createOrReplaceTempView(name)
+    return found

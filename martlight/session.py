@@ -27,6 +27,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int, partition_bytes: int = 128 << 20) -> int:
+    """Enough initial shuffle partitions for an input of the given size; AQE merges those that stay small."""
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes // partition_bytes))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions))
+    return partitions
+
+
 def local_session(app: str = "martlight", cores: int | str = "*", partitions: int = 8) -> SparkSession:
     """A single-machine session for tests and the bench; clusters bring their own."""
     spark = (

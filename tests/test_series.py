@@ -63,7 +63,7 @@ def test_dense_days_fill_per_series(spark):
 def test_overlay_takes_the_period_before(spark):
     rows = [(date(2024, 1, d), float(d)) for d in (1, 2, 3, 4, 6)]
     frame = spark.createDataFrame(rows, "date date, v double")
-    got = [(r.date.day, r.v, r.previous) for r in series.period_overlay(frame, "v", date(2024, 1, 4), 3).orderBy("date").collect()]
+    got = [(r.date.day, r.v, r.previous_v) for r in series.period_overlay(frame, ("v",), date(2024, 1, 4), 3).orderBy("date").collect()]
     assert got == [(4, 4.0, 1.0), (5, 0.0, 2.0), (6, 6.0, 3.0)]
 
 

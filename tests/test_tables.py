@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from martlight.operators import quality
 from martlight.operators.sinks import append_new, create_if_absent, path_exists, replace_recent, replace_table, with_upload_time
-from martlight.plans.refresh import marts_path, refresh
-from martlight.session import shared_folder
+from martlight.plans.refresh import marts_path, refresh, register_views
+from martlight.session import shared_folder, size_shuffles
 from martlight.sources import schemas
 from workload import adapters as given
 
@@ -52,6 +52,12 @@ def test_upload_time_default(spark):
     assert [r.uploaded_at for r in with_upload_time(frame, now).collect()] == [now, datetime(2023, 1, 1)]
 
 
+def test_shuffles_follow_the_input():
+    session = SimpleNamespace(conf=Settings({"spark.sql.shuffle.partitions": "200"}))
+    assert size_shuffles(session, 1 << 30) == 200
+    assert size_shuffles(session, 100 << 40) == 819_200
+
+
 class Settings(dict):
     set = dict.__setitem__
 
@@ -98,6 +104,14 @@ def test_incremental_equals_full(spark, refreshed):
     assert {r["mode"] for r in full.status.collect()} == {"full"}
 
 
+def test_views(spark, refreshed):
+    names = register_views(spark, refreshed[0])
+    assert "fact_sessions" in names and "fact_ad_spend" not in names
+    total = spark.sql("SELECT sum(sessions) AS s FROM fact_sessions JOIN dim_date USING (date)").first()
+    # The calendar starts in 2025, after the test data.
+    assert total.s is None and spark.table("fact_sessions").count() > 0
+
+
 def test_refresh_reports(refreshed):
     _, _, full, _ = refreshed
     failed = {r["check"] for r in full.checks.collect() if not r.passed}

@@ -300,6 +300,9 @@ CTES["bank"] = """SELECT event_date AS date, l.channel_group,
 FROM bank_raw b JOIN bank_labels l
   ON l.acquired_source IS NOT DISTINCT FROM b.acquired_source AND l.acquired_medium IS NOT DISTINCT FROM b.acquired_medium"""
 
+CTES["bank_days"] = """SELECT date, sum(total_revenue_amd) AS v, CAST(sum(loan_count + card_count + deposit_count) AS BIGINT) AS c
+FROM bank GROUP BY 1"""
+
 CTES["apps"] = """SELECT 'APP-' || o_orderkey AS application_id, ['loan','card','deposit'][o_orderkey % 3 + 1] AS product_type,
   DATE '2024-01-01' + CAST(o_custkey % 30 AS INTEGER) AS apply_date,
   ['google','meta','direct'][o_orderkey % 3 + 1] AS apply_source,
@@ -485,6 +488,18 @@ add(
   CAST(NULL AS VARCHAR) AS notes FROM apps""",
     "revenue_amd",
 )
+add(
+    "monthly_targets_csv",
+    """SELECT date_trunc('month', apply_date)::DATE AS period, 'revenue' AS metric, 'all' AS channel, product_type AS product,
+  round(sum(revenue_amd)) AS target_value, CAST(NULL AS VARCHAR) AS notes FROM apps GROUP BY ALL""",
+    "target_value",
+)
+add(
+    "monthly_budgets_csv",
+    """SELECT DATE '2024-01-01' AS period, channel, b AS monthly_budget_usd, CASE WHEN channel = 'linkedin' THEN round(b / 30) ELSE b / 31 END AS daily_budget_usd,
+  CAST(NULL AS VARCHAR) AS notes FROM (SELECT channel, round(sum(cost)) AS b FROM landed GROUP BY 1)""",
+    "monthly_budget_usd daily_budget_usd",
+)
 add(
     "uploads_tsv",
     "SELECT date, channel, currency, count(*) AS rows, CAST(sum(impressions) AS BIGINT) AS impressions, sum(cost) AS cost FROM landed GROUP BY ALL",
@@ -896,11 +911,11 @@ FULL JOIN (SELECT CASE WHEN channel_group IN (SELECT name FROM paid_list) THEN '
 )
 add(
     "revenue_overlay",
-    """SELECT n.d AS date, COALESCE(a.v, 0) AS revenue, COALESCE(b.v, 0) AS previous, CAST(400000000.0 AS DOUBLE) / 31 AS target_per_day
+    """SELECT n.d AS date, COALESCE(a.v, 0) AS revenue, COALESCE(a.c, 0) AS approved, COALESCE(b.v, 0) AS previous_revenue,
+  COALESCE(b.c, 0) AS previous_approved, CAST(400000000.0 AS DOUBLE) / 31 AS target_per_day
 FROM (SELECT DATE '2024-01-16' + CAST(unnest(range(0, 15)) AS INTEGER) AS d) n
-LEFT JOIN (SELECT date, sum(total_revenue_amd) AS v FROM bank GROUP BY 1) a ON a.date = n.d
-LEFT JOIN (SELECT date, sum(total_revenue_amd) AS v FROM bank GROUP BY 1) b ON b.date = n.d - 15""",
-    "revenue previous target_per_day",
+LEFT JOIN bank_days a ON a.date = n.d LEFT JOIN bank_days b ON b.date = n.d - 15""",
+    "revenue previous_revenue target_per_day",
 )
 add(
     "product_revenue_against_target",

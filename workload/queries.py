@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlight.functions.metrics import contract_metrics, session_quality
+from martlight.functions.columns import date_bucket
 from martlight.operators import alerts, funnels, merge, quality, series, sessions
 from martlight.operators.sinks import append_new, replace_recent, replace_table
 from martlight.plans import analytics, bank, charts, dims, facts, spend, staging
@@ -201,6 +202,27 @@ def approvals_csv(i):
     return rounded(readers.approvals(i.spark, path))
 
 
+@query
+def monthly_targets_csv(i):
+    """Targets per month and product, written as the template and read back."""
+    path = work_path(i.spark, "targets")
+    rows = i.applications().groupBy(date_bucket(F.col("apply_date"), "month").alias("period"), F.col("product_type").alias("product"))
+    rows = rows.agg(F.round(F.sum("revenue_amd")).alias("target_value"))
+    rows.selectExpr("period", "'revenue' AS metric", "'all' AS channel", "product", "target_value").write.option("header", True).csv(path)
+    return rounded(readers.monthly_targets(i.spark, path))
+
+
+@query
+def monthly_budgets_csv(i):
+    """Budgets per month and channel, written as the template without most daily budgets and read back."""
+    path = work_path(i.spark, "budgets")
+    spent = given.landed_spend(i.spark, i.folder)
+    rows = spent.groupBy(date_bucket(F.col("date"), "month").alias("period"), "channel").agg(F.round(F.sum("cost")).alias("monthly_budget_usd"))
+    rows = rows.withColumn("daily_budget_usd", F.when(F.col("channel") == "linkedin", F.round(F.col("monthly_budget_usd") / 30)))
+    rows.write.option("header", True).csv(path)
+    return rounded(readers.monthly_budgets(i.spark, path))
+
+
 @query
 def uploads_tsv(i):
     """Landed spend through the upload reader, as tab-separated text."""
