@@ -15,17 +15,26 @@ KEYS = ("token_id", "client_code", "event_date")
 UPDATED = ("loan_count", "loan_amount", "deposit_count", "deposit_amount", "card_count", "uploaded_at")
 
 
+def _split(frame: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """Rows with a whole key, and rows with a NULL in it, which match nothing."""
+    whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    return frame.where(whole), frame.where(~whole)
+
+
+def _newest(frame: DataFrame, keys: tuple[str, ...], newest: str) -> DataFrame:
+    rest = [c for c in frame.columns if c not in keys and c != newest]
+    best = frame.groupBy(*keys).agg(F.max(F.struct(newest, *rest)).alias("_row"))
+    return best.select(*keys, "_row.*").select(*frame.columns)
+
+
 def latest_per_key(source: DataFrame, keys: tuple[str, ...] = KEYS, newest: str = "uploaded_at") -> DataFrame:
     """One source row per key: the newest, ties broken by the row's own values.
 
     An aggregation instead of a ranking window: map-side combine keeps a key with very many copies cheap.
     Rows with a NULL key match nothing in a merge, so all of them are kept.
     """
-    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    rest = [c for c in source.columns if c not in keys and c != newest]
-    newest_row = F.max(F.struct(newest, *rest)).alias("_row")
-    best = source.where(complete).groupBy(*keys).agg(newest_row).select(*keys, "_row.*")
-    return best.select(*source.columns).unionByName(source.where(~complete))
+    keyed, keyless = _split(source, keys)
+    return _newest(keyed, keys, newest).unionByName(keyless)
 
 
 def upsert(
@@ -33,34 +42,31 @@ def upsert(
     source: DataFrame,
     keys: tuple[str, ...] = KEYS,
     updated: tuple[str, ...] = UPDATED,
+    newest: str = "uploaded_at",
     unique: bool = False,
 ) -> DataFrame:
     """The merged table with ``_action`` = keep, update or insert.
 
-    Matched target rows take the updated columns of the source, unmatched source rows are inserted whole.
-    A left join and an anti join instead of one full outer join: Spark can split a hot key of the target
-    in both, and rows with a NULL key, which never match, are not shuffled at all. ``unique`` says that the
-    source has one row per key already.
+    Matched target rows take the updated columns of the newest source row of their key, unmatched source rows
+    are inserted whole. A left join and an anti join instead of one full outer join: Spark can split a hot key
+    of the target in both, and rows with a NULL key, which never match, are not shuffled at all. ``unique``
+    says that the source has one row per key already.
     """
+    keyed, keyless = _split(source, keys)
     if not unique:
-        source = latest_per_key(source, keys)
-    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    patch = source.where(complete).select(
-        *keys, *[F.col(c).alias(f"_new_{c}") for c in updated], F.lit(True).alias("_hit")
-    )
-    matched = target.where(complete).join(patch, list(keys), "left")
-    kept = matched.select(
+        keyed = _newest(keyed, keys, newest)
+    old, old_keyless = _split(target, keys)
+    patch = keyed.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in updated], F.lit(True).alias("_hit"))
+    kept = old.join(patch, list(keys), "left").select(
         *[
             (F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) if c in updated else F.col(c)).alias(c)
             for c in target.columns
         ],
         F.when(F.col("_hit"), "update").otherwise("keep").alias("_action"),
     )
-    keyless = target.where(~complete).withColumn("_action", F.lit("keep"))
-    known = target.where(complete).select(*keys).distinct()
-    new = source.where(complete).join(known, list(keys), "left_anti")
-    inserts = new.unionByName(source.where(~complete)).select(*target.columns, F.lit("insert").alias("_action"))
-    return kept.unionByName(keyless).unionByName(inserts)
+    new = keyed.join(old.select(*keys).distinct(), list(keys), "left_anti")
+    inserts = new.unionByName(keyless).select(*target.columns, F.lit("insert").alias("_action"))
+    return kept.unionByName(old_keyless.withColumn("_action", F.lit("keep"))).unionByName(inserts)
 
 
 def action_counts(merged: DataFrame) -> DataFrame:
