@@ -8,7 +8,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlight.functions.classify import CHANNEL_GROUPS
@@ -61,6 +61,13 @@ def run_checks(frame: DataFrame, checks: list[Check]) -> DataFrame:
     return measured.select(F.inline(F.array(*rows)))
 
 
+def not_run(spark: SparkSession, checks: list[Check]) -> DataFrame:
+    """Results of checks that could not run, because their table is missing or unreadable: all failed."""
+    rows = [(c.suite, c.table, c.name, c.severity, False, None, float(c.threshold)) for c in checks]
+    types = ("string", "string", "string", "string", "boolean", "double", "double")
+    return spark.createDataFrame(rows, ", ".join(f"`{n}` {t}" for n, t in zip(RESULT_COLUMNS, types)))
+
+
 def _rows() -> Column:
     return F.count(F.lit(1))
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from martlight.functions.classify import Site
 from martlight.operators.funnels import LOANS, REGISTRATION, funnel, funnel_summary
-from martlight.operators.quality import completeness, refresh_checks, run_checks, summary
+from martlight.operators.quality import completeness, not_run, refresh_checks, run_checks, summary
 from martlight.operators.sinks import path_exists, replace_recent, replace_table
 from martlight.plans import dims, facts, spend
 from martlight.plans.staging import stg_events, stg_events_clean
@@ -57,12 +57,14 @@ def refresh(
     site: Site = Site(),
     test_users: tuple[str, ...] = (),
     lookback_days: int = LOOKBACK_DAYS,
+    conversions: str = "clean",
 ) -> Outcome:
     """Dimensions, facts, ad spend, funnels, checks. A failing table is recorded and the others go on.
 
     The columns the marts need are staged once into the shared folder and read by every mart of the run, so
     the nested raw events are parsed once. An incremental run stages the days of the funnel summary only,
     replaces the lookback days of the facts and funnels, and adds new pairs to the channel dimension.
+    ``conversions`` chooses the conversion fact over clean or raw event names.
     """
     status: list[tuple] = []
 
@@ -106,7 +108,7 @@ def refresh(
             attempt(name, "incremental", lambda: replace_recent(build(recent), table(name), since, "date", cluster))
 
     write_dated("fact_sessions", facts.fact_sessions, staged, facts.CLUSTER)
-    write_dated("fact_conversions", lambda frame: facts.fact_conversions(frame, "clean"), clean, facts.CLUSTER)
+    write_dated("fact_conversions", lambda frame: facts.fact_conversions(frame, conversions), clean, facts.CLUSTER)
 
     if google_stats is not None:
         attempt(
@@ -133,13 +135,15 @@ def refresh(
     )
 
     status_rows = spark.createDataFrame(status, STATUS_SCHEMA)
-    results = [
-        run_checks(spark.read.parquet(table(name)), checks)
-        for name, checks in refresh_checks(as_of).items()
-        if path_exists(spark, table(name))
-    ]
+    def checked_table(name: str, checks: list) -> DataFrame:
+        try:
+            return materialize(run_checks(spark.read.parquet(table(name)), checks), "checks")
+        except PySparkException:
+            return not_run(spark, checks)
+
+    results = [checked_table(name, checks) for name, checks in refresh_checks(as_of).items()]
     results.append(completeness(status_rows, len(status)))
-    checked = materialize(reduce(DataFrame.unionByName, results), "checks")
+    checked = reduce(DataFrame.unionByName, results)
     totals = summary(checked)
     ok = all(row[2] for row in status) and totals.first()["ok"]
     return Outcome(status_rows, checked, totals, ok, seen.get["rows"])

@@ -37,6 +37,16 @@ def test_bits_count_like_plain_distincts(staged, clean, variant):
     assert "Expand" not in plan(bits) and "Expand" in plan(plain)
 
 
+def test_mapping_as_a_table(spark, staged, clean):
+    """A caller's mapping gives the same rows as the built-in list; an unknown event keeps its name."""
+    from martlight.sources.literals import event_mapping
+
+    own = staging.stg_events_clean(staged, event_mapping(spark, given.SITE), test_users=("u1",), site=given.SITE)
+    assert own.exceptAll(clean).count() == 0 and clean.exceptAll(own).count() == 0
+    none = staging.stg_events_clean(staged, event_mapping(spark, given.SITE).limit(0))
+    assert none.where("event_name_clean <> event_name OR flow_type <> 'Other' OR is_test_event IS NULL").count() == 0
+
+
 def test_hot_user_and_hot_key(spark, staged):
     """A third of all rows for one user on one key: same counts, and the hot rows are combined before a shuffle."""
     one = staged.where("user_pseudo_id = 'u7' AND session_id IS NOT NULL").limit(1)

@@ -146,6 +146,13 @@ def test_nothing_measured_is_a_failure(spark):
     assert not quality.run_checks(empty, [check]).first().passed
 
 
+def test_checks_that_cannot_run_have_failed(spark):
+    checks = quality.refresh_checks(AS_OF)["dim_channel"]
+    results = quality.not_run(spark, checks).unionByName(quality.run_checks(spark.createDataFrame([("Paid",)], "channel_type string"), checks))
+    assert sorted((r.passed, r.observed) for r in results.collect() if r.passed) == [(True, 0.0)]
+    assert quality.summary(results).first().warnings == 1
+
+
 def test_duplicates_and_orphans(spark):
     frame = spark.createDataFrame([(1, None), (1, None), (2, "a")], "k int, v string")
     assert tuple(quality.duplicate_keys(frame, ("k", "v")).first()) == (1, 1)
