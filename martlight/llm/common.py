@@ -101,3 +101,16 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     roots = current.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return roots.union(current.select(F.col("b").alias("node"), F.col("b").alias("root"))).distinct()
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once, also where the body uses it inside a lambda."""
+    return F.transform(F.array(value), body)[0]
+
+
+#: Words of a text: runs of digits, a-z and what is not ASCII, after A-Z are lower-cased.
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+
+
+def words_of(column: Column) -> Column:
+    return F.filter(F.split(ascii_lower(column), SEPARATORS), lambda w: w != "")
