@@ -9,12 +9,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlight.llm import mixing, registry, simhash, tokens
+from martlight.llm import decontaminate, mixing, quality, registry, simhash, tokens
+from martlight.llm.common import table
 from martlight.session import materialize, work_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the quality votes don't reject; the votes are learned on ``docs`` and the table of labels."""
+    docs = docs.select(*COLUMNS)
+    model = quality.train(docs, table(spark, folder, "labels"))
+    return quality.score(docs, model).where(F.col("score") >= quality.THRESHOLD).select(*COLUMNS)
+
+
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest doc_id.
 
@@ -27,6 +35,13 @@ def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return named.unionByName(docs.where("doc_id IS NULL"))
 
 
+def without_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that overlap no benchmark item."""
+    docs = docs.select(*COLUMNS)
+    found = decontaminate.leaks(docs, table(spark, folder, "benchmark")).select(F.col("doc_id").alias("leak")).distinct()
+    return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leak")), "left_anti")
+
+
 def source_mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents, in the order of the mix: the files and the rows in them follow mix_position."""
     docs = docs.select(*COLUMNS)
@@ -44,13 +59,19 @@ def token_files(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return tokens.read_tokens(spark, path)
 
 
-STAGES = [("SimHash near-dedup", near_copies), ("source mix", source_mix), ("token files", token_files)]
-#: SimHash, hash order and token ids have no SQL form; tests/llm compares the rows with a brute-force version.
+STAGES = [
+    ("quality classifier", good_quality),
+    ("SimHash near-dedup", near_copies),
+    ("benchmark decontamination", without_leaks),
+    ("source mix", source_mix),
+    ("token files", token_files),
+]
+#: Votes, SimHash, hash order and token ids have no SQL form; tests/llm compares the rows with a brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, folder: str) -> DataFrame:
-    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    docs = table(spark, folder, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, folder), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, folder)

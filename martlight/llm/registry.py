@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlight.llm import decontaminate, licenses, mixing, quality, sharding, simhash, tokens
+from martlight.llm import decontaminate, fingerprints, licenses, mixing, pages, quality, sharding, simhash, suffixes, tokens
 from martlight.llm.common import table
 from martlight.session import work_path
 
@@ -26,6 +26,14 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return tokens.read_tokens(spark, path)
 
 
+def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(table(spark, folder, "pages"))
+
+
+def op3_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(table(spark, folder, "documents"))
+
+
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source")
     return mixing.mix(docs, mixing.tempered(docs))
@@ -42,6 +50,10 @@ def op9_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_repeated_bytes(spark: SparkSession, folder: str) -> DataFrame:
+    return suffixes.remove_repeats(table(spark, folder, "documents"))
+
+
 def op6_benchmark_leaks(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
