@@ -5,11 +5,13 @@ Only the first 200 bytes of suffixes matter, so the recursion of the difference-
 * The suffixes at sampled places (place modulo 133 in a difference cover) are named by their first 68 bytes, and
   names are sorted and compared with their neighbours. Two places with equal strings of 200 bytes have, at the
   same distance of at most 132, a sampled place each, and these have equal names.
-* The suffixes from which a repeated name is within reach, and only those, are named by their first 200 bytes. Sorting
-  these names, the merge of sampled and other suffixes, puts equal prefixes side by side.
+* If all places of a name agree in all bytes that such strings can take in (132 before and 200 from the place), the
+  name settles the strings around it: they repeat if the name does.
+* The suffixes from which another repeated name is within reach, and only those, are named by their first 200 bytes.
+  Sorting these names, the merge of sampled and other suffixes, puts equal prefixes side by side.
 
 Names are hashes of rolling polynomials. Instead of single names, tasks exchange sorted arrays of them, and get back
-one bit for each.
+bits for each.
 """
 
 from __future__ import annotations
@@ -31,8 +33,10 @@ COVER = (1, 10, 11, 13, 27, 31, 68, 75, 83, 110, 115, 121)
 SHARED = LENGTH - PERIOD + 1
 #: Bytes hashed at once; bytes of text for each chunk of documents and for each bucket of names.
 PIECE, PER_CHUNK, PER_BUCKET = 1 << 21, 2 << 20, 16 << 20
-#: Bytes of a name that are sent: the first level is a filter, the second decides.
+#: Bytes of a name that are sent: the first level is a filter, the second decides. With the first goes its context.
 WIDTHS = (5, 8)
+#: The context of a place where the task that sends it has seen several.
+SEVERAL = 0
 
 _SAMPLED = np.zeros(PERIOD, dtype=bool)
 _SAMPLED[list(COVER)] = True
@@ -51,47 +55,58 @@ def _tables(n: int) -> list[np.ndarray]:
 class Slab:
     """Pieces of documents, joined, with the hashes of the strings in them.
 
-    A long document is cut; a piece then also has the bytes after it that strings from its own places reach.
+    A long document is cut; a piece then also has the bytes around its own places that strings and contexts take in.
     """
 
-    def __init__(self, pieces: list[tuple[int, int, bytes, int]]) -> None:
-        self.pieces = pieces  # document, offset, bytes, number of own places
+    def __init__(self, pieces: list[tuple[int, int, bytes, int, int, int]]) -> None:
+        self.pieces = pieces  # document, offset, bytes, first and last own place, size of the document
         sizes = np.array([len(p[2]) for p in pieces])
-        self.ends = np.cumsum(sizes)
-        self.starts = self.ends - sizes
+        self.starts = np.cumsum(sizes) - sizes
         data = np.frombuffer(b"".join([p[2] for p in pieces]), dtype=np.uint8)
         inside = np.arange(len(data)) - np.repeat(self.starts, sizes)
-        self.place = inside + np.repeat([p[1] for p in pieces], sizes)
+
+        def of(n: int) -> np.ndarray:
+            return np.repeat([p[n] for p in pieces], sizes)
+
+        self.place = inside + of(1)
         self.left = np.repeat(sizes, sizes) - inside
-        self.own = inside < np.repeat([p[3] for p in pieces], sizes)
+        self.rest = of(5) - self.place
+        self.own = (self.place >= of(3)) & (self.place < of(4))
         power, self._inverse = _tables(len(data))
         with np.errstate(over="ignore"):
             self._sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(_BYTES[data] * power[: len(data)])])
 
-    def names(self, at: np.ndarray, length: int) -> np.ndarray:
+    def names(self, at: np.ndarray, length: int | np.ndarray) -> np.ndarray:
         h = (self._sums[at + length] - self._sums[at]) * self._inverse[at]
         h ^= h >> np.uint64(32)
         h *= np.uint64(0x9E3779B97F4A7C15)
         return h ^ (h >> np.uint64(29))
 
+    def contexts(self, at: np.ndarray) -> np.ndarray:
+        """Hashes of all that strings with the place within reach take in, up to the ends of the document."""
+        before, after = np.minimum(self.place[at], PERIOD - 1), np.minimum(self.rest[at], LENGTH)
+        h = self.names(at - before, before + after) + (before * 1009 + after).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+        return np.maximum((h >> np.uint64(32)).astype(np.uint32), np.uint32(SEVERAL + 1))
+
     def sampled(self) -> np.ndarray:
         return np.flatnonzero(_SAMPLED[self.place % PERIOD] & (self.left >= SHARED))
 
-    def within_reach(self, repeated: np.ndarray) -> np.ndarray:
-        """Own places of strings that have one of the sampled places ``repeated`` within reach."""
+    def within_reach(self, sampled: np.ndarray) -> np.ndarray:
+        """Whether each place is an own one, of a whole string that has one of the places ``sampled`` within reach."""
         marks = np.zeros(len(self.left) + PERIOD + 1, dtype=np.int32)
-        marks[repeated + 1] = 1
+        marks[sampled + 1] = 1
         seen = np.cumsum(marks)
-        at = np.flatnonzero(self.own & (self.left >= LENGTH))
-        return at[seen[at + PERIOD] > seen[at]]
+        return self.own & (self.rest >= LENGTH) & (seen[PERIOD : PERIOD + len(self.left)] > seen[: len(self.left)])
 
 
 def slabs(texts: list[bytes]) -> Iterator[Slab]:
     held, size = [], 0
     for n, text in enumerate(texts):
-        for offset in range(0, len(text), PIECE):
-            part = text[offset : offset + PIECE + LENGTH - 1]
-            held.append((n, offset, part, min(PIECE, len(text) - offset)))
+        for own in range(0, len(text), PIECE):
+            end = min(own + PIECE, len(text))
+            offset = max(0, own - PERIOD + 1)
+            part = text[offset : end + PERIOD + LENGTH]
+            held.append((n, offset, part, own, end, len(text)))
             size += len(part)
             if size >= PIECE:
                 yield Slab(held)
@@ -103,60 +118,82 @@ def slabs(texts: list[bytes]) -> Iterator[Slab]:
 class Names:
     """The distinct names of a chunk, in the order in which they are sent to buckets."""
 
-    def __init__(self, parts: list[np.ndarray], buckets: int) -> None:
-        names = np.concatenate(parts) if parts else np.zeros(0, dtype=np.uint64)
-        self.names, counts = np.unique(names, return_counts=True)
+    def __init__(self, names: np.ndarray, buckets: int, contexts: np.ndarray | None = None) -> None:
+        self.names, first, counts = np.unique(names, return_index=True, return_counts=True)
         self.repeated = counts > 1
+        self.contexts = None
+        if contexts is not None:
+            self.contexts = contexts[first]
+            mixed = np.flatnonzero(contexts != self.contexts[np.searchsorted(self.names, names)])
+            self.contexts[np.searchsorted(self.names, names[mixed])] = SEVERAL
+            self.settled = self.contexts != SEVERAL
         self.buckets = buckets
         bucket = self.names % np.uint64(buckets)
         self.order = np.argsort(bucket, kind="stable")
         self.bounds = np.searchsorted(bucket[self.order], np.arange(buckets + 1, dtype=np.uint64))
 
-    def sent(self, level: int) -> Iterator[tuple[int, bytes]]:
-        rest = (self.names // np.uint64(self.buckets) if level == 0 else self.names)[self.order]
+    def sent(self) -> Iterator[tuple[int, bytes, bytes | None]]:
+        width = WIDTHS[self.contexts is None]
+        rest = (self.names // np.uint64(self.buckets) if self.contexts is not None else self.names)[self.order]
         for b in np.flatnonzero(np.diff(self.bounds)).tolist():
-            part = rest[self.bounds[b] : self.bounds[b + 1]]
-            yield b, part.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : WIDTHS[level]].tobytes()
+            part = slice(self.bounds[b], self.bounds[b + 1])
+            context = self.contexts[self.order[part]].astype("<u4").tobytes() if self.contexts is not None else None
+            yield b, rest[part].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes(), context
 
-    def told(self, answers: list[tuple[int, bytes]]) -> None:
-        for b, bits in answers:
+    def told(self, answers: list[tuple[int, bytes, bytes | None]]) -> None:
+        for b, repeated, settled in answers:
             inside = self.order[self.bounds[b] : self.bounds[b + 1]]
-            self.repeated[inside] |= np.unpackbits(np.frombuffer(bits, dtype=np.uint8), count=len(inside)).astype(bool)
+            self.repeated[inside] |= np.unpackbits(np.frombuffer(repeated, dtype=np.uint8), count=len(inside)).astype(bool)
+            if settled is not None:
+                self.settled[inside] &= np.unpackbits(np.frombuffer(settled, dtype=np.uint8), count=len(inside)).astype(bool)
 
-    def of(self, names: np.ndarray) -> np.ndarray:
-        """Whether names of the chunk are repeated."""
-        return self.repeated[np.searchsorted(self.names, names)] if len(self.names) else np.zeros(0, dtype=bool)
+    def number(self, names: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.names, names)
+
+
+def _joined(parts: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate(parts) if parts else np.zeros(0, dtype=kind)
 
 
 def first_names(texts: list[bytes], buckets: int) -> Names:
-    parts = []
+    names, contexts = [], []
     for slab in slabs(texts):
         at = slab.sampled()
-        parts.append(slab.names(at[slab.own[at]], SHARED))
-    return Names(parts, buckets)
+        at = at[slab.own[at]]
+        names.append(slab.names(at, SHARED))
+        contexts.append(slab.contexts(at))
+    return Names(_joined(names, np.uint64), buckets, _joined(contexts, np.uint32))
 
 
-def _reach(slab: Slab, first: Names) -> np.ndarray:
+def _reach(slab: Slab, first: Names) -> tuple[np.ndarray, np.ndarray]:
+    """Places of strings that a settled name says repeat; places of those that another repeated name leaves open."""
     at = slab.sampled()
-    names = slab.names(at, SHARED)
-    return slab.within_reach(at[first.of(names)])
+    number = first.number(slab.names(at, SHARED))
+    repeated, settled = first.repeated[number], first.settled[number]
+    return np.flatnonzero(slab.within_reach(at[repeated & settled])), np.flatnonzero(slab.within_reach(at[repeated & ~settled]))
 
 
 def second_names(texts: list[bytes], first: Names) -> Names:
-    return Names([slab.names(_reach(slab, first), LENGTH) for slab in slabs(texts)], first.buckets)
+    parts = []
+    for slab in slabs(texts):
+        _, at = _reach(slab, first)
+        parts.append(slab.names(at, LENGTH))
+    return Names(_joined(parts, np.uint64), first.buckets)
 
 
 def covered(texts: list[bytes], first: Names, second: Names) -> list[np.ndarray]:
     """For each text, which of its bytes are covered by a repeated string."""
     masks = [np.zeros(len(t), dtype=bool) for t in texts]
     for slab in slabs(texts):
-        at = _reach(slab, first)
-        at = at[second.of(slab.names(at, LENGTH))]
-        steps = np.zeros(len(slab.left) + LENGTH + 1, dtype=np.int32)
-        np.add.at(steps, at, 1)
-        np.add.at(steps, at + LENGTH, -1)
+        sure, at = _reach(slab, first)
+        starts = np.zeros(len(slab.left) + LENGTH + 1, dtype=np.int32)
+        starts[sure] = 1
+        if len(at):
+            starts[at[second.repeated[second.number(slab.names(at, LENGTH))]]] = 1
+        steps = starts.copy()
+        steps[LENGTH:] -= starts[:-LENGTH]
         inside = np.cumsum(steps) > 0
-        for (n, offset, part, _), start in zip(slab.pieces, slab.starts.tolist(), strict=True):
+        for (n, offset, part, *_), start in zip(slab.pieces, slab.starts.tolist(), strict=True):
             masks[n][offset : offset + len(part)] |= inside[start : start + len(part)]
     return masks
 
@@ -169,7 +206,10 @@ def _decode(blob: bytes, width: int) -> np.ndarray:
 
 
 def _answers(sent: DataFrame, level: int) -> DataFrame:
-    """(chunk, bucket, level, bits): for each array of names, which of them another chunk has too."""
+    """(chunk, bucket, level, repeated, settled): bits for each array of names.
+
+    They say which names another chunk has too, and at the first level which have one context everywhere.
+    """
     width = WIDTHS[level]
 
     def compare(rows: pa.Table) -> pa.Table:
@@ -181,23 +221,36 @@ def _answers(sent: DataFrame, level: int) -> DataFrame:
         repeated[order[1:][same]] = True
         repeated[order[:-1][same]] = True
         ends = np.cumsum([len(p) for p in parts])
-        bits = [np.packbits(repeated[e - len(p) : e]).tobytes() for p, e in zip(parts, ends.tolist(), strict=True)]
+
+        def bits(flags: np.ndarray) -> pa.Array:
+            return pa.array([np.packbits(flags[e - len(p) : e]).tobytes() for p, e in zip(parts, ends.tolist(), strict=True)], pa.binary())
+
+        settled = pa.nulls(len(parts), pa.binary())
+        if level == 0:
+            contexts = np.frombuffer(b"".join(rows.column("contexts").to_pylist()), dtype="<u4")[order]
+            group = np.concatenate([[0], np.cumsum(~same)])
+            mixed = np.zeros(group[-1] + 1, dtype=bool)
+            mixed[group[contexts == SEVERAL]] = True
+            mixed[group[1:][same & (contexts[1:] != contexts[:-1])]] = True
+            flags = np.empty(len(names), dtype=bool)
+            flags[order] = ~mixed[group]
+            settled = bits(flags)
         levels = pa.array(np.full(len(parts), level, dtype=np.int32))
-        return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "level": levels, "bits": pa.array(bits, pa.binary())})
+        return pa.table({"chunk": rows.column("chunk"), "bucket": rows.column("bucket"), "level": levels, "repeated": bits(repeated), "settled": settled})
 
-    return sent.groupBy("bucket").applyInArrow(compare, "chunk long, bucket int, level int, bits binary")
+    return sent.groupBy("bucket").applyInArrow(compare, "chunk long, bucket int, level int, repeated binary, settled binary")
 
 
-def _told(answers: pa.Table, level: int) -> list[tuple[int, bytes]]:
-    rows = zip(answers.column("level").to_pylist(), answers.column("bucket").to_pylist(), answers.column("bits").to_pylist(), strict=True)
-    return [(b, bits) for x, b, bits in rows if x == level]
+def _told(answers: pa.Table, level: int) -> list[tuple[int, bytes, bytes | None]]:
+    columns = (answers.column(c).to_pylist() for c in ("level", "bucket", "repeated", "settled"))
+    return [(b, repeated, settled) for x, b, repeated, settled in zip(*columns, strict=True) if x == level]
 
 
-def _rows(chunk: int, names: Names, level: int) -> pa.Table:
-    sent = list(names.sent(level))
+def _rows(chunk: int, names: Names) -> pa.Table:
+    sent = list(names.sent())
     return pa.table({
-        "chunk": pa.array([chunk] * len(sent), pa.int64()), "bucket": pa.array([b for b, _ in sent], pa.int32()),
-        "names": pa.array([x for _, x in sent], pa.binary()),
+        "chunk": pa.array([chunk] * len(sent), pa.int64()), "bucket": pa.array([b for b, _, _ in sent], pa.int32()),
+        "names": pa.array([x for _, x, _ in sent], pa.binary()), "contexts": pa.array([x for _, _, x in sent], pa.binary()),
     })
 
 
@@ -211,23 +264,24 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     Documents go to chunks of about 2 MB by a hash of id and text, so that a pass over them can be repeated. The texts
     are shuffled once, by chunk: all three passes read the same exchange. Names go to buckets by their hash, at most one
     array for each chunk and bucket, so a string that a third of the rows have adds one name for each chunk. Two
-    different strings of 200 bytes are taken for equal with a chance of 2^-64 for each pair.
+    different strings of 200 bytes are taken for equal with a chance of 2^-64 for each pair, two different contexts of
+    equal names with one of 2^-32.
     """
     spark: SparkSession = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, buckets = (max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // size)) for size in (PER_CHUNK, PER_BUCKET))
     key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk")
     rows = docs.select("doc_id", F.encode(text_of(), "UTF-8").alias("body"), key)
-    schema = "chunk long, bucket int, names binary"
+    schema = "chunk long, bucket int, names binary, contexts binary"
 
     def first(group: pa.Table) -> pa.Table:
-        return _rows(group.column("chunk")[0].as_py(), first_names(group.column("body").to_pylist(), buckets), 0)
+        return _rows(group.column("chunk")[0].as_py(), first_names(group.column("body").to_pylist(), buckets))
 
     def second(group: pa.Table, answers: pa.Table) -> pa.Table:
         texts = group.column("body").to_pylist()
         names = first_names(texts, buckets)
         names.told(_told(answers, 0))
-        return _rows(group.column("chunk")[0].as_py(), second_names(texts, names), 1) if texts else _rows(0, Names([], buckets), 1)
+        return _rows(group.column("chunk")[0].as_py() if texts else 0, second_names(texts, names))
 
     def result(group: pa.Table, answers: pa.Table) -> pa.Table:
         texts = group.column("body").to_pylist()
