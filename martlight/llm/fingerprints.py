@@ -34,7 +34,7 @@ def _check(key: Column) -> Column:
 
 
 def _block(key: Column, blocks: Column) -> Column:
-    return F.pmod(key, blocks.cast("long"))
+    return key.bitwiseAND(blocks - 1)
 
 
 def _placed(n: Column, key: Column) -> Column:
@@ -94,8 +94,13 @@ def peel(cells: Column) -> Column:
     """
 
     def pure(cells: Column) -> Column:
-        alone = F.filter(cells, lambda c: (F.abs(c["n"]) == 1) & (c["check"] == _check(c["key"])))
-        return F.array_distinct(F.transform(alone, lambda c: _placed(c["n"], c["key"])))
+        alone = F.filter(cells, lambda c: ((c["n"] == 1) | (c["n"] == -1)) & (c["check"] == _check(c["key"])))
+
+        def placed(alone: Column, n: int) -> Column:
+            keys = F.array_distinct(F.transform(F.filter(alone, lambda c: c["n"] == n), lambda c: c["key"]))
+            return F.transform(keys, lambda key: _placed(F.lit(n), key))
+
+        return let(alone, lambda alone: F.concat(placed(alone, 1), placed(alone, -1)))
 
     def less(cell: Column, p: Column) -> Column:
         return F.struct(
