@@ -21,7 +21,7 @@ from martlight.llm.common import small_batches, text_of
 MAGIC = 0x31434144
 RANK_BITS = 512
 #: Ids of a segment, unless one document alone has more; chunks of text in the memo of a worker.
-SEGMENT, MEMO = 1 << 20, 300_000
+SEGMENT, MEMO = 1 << 20, 900_000
 _BITS = np.array([bin(n).count("1") for n in range(256)], dtype=np.uint32)
 
 
@@ -106,25 +106,63 @@ class Encoder:
     """Encodes texts by the pieces between ASCII white space.
 
     The tokenizer splits at white space and drops it, so the ids of a text are those of its pieces, joined; ASCII
-    letters are lower-cased, which it does too. Pieces recur, so each worker keeps a bounded memo of them.
+    letters are lower-cased, which it does too. It also splits where an ASCII letter is followed by other ASCII signs
+    than an apostrophe, so such an ending is encoded apart. Pieces recur; each worker keeps a bounded memo of them.
     """
 
+    ENDINGS = b".,!?;:*|$%&#()[]-"
+    LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.last[[n for word, n in vocabulary.items() if word.endswith("</w>")]] = True
+
+    def _plain(self, pieces: list[bytes]) -> None:
+        for at in range(0, len(pieces), 8192):
+            some = pieces[at : at + 8192]
+            for p, e in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False), strict=True):
+                self.memo[p] = np.array(e.ids, dtype="<u4").tobytes()
+
+    def _words(self, words: list[bytes]) -> None:
+        """Words of letters only, encoded in rows; each ends with an id that ends a word, which cuts the rows."""
+        rows = [words[at : at + 512] for at in range(0, len(words), 512)]
+        found = self.tokenizer.encode_batch_fast([b" ".join(row).decode() for row in rows], add_special_tokens=False)
+        for row, e in zip(rows, found, strict=True):
+            ids = np.array(e.ids, dtype="<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(row) or ends[-1] != len(ids):
+                self._plain(row)
+                continue
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(row, (ends * 4).tolist(), strict=True):
+                self.memo[word] = raw[start:end]
+                start = end
+
+    def _learn(self, new: list[bytes]) -> None:
+        cut = {}
+        for p in new:
+            core = p.rstrip(self.ENDINGS)
+            cut[p] = core if core and core[-1] in self.LETTERS else p
+        parts = set(cut.values()) | {p[len(core) :] for p, core in cut.items() if len(core) < len(p)}
+        parts = [p for p in parts if p not in self.memo]
+        words = [p for p in parts if p.decode().isalpha()]
+        self._words(words)
+        self._plain([p for p in parts if p not in self.memo])
+        for p, core in cut.items():
+            if len(core) < len(p):
+                self.memo[p] = self.memo[core] + self.memo[p[len(core) :]]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         pieces = [text.lower().split() for text in texts]
         if len(self.memo) > MEMO:
             self.memo.clear()
-        new = list({p for row in pieces for p in row if p not in self.memo})
-        for at in range(0, len(new), 8192):
-            some = new[at : at + 8192]
-            for p, e in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False), strict=True):
-                self.memo[p] = np.array(e.ids, dtype="<u4").tobytes()
         memo = self.memo
-        return [np.frombuffer(b"".join([memo[p] for p in row]), dtype="<u4") for row in pieces]
+        self._learn([p for p in set().union(*pieces) if p not in memo])
+        return [np.frombuffer(b"".join(map(memo.__getitem__, row)), dtype="<u4") for row in pieces]
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, order: list[Column], segment: int = SEGMENT) -> None:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from martlight.llm import registry, tokens
 from martlight.session import work_path
 
-ODD = ["", "don't we'll  A'S", "x y\x1cz\x85w", "Ａｂｃ Ç é İ ΑΣ", "a" * 3000, "\U0001f600 !!?? 12345\t\r\n", " \n "]
+ODD = ["", "don't we'll  A'S", "x y\x1cz\x85w", "Ａｂｃ Ç é İ ΑΣ", "a" * 3000, "\U0001f600 !!?? 12345\t\r\n", " \n ", "end.) it's- caf\u0301! caf\u00e9!? \u2014! o\u0301k? \u01c5a \u02b0b x1. 1x.. a'! ...a \u0bcd\u0b95"]
 
 
 def plain(texts):
