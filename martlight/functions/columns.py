@@ -62,13 +62,16 @@ def number(column: Column) -> Column:
     return F.coalesce(F.nanvl(column.try_cast("double"), F.lit(0.0)), F.lit(0.0))
 
 
+#: Forms of a date beside ISO.
+DATE_FORMS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy", "yyyy/M/d", "d.M.yyyy", "MMM d, yyyy")
+
+
 def flexible_date(column: Column) -> Column:
-    """ISO or month-first text to date; unreadable text is an error, missing text is NULL."""
+    """ISO, month-first, dotted day-first or month-name text to date; unreadable text is an error, missing text is NULL."""
     text = missing_to_null(column)
     parsed = F.coalesce(
         text.try_cast("date"),
-        F.to_date(F.try_to_timestamp(text, F.lit("M/d/yyyy H:mm"))),
-        F.to_date(F.try_to_timestamp(text, F.lit("M/d/yyyy"))),
+        *[F.to_date(F.try_to_timestamp(text, F.lit(form))) for form in DATE_FORMS],
     )
     bad = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("date")
     return F.when(parsed.isNotNull() | text.isNull(), parsed).otherwise(bad)

@@ -26,9 +26,12 @@ def _chunk_sessions(chunks: DataFrame, user: str, gap_seconds: int) -> DataFrame
 
 
 def inactivity_sessions(events: DataFrame, user: str, ts: str, gap_minutes: int = 30) -> DataFrame:
-    """One row per session: user, number, first and last event, event count, duration in seconds."""
+    """One row per session: user, number, first and last event, event count, duration in seconds.
+
+    Events without a user belong to no session.
+    """
     gap = gap_minutes * 60
-    chunks = events.groupBy(user, _chunk(F.col(ts), gap).alias("_chunk")).agg(
+    chunks = events.where(F.col(user).isNotNull()).groupBy(user, _chunk(F.col(ts), gap).alias("_chunk")).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_events")
     )
     sessions = _chunk_sessions(chunks, user, gap)

@@ -8,12 +8,16 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from martlight.session import materialize
+
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     try:
         spark.read.schema("_probe int").parquet(path)
         return True
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
 
 
@@ -24,9 +28,12 @@ def _laid_out(df: DataFrame, partition: str, cluster: tuple[str, ...]) -> DataFr
 
 
 def replace_table(df: DataFrame, path: str, partition: str | None = None, cluster: tuple[str, ...] = ()) -> None:
-    """Create or replace a table, optionally partitioned by a date and sorted by cluster columns."""
+    """Create or replace a table, optionally partitioned by a date and sorted by cluster columns.
+
+    An unpartitioned table, which a failing query would leave empty, is written aside first.
+    """
     if partition is None:
-        df.write.mode("overwrite").parquet(path)
+        materialize(df, "replacement").write.mode("overwrite").parquet(path)
         return
     (
         _laid_out(df, partition, cluster)

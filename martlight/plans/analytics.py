@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martlight.functions.classify import is_paid
 from martlight.functions.columns import date_bucket, ratio
 from martlight.operators.funnels import long_form
-from martlight.operators.series import period_overlay, share
+from martlight.operators.series import dense_days, period_overlay, share
 
 # Every join below is between frames already aggregated to a report grain (day, channel, campaign, product).
 
@@ -75,6 +75,7 @@ def funnel_change(conversions: DataFrame, stages: tuple[str, ...]) -> DataFrame:
     weekly = conversions.groupBy(date_bucket(F.col("date"), "week").alias("week_start")).agg(
         *[F.sum(c).alias(c) for c in stages]
     )
+    weekly = dense_days(weekly, stages, time="week_start", step="7 days")  # a week without rows has no users
     rows = F.array(*[F.struct(F.lit(c).alias("stage_name"), F.col(c).alias("users")) for c in stages])
     long = weekly.select("week_start", F.inline(rows))
     previous = F.lag("users").over(Window.partitionBy("stage_name").orderBy("week_start"))
@@ -284,13 +285,18 @@ def cohort_table(applications: DataFrame, as_of: date, mature_days: int = 14) ->
     )
 
 
-def approval_curve(applications: DataFrame, days: int = 7) -> DataFrame:
-    """Share of each weekly cohort approved within 0..``days`` days of the application."""
+def approval_curve(applications: DataFrame, days: int | None = None) -> DataFrame:
+    """Share of each weekly cohort approved within 0..``days`` days of the application, by default to the last approval."""
     cohort = date_bucket(F.col("apply_date"), "week").alias("cohort_week")
     lag = F.when(F.col("status") == "approved", F.date_diff("approval_date", "apply_date")).alias("day")
     per_day = applications.select(cohort, lag).groupBy("cohort_week", "day").agg(F.count(F.lit(1)).alias("n"))
     sizes = per_day.groupBy("cohort_week").agg(F.sum("n").alias("applies"))
-    grid = sizes.select("cohort_week", "applies", F.explode(F.sequence(F.lit(0), F.lit(days))).alias("day"))
+    if days is None:  # one row
+        last = per_day.agg(F.greatest(F.coalesce(F.max("day"), F.lit(0)), F.lit(0)).alias("last_day"))
+        sizes = sizes.crossJoin(F.broadcast(last))
+    else:
+        sizes = sizes.withColumn("last_day", F.lit(days))
+    grid = sizes.select("cohort_week", "applies", F.explode(F.sequence(F.lit(0), F.col("last_day"))).alias("day"))
     found = grid.join(per_day, ["cohort_week", "day"], "left")
     running = Window.partitionBy("cohort_week").orderBy("day").rowsBetween(Window.unboundedPreceding, 0)
     total = F.sum(F.coalesce("n", F.lit(0))).over(running)

@@ -29,8 +29,8 @@ CHARTS = {
     "total_apply_clicks": QuerySpec(CONVERSIONS, ("applies",)),
     "bounce_rate": QuerySpec(SESSIONS, ("bounce_rate_pct",)),
     "conversion_rate": QuerySpec(CONVERSIONS, ("cvr_pct",)),
-    "daily_performance_trend": QuerySpec(SESSIONS, ("sessions", "users"), grain="P1D", limit=1000),
-    "channel_contribution": QuerySpec(SESSIONS, ("sessions",), ("channel_group",), grain="P1W", limit=1000),
+    "daily_performance_trend": QuerySpec(SESSIONS, ("sessions", "users"), grain="P1D"),
+    "channel_contribution": QuerySpec(SESSIONS, ("sessions",), ("channel_group",), grain="P1W"),
     "channel_performance": QuerySpec(
         CONVERSIONS,
         ("total_sessions", "total_users", "applies", "registrations", "cvr_pct"),
@@ -45,7 +45,7 @@ CHARTS = {
         order=BY_REGISTRATIONS,
         limit=20,
     ),
-    "channel_trend": QuerySpec(SESSIONS, ("sessions",), ("channel_group",), grain="P1D", limit=5000),
+    "channel_trend": QuerySpec(SESSIONS, ("sessions",), ("channel_group",), grain="P1D"),
     "registrations_by_channel": QuerySpec(
         CONVERSIONS, ("registrations",), ("channel_group",), order=BY_REGISTRATIONS, limit=20
     ),
@@ -60,9 +60,9 @@ CHARTS = {
     "sessions_by_product": QuerySpec(
         SESSIONS, ("sessions",), ("product_category",), order=(("sessions", True),), limit=10
     ),
-    "loans_funnel": QuerySpec(CONVERSIONS, ("loans_pageview",), limit=10),
-    "loans_funnel_stages": QuerySpec(CONVERSIONS, LOAN_STAGES, limit=1),
-    "cards_deposits_funnel": QuerySpec(CONVERSIONS, CARD_STAGES, limit=1),
+    "loans_funnel": QuerySpec(CONVERSIONS, ("loans_pageview",)),
+    "loans_funnel_stages": QuerySpec(CONVERSIONS, LOAN_STAGES),
+    "cards_deposits_funnel": QuerySpec(CONVERSIONS, CARD_STAGES),
     "funnel_by_channel": QuerySpec(
         CONVERSIONS,
         ("total_sessions", "applies", "registrations", "cvr_pct"),
@@ -70,7 +70,7 @@ CHARTS = {
         order=BY_REGISTRATIONS,
         limit=20,
     ),
-    "registrations_trend": QuerySpec(CONVERSIONS, ("registrations",), grain="P1D", limit=1000),
+    "registrations_trend": QuerySpec(CONVERSIONS, ("registrations",), grain="P1D"),
     "weekly_registration_cohorts": QuerySpec(
         CONVERSIONS,
         ("total_sessions", "applies", "registrations"),
@@ -79,7 +79,7 @@ CHARTS = {
         limit=10,
     ),
     "device_performance": QuerySpec(
-        SESSIONS, ("sessions", "users", "bounce_rate_pct", "avg_duration_sec"), ("device_category",), limit=10
+        SESSIONS, ("sessions", "users", "bounce_rate_pct", "avg_duration_sec"), ("device_category",)
     ),
     "country_performance": QuerySpec(
         CONVERSIONS,
@@ -88,7 +88,7 @@ CHARTS = {
         order=BY_REGISTRATIONS,
         limit=15,
     ),
-    "new_vs_returning_users": QuerySpec(SESSIONS, ("sessions", "users", "bounce_rate_pct"), ("user_type",), limit=5),
+    "new_vs_returning_users": QuerySpec(SESSIONS, ("sessions", "users", "bounce_rate_pct"), ("user_type",)),
     "armenia_cities": QuerySpec(
         CONVERSIONS,
         ("total_sessions", "registrations"),
@@ -118,7 +118,7 @@ CHARTS = {
         BANK, ("loans",), ("channel_group",), last_month=True, order=(("loans", True),), limit=10
     ),
     "full_funnel_by_bank_product": QuerySpec(
-        BANK, ("loans", "cards", "deposits", "revenue"), ("product_category",), last_month=True, limit=10
+        BANK, ("loans", "cards", "deposits", "revenue"), ("product_category",), last_month=True
     ),
     "new_vs_returning_revenue": QuerySpec(
         BANK, ("revenue",), ("is_existing_customer",), last_month=True, order=BY_REVENUE, limit=10

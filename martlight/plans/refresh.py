@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +45,14 @@ def marts_path(warehouse: str, table: str) -> str:
     return f"{warehouse}/marts/{table}"
 
 
+def reason(error: Exception) -> str:
+    return f"{type(error).__name__}: {(str(error).splitlines() or [''])[0]}"
+
+
+#: Tables that need the staged events.
+EVENT_TABLES = ("dim_channel", "fact_sessions", "fact_conversions", "funnel_loans", "funnel_registration", "funnel_summary")
+
+
 def refresh(
     spark: SparkSession,
     raw_events: DataFrame,
@@ -71,8 +78,8 @@ def refresh(
     def attempt(table: str, mode: str, write: Callable[[], None]) -> bool:
         try:
             write()
-        except PySparkException as error:
-            status.append((table, mode, False, str(error).splitlines()[0]))
+        except Exception as error:  # noqa: BLE001  failed reads and tasks come as errors of the JVM
+            status.append((table, mode, False, reason(error)))
             return False
         status.append((table, mode, True, None))
         return True
@@ -88,27 +95,33 @@ def refresh(
 
     seen = Observation()
     parsed = stg_events(raw_events, site, since=first_day).select(*STAGED_COLUMNS)
-    staged = materialize(parsed.observe(seen, F.count(F.lit(1)).alias("rows")), "stg-events")
-    clean = stg_events_clean(staged, test_users=test_users, site=site)
-
-    pairs = staged.select("source_clean", "channel_group")
-    if incremental:
-        # At most a few hundred pairs; written aside because the table itself is replaced.
-        known = spark.read.parquet(table("dim_channel")).select("source_clean", "channel_group")
-        pairs = materialize(pairs.unionByName(known).distinct(), "channel-pairs")
-    attempt("dim_channel", "full", lambda: replace_table(dims.dim_channel(pairs), table("dim_channel")))
+    staged = None
+    try:
+        staged = materialize(parsed.observe(seen, F.count(F.lit(1)).alias("rows")), "stg-events")
+    except Exception as error:  # noqa: BLE001
+        status += [(name, "incremental" if incremental else "full", False, reason(error)) for name in EVENT_TABLES]
+    if staged is not None:
+        clean = stg_events_clean(staged, test_users=test_users, site=site)
+
+        pairs = staged.select("source_clean", "channel_group")
+        if incremental:
+            # At most a few hundred pairs; written aside because the table itself is replaced.
+            known = spark.read.parquet(table("dim_channel")).select("source_clean", "channel_group")
+            pairs = materialize(pairs.unionByName(known).distinct(), "channel-pairs")
+        attempt("dim_channel", "full", lambda: replace_table(dims.dim_channel(pairs), table("dim_channel")))
     attempt("dim_date", "full", lambda: replace_table(dims.dim_date(spark), table("dim_date")))
     attempt("dim_product", "full", lambda: replace_table(dim_product(spark), table("dim_product")))
 
-    def write_dated(name: str, build: Callable[[DataFrame], DataFrame], frame: DataFrame, cluster: tuple[str, ...]):
-        if full or not stored[name]:
-            attempt(name, "full", lambda: replace_table(build(frame), table(name), "date", cluster))
-        else:
-            recent = frame.where(F.col("event_date") >= F.lit(since))
-            attempt(name, "incremental", lambda: replace_recent(build(recent), table(name), since, "date", cluster))
+    if staged is not None:
+        def write_dated(name: str, build: Callable[[DataFrame], DataFrame], frame: DataFrame, cluster: tuple[str, ...]):
+            if full or not stored[name]:
+                attempt(name, "full", lambda: replace_table(build(frame), table(name), "date", cluster))
+            else:
+                recent = frame.where(F.col("event_date") >= F.lit(since))
+                attempt(name, "incremental", lambda: replace_recent(build(recent), table(name), since, "date", cluster))
 
-    write_dated("fact_sessions", facts.fact_sessions, staged, facts.CLUSTER)
-    write_dated("fact_conversions", lambda frame: facts.fact_conversions(frame, conversions), clean, facts.CLUSTER)
+        write_dated("fact_sessions", facts.fact_sessions, staged, facts.CLUSTER)
+        write_dated("fact_conversions", lambda frame: facts.fact_conversions(frame, conversions), clean, facts.CLUSTER)
 
     if google_stats is not None:
         attempt(
@@ -125,28 +138,32 @@ def refresh(
                 )
 
             attempt("fact_ad_spend", "full", unified)
+    elif meta_insights is not None:
+        status.append(("fact_ad_spend", "full", False, "skipped: there are no Google statistics to unite with"))
 
-    write_dated("funnel_loans", lambda frame: funnel(frame, LOANS), clean, ("channel_group",))
-    write_dated("funnel_registration", lambda frame: funnel(frame, REGISTRATION), clean, facts.CLUSTER)
-    attempt(
-        "funnel_summary",
-        "full",
-        lambda: replace_table(funnel_summary(clean, as_of, SUMMARY_DAYS), table("funnel_summary")),
-    )
+    if staged is not None:
+        write_dated("funnel_loans", lambda frame: funnel(frame, LOANS), clean, ("channel_group",))
+        write_dated("funnel_registration", lambda frame: funnel(frame, REGISTRATION), clean, facts.CLUSTER)
+        attempt(
+            "funnel_summary",
+            "full",
+            lambda: replace_table(funnel_summary(clean, as_of, SUMMARY_DAYS), table("funnel_summary")),
+        )
 
     status_rows = spark.createDataFrame(status, STATUS_SCHEMA)
+    expected = len(EVENT_TABLES) + len(("dim_date", "dim_product")) + (google_stats is not None) + (meta_insights is not None)
     def checked_table(name: str, checks: list) -> DataFrame:
         try:
             return materialize(run_checks(spark.read.parquet(table(name)), checks), "checks")
-        except PySparkException:
+        except Exception:  # noqa: BLE001
             return not_run(spark, checks)
 
     results = [checked_table(name, checks) for name, checks in refresh_checks(as_of).items()]
-    results.append(completeness(status_rows, len(status)))
+    results.append(completeness(status_rows, expected))
     checked = reduce(DataFrame.unionByName, results)
     totals = summary(checked)
     ok = all(row[2] for row in status) and totals.first()["ok"]
-    return Outcome(status_rows, checked, totals, ok, seen.get["rows"])
+    return Outcome(status_rows, checked, totals, ok, seen.get["rows"] if staged is not None else 0)
 
 
 MARTS = (

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from martlight.functions.classify import Site, channel_group, product_category, source_clean
 from martlight.functions.columns import event_param
 from martlight.sources.literals import event_mapping
-from martlight.sources.readers import between_days, broadcast_if_small
+from martlight.sources.readers import between_days
 
 
 def stg_events(
@@ -69,12 +69,14 @@ def stg_events_clean(
 ) -> DataFrame:
     """Staged events with cleaned names, flow, funnel step and test flag.
 
-    The default mapping is a fixed list of 16 rows. A mapping of the caller's is broadcast only if small.
+    The default mapping is a fixed list of 16 rows. A mapping of the caller's must have each event once.
     """
     if mapping is None:
         mapping = F.broadcast(event_mapping(staged.sparkSession, site, documented))
     else:
-        mapping = broadcast_if_small(mapping)
+        repeated = mapping.groupBy("original_event").count().where("count > 1").head()
+        if repeated:
+            raise ValueError(f"the mapping has {repeated['original_event']!r} more than once")
     rules = mapping.select(
         "original_event", "clean_event", F.col("flow").alias("_flow"), F.col("funnel_step").alias("_step")
     )
@@ -95,11 +97,16 @@ def without_tests(clean: DataFrame) -> DataFrame:
     return clean.where(~F.col("is_test_event"))
 
 
-def without_personal_data(staged: DataFrame, keep_hash: bool = False) -> DataFrame:
-    """Staged rows as they may leave staging: no login id, no application token, no page query text."""
+def without_personal_data(staged: DataFrame, salt: str | None = None) -> DataFrame:
+    """Staged rows as they may leave staging: no login id, no application token, no query text of page or referrer.
+
+    With a ``salt``, which the caller keeps secret, a keyed hash stands for the login id.
+    """
     safe = staged.withColumn("page_location", landing_page("page_location"))
-    if keep_hash:
-        safe = safe.withColumn("user_hash", F.sha2("user_id", 256))
+    safe = safe.withColumn("page_referrer", F.regexp_replace("page_referrer", r"[?#][\s\S]*$", ""))
+    if salt:
+        inner = F.sha2(F.concat(F.lit(salt), F.col("user_id")), 256)
+        safe = safe.withColumn("user_hash", F.sha2(F.concat(F.lit(salt), inner), 256))
     return safe.drop("user_id", "access_token_sub_id")
 
 

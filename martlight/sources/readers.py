@@ -11,14 +11,13 @@ from pyspark.sql.types import StructType
 from martlight.sources import schemas
 
 USD_TO_AMD = 400.0
-START_DATE = date(2025, 12, 1)
 
 
 def day_key(day: date) -> str:
     return day.strftime("%Y%m%d")
 
 
-def events(spark: SparkSession, path: str, since: date | None = START_DATE, until: date | None = None) -> DataFrame:
+def events(spark: SparkSession, path: str, since: date | None = None, until: date | None = None) -> DataFrame:
     """Raw web events; ``since``/``until`` prune the ``event_date`` partitions of the scan."""
     frame = spark.read.schema(schemas.EVENTS).parquet(path)
     return between_days(frame, since, until)
@@ -87,15 +86,15 @@ def fill_local_spend(spend: DataFrame, usd_to_amd: float = USD_TO_AMD) -> DataFr
     return spend.withColumn("spend_amd", F.coalesce("spend_amd", F.col("spend_usd") * F.lit(usd_to_amd)))
 
 
-def upload(spark: SparkSession, path: str, kind: str, schema: str, row_cap: int | None = None) -> DataFrame:
-    """A user upload: csv, tsv or parquet, cut to ``row_cap`` rows where the caller sets one."""
+def upload(spark: SparkSession, path: str, kind: str, schema: str) -> DataFrame:
+    """A user upload: csv, tsv or parquet, whole."""
     if kind == "parquet":
         frame = spark.read.schema(schema).parquet(path)
     elif kind in ("csv", "tsv"):
         frame = typed_csv(spark, path, schema, "," if kind == "csv" else "\t")
     else:
         raise ValueError(f"upload kind must be csv, tsv or parquet, not {kind!r}")
-    return frame if row_cap is None else frame.limit(row_cap)
+    return frame
 
 
 def date_spine(spark: SparkSession, start: Column | date, end: Column | date, source: DataFrame | None = None) -> DataFrame:
@@ -114,8 +113,3 @@ def literal_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFr
         for row in rows
     ]
     return spark.range(1).select(F.inline(F.array(*structs)))
-
-
-def broadcast_if_small(frame: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast a caller-supplied table only after its size has been checked."""
-    return F.broadcast(frame) if frame.limit(max_rows + 1).count() <= max_rows else frame

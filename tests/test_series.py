@@ -101,7 +101,8 @@ def test_approval_curve_and_cohorts(spark):
     rows = [("approved", day, day + timedelta(days=n)) for n in (1, 1, 3, 9)] + [("pending", day, None), ("rejected", day, None)]
     apps = spark.createDataFrame(rows, "status string, apply_date date, approval_date date")
     curve = [r.approved_so_far for r in analytics.approval_curve(apps).orderBy("day").collect()]
-    assert curve == [0, 2, 2, 3, 3, 3, 3, 3]
+    assert curve == [0, 2, 2, 3, 3, 3, 3, 3, 3, 4]
+    assert analytics.approval_curve(apps, 2).count() == 3
     row = analytics.cohort_table(apps, date(2024, 1, 10)).first()
     assert (row.applies, row.approved, row.pending, row.avg_days, row.maturing) == (6, 4, 1, 3.5, True)
     assert not analytics.cohort_table(apps, date(2024, 1, 15)).first().maturing

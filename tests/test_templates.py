@@ -42,7 +42,7 @@ def test_uploads(spark, tmp_path):
     frame.write.parquet(str(tmp_path / "p"))
     frame.write.option("header", True).option("sep", "\t").csv(str(tmp_path / "t"))
     assert readers.upload(spark, str(tmp_path / "t"), "tsv", "k int, v string").count() == 5
-    assert readers.upload(spark, str(tmp_path / "p"), "parquet", "k int, v string", row_cap=3).count() == 3
+    assert readers.upload(spark, str(tmp_path / "p"), "parquet", "k int, v string").count() == 5
     with pytest.raises(ValueError):
         readers.upload(spark, "x", "xlsx", "k int")
 

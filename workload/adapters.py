@@ -139,7 +139,7 @@ def _january(index: Column) -> Column:
 def google_ads_stats(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "lineitem")
-        .where(F.col("l_returnflag") == "A")
+        .where(F.col("l_returnflag") == "R")
         .select(
             _january(F.col("l_orderkey")).alias("data_date"),
             F.concat(F.lit("camp_"), (F.col("l_partkey") % 6).cast("string")).alias("campaign_name"),
@@ -155,7 +155,7 @@ def google_ads_stats(spark: SparkSession, folder: str) -> DataFrame:
 def meta_insights(spark: SparkSession, folder: str) -> DataFrame:
     return (
         table(spark, folder, "lineitem")
-        .where(F.col("l_returnflag") == "R")
+        .where(F.col("l_returnflag") != "R")
         .select(
             _january(F.col("l_orderkey")).alias("date_start"),
             F.concat(F.lit("camp_"), (F.col("l_partkey") % 6).cast("string")).alias("campaign_name"),

@@ -240,13 +240,13 @@ CTES["google"] = """SELECT DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER)
   floor(l_quantity) * (l_partkey % 20) AS impressions, CAST(l_partkey % 50 AS DOUBLE) AS clicks,
   floor(l_extendedprice * 10000) / 1000000 AS spend_usd, floor(l_extendedprice * 10000) / 1000000 * 400 AS spend_amd,
   CAST(l_suppkey % 4 AS DOUBLE) AS conversions
-FROM lineitem WHERE l_returnflag = 'A'"""
+FROM lineitem WHERE l_returnflag = 'R'"""
 
 CTES["meta"] = """SELECT DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER) AS date,
   'camp_' || (l_partkey % 6) AS campaign, 'set_' || l_linenumber AS ad_group,
   floor(l_quantity) * (l_partkey % 20) AS impressions, CAST(l_partkey % 50 AS DOUBLE) AS clicks,
   l_extendedprice / 100 AS spend_usd, l_extendedprice / 100 * 400 AS spend_amd, CAST(l_partkey AS DOUBLE) AS reach
-FROM lineitem WHERE l_returnflag = 'R'"""
+FROM lineitem WHERE l_returnflag <> 'R'"""
 
 
 def _per(a: str, b: str, scale: str = "") -> str:
@@ -362,7 +362,10 @@ CTES["stage_weeks"] = " UNION ALL ".join(
 )
 
 CTES["stage_change"] = f"""SELECT *, {_per('users - previous', 'previous', ' * 100')} AS change_pct FROM (
-  SELECT *, lag(users) OVER (PARTITION BY stage_name ORDER BY week_start) AS previous FROM stage_weeks)"""
+  SELECT *, lag(users) OVER (PARTITION BY stage_name ORDER BY week_start) AS previous FROM (
+    SELECT week_start, stage_name, COALESCE(users, 0) AS users FROM (SELECT DISTINCT stage_name FROM stage_weeks)
+    CROSS JOIN (SELECT unnest(generate_series(min(week_start), max(week_start), INTERVAL 7 DAY))::DATE AS week_start FROM stage_weeks)
+    LEFT JOIN stage_weeks USING (week_start, stage_name)))"""
 
 CTES["campaign_list"] = f"""SELECT *, {_per('spend_usd', 'approved')} AS cpa_usd FROM (
   SELECT acquired_campaign AS campaign, channel_group, sum(total_revenue_amd) AS revenue,
@@ -441,7 +444,8 @@ add("events_without_tests", "SELECT event_name, count(*) AS events FROM clean WH
 add(
     "events_without_personal_data",
     "SELECT event_timestamp, event_name, regexp_extract(page_location, '^https?://[^/?#]+([^?#]*)', 1) AS page_location, "
-    "sha256(user_id) AS user_hash, channel_group FROM staged",
+    "regexp_replace(page_referrer, '[?#].*$', '') AS page_referrer, "
+    "sha256('fixture' || sha256('fixture' || user_id)) AS user_hash, channel_group FROM staged",
 )
 add(
     "landing_pages",
@@ -688,8 +692,8 @@ _chart("total_registrations", _sum("registrations"), "fc")
 _chart("total_apply_clicks", f"{APPLIES} AS applies", "fc")
 _chart("bounce_rate", f"{BOUNCE} AS bounce_rate_pct", "fs", doubles="bounce_rate_pct")
 _chart("conversion_rate", f"{CVR} AS cvr_pct", "fc", doubles="cvr_pct")
-_chart("daily_performance_trend", _sum("sessions", "users"), "fs", "date", "ORDER BY date LIMIT 1000")
-_chart("channel_contribution", _sum("sessions"), "fs", f"{WEEK}, channel_group", "ORDER BY ALL LIMIT 1000")
+_chart("daily_performance_trend", _sum("sessions", "users"), "fs", "date", "ORDER BY date")
+_chart("channel_contribution", _sum("sessions"), "fs", f"{WEEK}, channel_group", "ORDER BY ALL")
 _chart(
     "channel_performance",
     f"{_sum('total_sessions', 'total_users')}, {APPLIES} AS applies, {_sum('registrations')}, {CVR} AS cvr_pct",
@@ -699,7 +703,7 @@ _chart(
     "top_campaigns", f"{_sum('total_sessions')}, {APPLIES} AS applies, {_sum('registrations')}", "fc", "campaign, channel_group",
     "ORDER BY registrations DESC, campaign, channel_group LIMIT 20",
 )
-_chart("channel_trend", _sum("sessions"), "fs", "date, channel_group", "ORDER BY date, channel_group LIMIT 5000")
+_chart("channel_trend", _sum("sessions"), "fs", "date, channel_group", "ORDER BY date, channel_group")
 _chart("registrations_by_channel", _sum("registrations"), "fc", "channel_group", BY_REG.format("channel_group", 20))
 _chart(
     "campaign_performance_matrix", f"{_sum('total_sessions', 'registrations')}, {APPLIES} AS applies", "fc", "campaign",
@@ -718,14 +722,14 @@ _chart(
     "funnel_by_channel", f"{_sum('total_sessions')}, {APPLIES} AS applies, {_sum('registrations')}, {CVR} AS cvr_pct", "fc",
     "channel_group", BY_REG.format("channel_group", 20), "cvr_pct",
 )
-_chart("registrations_trend", _sum("registrations"), "fc", "date", "ORDER BY date LIMIT 1000")
+_chart("registrations_trend", _sum("registrations"), "fc", "date", "ORDER BY date")
 _chart(
     "weekly_registration_cohorts", f"{_sum('total_sessions')}, {APPLIES} AS applies, {_sum('registrations')}", "fc", WEEK,
     "ORDER BY 1 DESC LIMIT 10",
 )
 _chart(
     "device_performance", f"{_sum('sessions', 'users')}, {BOUNCE} AS bounce_rate_pct, avg(avg_session_duration_sec) AS avg_duration_sec",
-    "fs", "device_category", "ORDER BY device_category LIMIT 10", "bounce_rate_pct avg_duration_sec",
+    "fs", "device_category", "ORDER BY device_category", "bounce_rate_pct avg_duration_sec",
 )
 _chart(
     "country_performance", f"{_sum('total_sessions')}, {APPLIES} AS applies, {_sum('registrations')}", "fc", "country",
@@ -733,7 +737,7 @@ _chart(
 )
 _chart(
     "new_vs_returning_users", f"{_sum('sessions', 'users')}, {BOUNCE} AS bounce_rate_pct", "fs", "user_type",
-    "ORDER BY user_type LIMIT 5", "bounce_rate_pct",
+    "ORDER BY user_type", "bounce_rate_pct",
 )
 _chart(
     "armenia_cities", _sum("total_sessions", "registrations"), "fc", "city", BY_REG.format("city", 10), where="WHERE country = 'Armenia'"
@@ -767,7 +771,7 @@ _chart(
 _chart("loans_by_channel", LOANS, "bank", "channel_group", "ORDER BY loans DESC, channel_group LIMIT 10", "", LAST_MONTH)
 _chart(
     "full_funnel_by_bank_product", f"{LOANS}, {CARDS}, {DEPOSITS}, {REVENUE}", "bank", "product_category",
-    "ORDER BY product_category LIMIT 10", "revenue", LAST_MONTH,
+    "ORDER BY product_category", "revenue", LAST_MONTH,
 )
 _chart(
     "new_vs_returning_revenue", REVENUE, "bank", "is_existing_customer", "ORDER BY revenue DESC, is_existing_customer LIMIT 10", "revenue",
@@ -855,7 +859,7 @@ add(
     "approval_curve",
     """SELECT c.w AS cohort_week, CAST(d.day AS INTEGER) AS day, count(*) FILTER (WHERE status = 'approved' AND approval_date - apply_date <= d.day) AS approved_so_far,
   count(*) FILTER (WHERE status = 'approved' AND approval_date - apply_date <= d.day) / count(*) * 100 AS approved_pct
-FROM (SELECT *, date_trunc('week', apply_date)::DATE AS w FROM apps) c, (SELECT unnest(range(0, 8)) AS day) d GROUP BY 1, 2""",
+FROM (SELECT *, date_trunc('week', apply_date)::DATE AS w FROM apps) c, (SELECT unnest(range(0, 1 + COALESCE(greatest(0, max(approval_date - apply_date) FILTER (WHERE status = 'approved')), 0))) AS day FROM apps) d GROUP BY 1, 2""",
     "approved_pct",
 )
 

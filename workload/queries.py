@@ -142,8 +142,8 @@ def events_without_tests(i):
 
 @query
 def events_without_personal_data(i):
-    return staging.without_personal_data(i.staged(), keep_hash=True).select(
-        "event_timestamp", "event_name", "page_location", "user_hash", "channel_group"
+    return staging.without_personal_data(i.staged(), salt="fixture").select(
+        "event_timestamp", "event_name", "page_location", "page_referrer", "user_hash", "channel_group"
     )
 
 
