@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -14,8 +16,20 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def importable(spark: SparkSession) -> None:
+    """Workers also look for this package where the driver has it, whatever their working folder.
+
+    Executors that have it elsewhere find it by their own path, or get it with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Arrow batches of few rows, since one text may be very long."""
+    """Arrow batches of few rows, since one text may be very long. Called before Python runs in tasks."""
+    importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 

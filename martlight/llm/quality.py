@@ -84,7 +84,8 @@ def held_out() -> Column:
 def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Model:
     """Learns from at most ``per_label`` labelled texts of either label, the first in hash order, none held out.
 
-    Rows of ``labels`` with a null doc_id or quality are left out; of several for one doc_id the lowest quality counts.
+    Rows of ``labels`` with a null doc_id or quality are left out; of several for one doc_id the lowest quality counts,
+    and of several rows of ``docs`` the smallest text, so repeated ids do not lift the bound.
     """
     spark = docs.sparkSession
     known = labels.where("doc_id IS NOT NULL AND quality IN (0, 1)").groupBy("doc_id").agg(F.min("quality").alias("quality"))
@@ -93,6 +94,7 @@ def train(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Mod
     # At most twice per_label rows.
     picked = F.broadcast(chosen[0].union(chosen[1]).withColumnRenamed("doc_id", "_id"))
     rows = docs.select("doc_id", F.encode(text_of(), "UTF-8").alias("body")).join(picked, F.col("doc_id") == F.col("_id"))
+    rows = rows.groupBy("doc_id", "quality").agg(F.min("body").alias("body"))
     small_batches(spark)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

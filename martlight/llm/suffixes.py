@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlight.llm.common import text_of
+from martlight.llm.common import importable, text_of
 
 #: Length of the strings, period of the cover, and its residues: every difference modulo the period occurs.
 LENGTH, PERIOD = 200, 133
@@ -268,6 +268,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     equal names with one of 2^-32.
     """
     spark: SparkSession = docs.sparkSession
+    importable(spark)
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     chunks, buckets = (max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // size)) for size in (PER_CHUNK, PER_BUCKET))
     key = F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).alias("chunk")
