@@ -66,13 +66,18 @@ def number(column: Column) -> Column:
 DATE_FORMS = ("M/d/yyyy H:mm", "M/d/yyyy H:mm:ss", "M/d/yyyy", "yyyy/M/d", "d.M.yyyy", "MMM d, yyyy")
 
 
-def flexible_date(column: Column) -> Column:
-    """ISO, month-first, dotted day-first or month-name text to date; unreadable text is an error, missing text is NULL."""
-    text = missing_to_null(column)
-    parsed = F.coalesce(
+def try_date(text: Column) -> Column:
+    """ISO, month-first, dotted day-first or month-name text to date; NULL if unreadable."""
+    return F.coalesce(
         text.try_cast("date"),
         *[F.to_date(F.try_to_timestamp(text, F.lit(form))) for form in DATE_FORMS],
     )
+
+
+def flexible_date(column: Column) -> Column:
+    """Text to date like ``try_date``; unreadable text is an error, missing text is NULL."""
+    text = missing_to_null(column)
+    parsed = try_date(text)
     bad = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("date")
     return F.when(parsed.isNotNull() | text.isNull(), parsed).otherwise(bad)
 

@@ -15,16 +15,10 @@ KEYS = ("token_id", "client_code", "event_date")
 UPDATED = ("loan_count", "loan_amount", "deposit_count", "deposit_amount", "card_count", "uploaded_at")
 
 
-def _split(frame: DataFrame, keys: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
-    """Rows with a whole key, and rows with a NULL in it, which match nothing."""
+def _salted(frame: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """``_salt`` keeps rows with a NULL in the key, which match nothing, apart and spreads them in a shuffle."""
     whole = reduce(and_, [F.col(k).isNotNull() for k in keys])
-    return frame.where(whole), frame.where(~whole)
-
-
-def _newest(frame: DataFrame, keys: tuple[str, ...], newest: str) -> DataFrame:
-    rest = [c for c in frame.columns if c not in keys and c != newest]
-    best = frame.groupBy(*keys).agg(F.max(F.struct(newest, *rest)).alias("_row"))
-    return best.select(*keys, "_row.*").select(*frame.columns)
+    return frame.withColumn("_salt", F.when(whole, F.lit(0).cast("long")).otherwise(F.monotonically_increasing_id()))
 
 
 def latest_per_key(source: DataFrame, keys: tuple[str, ...] = KEYS, newest: str = "uploaded_at") -> DataFrame:
@@ -33,8 +27,9 @@ def latest_per_key(source: DataFrame, keys: tuple[str, ...] = KEYS, newest: str
     An aggregation instead of a ranking window: map-side combine keeps a key with very many copies cheap.
     Rows with a NULL key match nothing in a merge, so all of them are kept.
     """
-    keyed, keyless = _split(source, keys)
-    return _newest(keyed, keys, newest).unionByName(keyless)
+    rest = [c for c in source.columns if c not in keys and c != newest]
+    best = _salted(source, keys).groupBy(*keys, "_salt").agg(F.max(F.struct(newest, *rest)).alias("_row"))
+    return best.select(*keys, "_row.*").select(*source.columns)
 
 
 def upsert(
@@ -48,25 +43,22 @@ def upsert(
     """The merged table with ``_action`` = keep, update or insert.
 
     Matched target rows take the updated columns of the newest source row of their key, unmatched source rows
-    are inserted whole. A left join and an anti join instead of one full outer join: Spark can split a hot key
-    of the target in both, and rows with a NULL key, which never match, are not shuffled at all. ``unique``
-    says that the source has one row per key already.
+    are inserted whole. One full outer join reads and shuffles each side once; the key names one application, so
+    it is nearly unique. Rows with a NULL key match nothing and are spread by a salt. ``unique`` says that the
+    source has one row per key already.
     """
-    keyed, keyless = _split(source, keys)
     if not unique:
-        keyed = _newest(keyed, keys, newest)
-    old, old_keyless = _split(target, keys)
-    patch = keyed.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in updated], F.lit(True).alias("_hit"))
-    kept = old.join(patch, list(keys), "left").select(
-        *[
-            (F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)) if c in updated else F.col(c)).alias(c)
-            for c in target.columns
-        ],
-        F.when(F.col("_hit"), "update").otherwise("keep").alias("_action"),
-    )
-    new = keyed.join(old.select(*keys).distinct(), list(keys), "left_anti")
-    inserts = new.unionByName(keyless).select(*target.columns, F.lit("insert").alias("_action"))
-    return kept.unionByName(old_keyless.withColumn("_action", F.lit("keep"))).unionByName(inserts)
+        source = latest_per_key(source, keys, newest)
+    others = [c for c in target.columns if c not in keys]
+    new = _salted(source, keys).select(*keys, "_salt", *[F.col(c).alias(f"_new_{c}") for c in others], F.lit(True).alias("_new"))
+    both = _salted(target, keys).withColumn("_old", F.lit(True)).join(new, [*keys, "_salt"], "full")
+
+    def merged(c: str):
+        taken = F.col("_new") if c in updated else F.col("_old").isNull()
+        return F.when(taken, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
+
+    action = F.when(F.col("_old") & F.col("_new"), "update").when(F.col("_old"), "keep").otherwise("insert")
+    return both.select(*[F.col(c) if c in keys else merged(c) for c in target.columns], action.alias("_action"))
 
 
 def action_counts(merged: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -280,6 +281,21 @@ def completeness(status: DataFrame, tables: int) -> DataFrame:
     )
 
 
+def relation_checks(sessions: DataFrame, conversions: DataFrame, bank: DataFrame, bank_rows: DataFrame, channels: DataFrame, grain: tuple[str, ...]) -> DataFrame:
+    """The checks that compare tables, rows or days, in the common columns; repeated clients a day are for information."""
+    surplus, failing = F.max("surplus_rows"), F.count_if(~F.col("passed"))
+    checks = [
+        (channel_agreement(sessions, conversions), Check("fact_sessions", "channels agree with fact_conversions", "critical", F.max("only_on_one_side"), "==", 0, "suite")),
+        (channel_agreement(sessions, bank), Check("fact_sessions", "channels agree with fact_bank_conversions", "info", F.max("only_on_one_side"), "==", 0, "suite")),
+        (duplicate_keys(sessions, grain), Check("fact_sessions", "repeated grain", "critical", surplus, "==", 0, "suite")),
+        (duplicate_keys(bank_rows, ("event_date", "client_code")), Check("bank_conversions", "repeated clients a day", "info", surplus, "==", 0, "suite")),
+        (orphans(bank, channels, {"channel_group": "channel_group"}), Check("fact_bank_conversions", "channels without a dimension row", "warning", _rows(), "==", 0, "matrix")),
+        (volume_drop(sessions), Check("fact_sessions", "days with a drop of rows", "warning", failing, "==", 0, "matrix")),
+        (registration_band(conversions), Check("fact_conversions", "days outside the band of registrations", "warning", failing, "==", 0, "matrix")),
+    ]
+    return reduce(DataFrame.unionByName, [run_checks(frame, [check]) for frame, check in checks])
+
+
 def summary(results: DataFrame) -> DataFrame:
     """Passed, failed and warning counts, the failed critical checks and the decision to go on."""
     failed = ~F.col("passed")
@@ -288,7 +304,7 @@ def summary(results: DataFrame) -> DataFrame:
     return results.agg(
         F.count_if("passed").alias("passed"),
         F.count_if(failed & critical).alias("failed"),
-        F.count_if(failed & ~critical).alias("warnings"),
+        F.count_if(failed & (F.col("severity") == "warning")).alias("warnings"),
         F.concat_ws("; ", F.array_sort(F.collect_list(F.when(failed & critical, name)))).alias("critical_failures"),
         (F.count_if(failed & critical) == 0).alias("ok"),
     )

@@ -91,8 +91,8 @@ def funnel_change(conversions: DataFrame, stages: tuple[str, ...]) -> DataFrame:
 def month_kpis(applications: DataFrame, spend: DataFrame, codes: DataFrame, usd_to_amd: float) -> DataFrame:
     """Actual KPI values per month, channel code and product, long form.
 
-    Levels: all/all, all/product and channel/all, the levels targets exist for. One pass per input with
-    grouping sets instead of one query per level.
+    Levels: all/all, all/product, channel/all and channel/product, those targets exist for. One pass per input
+    with grouping sets instead of one query per level. Spend has no product; spend without applications stays.
     """
     apps = applications.select(
         date_bucket(F.col("apply_date"), "month").alias("period"),
@@ -101,7 +101,7 @@ def month_kpis(applications: DataFrame, spend: DataFrame, codes: DataFrame, usd_
         F.when(F.col("status") == "approved", 1).otherwise(0).alias("_approved"),
         "revenue_amd",
     )
-    levels = [["period"], ["period", "product"], ["period", "channel"]]
+    levels = [["period"], ["period", "product"], ["period", "channel"], ["period", "channel", "product"]]
     outcome = apps.groupingSets(levels, "period", "channel", "product").agg(
         F.when(F.grouping("channel") == 1, "all").otherwise(F.col("channel")).alias("channel_code"),
         F.when(F.grouping("product") == 1, "all").otherwise(F.col("product")).alias("product_code"),
@@ -118,7 +118,7 @@ def month_kpis(applications: DataFrame, spend: DataFrame, codes: DataFrame, usd_
         F.sum("spend_usd").alias("spend_usd"),
     )
     cost = cost.select("period", "channel_code", F.lit("all").alias("product_code"), "spend_usd")
-    joined = outcome.join(cost, ["period", "channel_code", "product_code"], "left")
+    joined = outcome.join(cost, ["period", "channel_code", "product_code"], "full")
     values = {
         "revenue": F.col("revenue"),
         "approved": F.col("approved").cast("double"),
@@ -333,17 +333,19 @@ def funnel_heat_table(conversions: DataFrame, bank: DataFrame) -> DataFrame:
 def segment_table(sessions: DataFrame, conversions: DataFrame) -> DataFrame:
     """Sessions, users, bounce rate and registrations by device, by user type and by city in one result.
 
-    Registrations have no user type, so they are NULL there.
+    Missing values are named ``(not set)``. Registrations have no user type, so they are NULL there. The last two
+    columns are the distance of bounce rate and registration rate from those of the whole segment, in points.
     """
+    unset = F.lit("(not set)")
     segment = (
         F.when(F.grouping("device_category") == 0, "device")
         .when(F.grouping("user_type") == 0, "user type")
         .otherwise("city")
     )
     name = (
-        F.when(F.grouping("device_category") == 0, F.col("device_category"))
-        .when(F.grouping("user_type") == 0, F.col("user_type"))
-        .otherwise(F.coalesce("city", F.lit("Other")))
+        F.when(F.grouping("device_category") == 0, F.coalesce("device_category", unset))
+        .when(F.grouping("user_type") == 0, F.coalesce("user_type", unset))
+        .otherwise(F.coalesce("city", unset))
     )
     web = sessions.groupingSets(
         [["device_category"], ["user_type"], ["city"]], "device_category", "user_type", "city"
@@ -356,22 +358,27 @@ def segment_table(sessions: DataFrame, conversions: DataFrame) -> DataFrame:
     )
     registered = conversions.groupingSets([["device_category"], ["city"]], "device_category", "city").agg(
         F.when(F.grouping("device_category") == 0, "device").otherwise("city").alias("segment"),
-        F.when(F.grouping("device_category") == 0, F.col("device_category"))
-        .otherwise(F.coalesce("city", F.lit("Other")))
+        F.when(F.grouping("device_category") == 0, F.coalesce("device_category", unset))
+        .otherwise(F.coalesce("city", unset))
         .alias("name"),
         F.sum("registrations").alias("registrations"),
     )
     joined = web.select("segment", "name", "sessions", "users", "_bounced").join(
         registered.select("segment", "name", "registrations"), ["segment", "name"], "left"
     )
+    whole = Window.partitionBy("segment")
+    bounce = ratio(F.col("_bounced"), F.col("sessions"), 100)
+    rate = ratio(F.col("registrations"), F.col("sessions"), 100)
     return joined.select(
         "segment",
         "name",
         "sessions",
         share("sessions", ("segment",)).alias("sessions_pct"),
         "users",
-        ratio(F.col("_bounced"), F.col("sessions"), 100).alias("bounce_rate_pct"),
+        bounce.alias("bounce_rate_pct"),
         "registrations",
+        (bounce - ratio(F.sum("_bounced").over(whole), F.sum("sessions").over(whole), 100)).alias("bounce_vs_avg"),
+        (rate - ratio(F.sum("registrations").over(whole), F.sum("sessions").over(whole), 100)).alias("registration_rate_vs_avg"),
     )
 
 

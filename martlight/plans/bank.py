@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlight.functions.classify import bank_channel_group
-from martlight.functions.columns import any_of, column_or, flexible_date, missing_to_null, number, whole_number
+from martlight.functions.columns import any_of, column_or, flexible_date, missing_to_null, number, try_date, whole_number
 from martlight.operators.merge import merge_into
-from martlight.operators.sinks import replace_table
+from martlight.operators.sinks import replace_days
 from martlight.plans.staging import stg_bank_conversions
+from martlight.session import materialize
 from martlight.sources import schemas
+from martlight.sources.readers import open_quotes
 
 # Headers of the export, as they are spelled there.
 REQUIRED = ("Event _date", "Client_code", "LOAN_COUNT", "CARD_COUNT")
@@ -44,29 +48,42 @@ def _windows_1251(column: Column) -> Column:
 
 
 def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """The export as text columns, whatever its encoding.
+    """The export as text columns, whatever the encoding of each of its files.
 
-    One pass over the lines finds out whether they are valid UTF-8, whether a byte occurs that the Cyrillic
-    code page lacks, and whether a quoted field spans lines. Only in the last case is the file read unsplit.
+    One pass over the lines finds out for each file whether it is valid UTF-8, whether a byte occurs that the
+    Cyrillic code page lacks, and whether a quoted field spans lines. Files alike in this are read together; only
+    those with spanning fields are read unsplit. A column that some files lack is NULL there.
     """
     line = F.col("value")
-    quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
-    utf8, cyrillic, spans = (
+    probes = (
         spark.read.text(path)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
         .agg(
-            F.coalesce(F.bool_and(F.is_valid_utf8(line)), F.lit(True)),
-            F.coalesce(~F.bool_or(F.contains(line.cast("binary"), F.lit(bytearray(b"\x98")))), F.lit(True)),
-            F.coalesce(F.bool_or(quotes % 2 == 1), F.lit(False)),
+            F.bool_and(F.is_valid_utf8(line)).alias("utf8"),
+            (~F.bool_or(F.contains(line.cast("binary"), F.lit(bytearray(b"\x98"))))).alias("cyrillic"),
+            F.bool_or(open_quotes(line)).alias("spans"),
         )
-        .first()
+        .collect()  # one row per file
     )
-    reader = spark.read.option("header", True).option("multiLine", spans)
-    if utf8:
-        return reader.csv(path)
-    frame = reader.option("encoding", "ISO-8859-1").csv(path)
-    if not cyrillic:
-        return frame
-    return frame.select(*[_windows_1251(F.col(f"`{c}`")).alias(c) for c in frame.columns])
+    alike: dict[tuple, list[str]] = {}
+    for p in probes:
+        alike.setdefault((p["utf8"], p["utf8"] or p["cyrillic"], p["spans"]), []).append(unquote(p["file"]))
+
+    def read(paths: str | list[str], utf8: bool, cyrillic: bool, spans: bool) -> DataFrame:
+        reader = spark.read.options(header=True, multiLine=spans, escape='"')
+        if utf8:
+            return reader.csv(paths)
+        frame = reader.option("encoding", "ISO-8859-1").csv(paths)
+        if not cyrillic:
+            return frame
+        return frame.select(
+            *[_windows_1251(F.col(f"`{c}`")).alias(c.encode("latin1").decode("cp1251", errors="replace")) for c in frame.columns]
+        )
+
+    if len(alike) < 2:
+        return read(path, *next(iter(alike), (True, True, False)))
+    frames = [read(sorted(files), *kind) for kind, files in sorted(alike.items())]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def check_headers(frame: DataFrame, required: tuple[str, ...] = REQUIRED) -> DataFrame:
@@ -93,11 +110,7 @@ def export_checks(frame: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
     present = set(frame.columns)
     day = missing_to_null(column_or(frame, "Event _date", none))
-    parsed = F.coalesce(
-        day.try_cast("date"),
-        F.to_date(F.try_to_timestamp(day, F.lit("M/d/yyyy H:mm"))),
-        F.to_date(F.try_to_timestamp(day, F.lit("M/d/yyyy"))),
-    )
+    parsed = try_date(day)
     rows = frame.select(
         parsed.alias("event_date"),
         missing_to_null(column_or(frame, "Event Param Value (String)", none)).alias("token_id"),
@@ -154,13 +167,23 @@ def load_totals(fact: DataFrame) -> DataFrame:
 
 
 def load_bank(spark: SparkSession, csv_path: str, warehouse: str, loaded_at: datetime) -> dict:
-    """CSV export to raw table (merge), staging table and fact table. Returns the counts and totals."""
-    cleaned = clean_export(check_headers(read_export(spark, csv_path)), loaded_at)
+    """CSV export to raw table (merge), staging table and fact table. Returns the counts and totals.
+
+    All three are partitioned by day, and only the days that occur in the export are built and replaced.
+    """
+    cleaned = materialize(clean_export(check_headers(read_export(spark, csv_path)), loaded_at), "bank-export")
     raw_path = f"{warehouse}/raw/bank_conversions"
     counts = merge_into(spark, raw_path, cleaned, schemas.BANK_CONVERSIONS)
-    raw = spark.read.schema(schemas.BANK_CONVERSIONS).parquet(raw_path)
-    replace_table(stg_bank_conversions(raw), f"{warehouse}/staging/stg_bank_conversions")
-    staged = spark.read.parquet(f"{warehouse}/staging/stg_bank_conversions")
-    replace_table(fact_bank_conversions(staged), f"{warehouse}/marts/fact_bank_conversions")
+    # One row for each calendar day of the export, so the size is bounded.
+    days = F.broadcast(cleaned.select(F.col("event_date").alias("_day")).distinct())
+
+    def touched(schema: str, path: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(path).join(days, F.col("event_date").eqNullSafe(F.col("_day")), "left_semi")
+
+    staged = stg_bank_conversions(touched(schemas.BANK_CONVERSIONS, raw_path))
+    staged_path = f"{warehouse}/staging/stg_bank_conversions"
+    replace_days(staged, staged_path, "event_date")
+    stored = touched(", ".join(f"`{name}` {kind}" for name, kind in staged.dtypes), staged_path)
+    replace_days(fact_bank_conversions(stored), f"{warehouse}/marts/fact_bank_conversions")
     totals = load_totals(spark.read.parquet(f"{warehouse}/marts/fact_bank_conversions")).first()
     return {**counts, **totals.asDict()}

@@ -16,7 +16,7 @@ from martlight.operators.quality import completeness, not_run, refresh_checks, r
 from martlight.operators.sinks import path_exists, replace_recent, replace_table
 from martlight.plans import dims, facts, spend
 from martlight.plans.staging import stg_events, stg_events_clean
-from martlight.session import materialize
+from martlight.session import materialize, size_shuffles
 from martlight.sources.literals import dim_product
 
 LOOKBACK_DAYS = 7
@@ -27,7 +27,7 @@ STAGED_COLUMNS = (
     "session_engaged", "device_category", "country", "city", "source_clean", "channel_group", "product_category",
 )
 
-STATUS_SCHEMA = "table string, mode string, ok boolean, error string"
+STATUS_SCHEMA = "table string, mode string, ok boolean, rows long, error string"
 
 
 @dataclass
@@ -65,23 +65,28 @@ def refresh(
     test_users: tuple[str, ...] = (),
     lookback_days: int = LOOKBACK_DAYS,
     conversions: str = "clean",
+    input_bytes: int | None = None,
 ) -> Outcome:
     """Dimensions, facts, ad spend, funnels, checks. A failing table is recorded and the others go on.
 
     The columns the marts need are staged once into the shared folder and read by every mart of the run, so
     the nested raw events are parsed once. An incremental run stages the days of the funnel summary only,
     replaces the lookback days of the facts and funnels, and adds new pairs to the channel dimension.
-    ``conversions`` chooses the conversion fact over clean or raw event names.
+    ``conversions`` chooses the conversion fact over clean or raw event names. ``input_bytes``, the size of the
+    events, sets the number of shuffle partitions. The status has the rows of each table, taken from file footers.
     """
+    if input_bytes is not None:
+        size_shuffles(spark, input_bytes)
     status: list[tuple] = []
 
     def attempt(table: str, mode: str, write: Callable[[], None]) -> bool:
         try:
             write()
+            rows = spark.read.schema("_probe int").parquet(marts_path(warehouse, table)).count()
         except Exception as error:  # noqa: BLE001  failed reads and tasks come as errors of the JVM
-            status.append((table, mode, False, reason(error)))
+            status.append((table, mode, False, None, reason(error)))
             return False
-        status.append((table, mode, True, None))
+        status.append((table, mode, True, rows, None))
         return True
 
     def table(name: str) -> str:
@@ -99,7 +104,7 @@ def refresh(
     try:
         staged = materialize(parsed.observe(seen, F.count(F.lit(1)).alias("rows")), "stg-events")
     except Exception as error:  # noqa: BLE001
-        status += [(name, "incremental" if incremental else "full", False, reason(error)) for name in EVENT_TABLES]
+        status += [(name, "incremental" if incremental else "full", False, None, reason(error)) for name in EVENT_TABLES]
     if staged is not None:
         clean = stg_events_clean(staged, test_users=test_users, site=site)
 
@@ -139,7 +144,7 @@ def refresh(
 
             attempt("fact_ad_spend", "full", unified)
     elif meta_insights is not None:
-        status.append(("fact_ad_spend", "full", False, "skipped: there are no Google statistics to unite with"))
+        status.append(("fact_ad_spend", "full", False, None, "skipped: there are no Google statistics to unite with"))
 
     if staged is not None:
         write_dated("funnel_loans", lambda frame: funnel(frame, LOANS), clean, ("channel_group",))

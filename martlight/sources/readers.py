@@ -45,11 +45,21 @@ def ad_spend(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.AD_SPEND).parquet(path)
 
 
+def open_quotes(line: Column) -> Column:
+    """Whether a quoted field goes on in the next line: the line has an odd number of quotes."""
+    return (F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))) % 2 == 1
+
+
 def typed_csv(spark: SparkSession, path: str, schema: str, separator: str = ",") -> DataFrame:
-    """A CSV file with a header; columns are matched by name, absent optional ones are NULL."""
+    """A CSV file with a header; columns are matched by name, absent optional ones are NULL.
+
+    Records that do not fit the header are an error. Only files with a quoted line break are read unsplit.
+    """
     wanted = StructType.fromDDL(schema)
-    present = spark.read.option("header", True).option("sep", separator).csv(path).columns
-    text = spark.read.option("header", True).option("sep", separator).option("enforceSchema", False).csv(
+    spans = spark.read.text(path).agg(F.coalesce(F.bool_or(open_quotes(F.col("value"))), F.lit(False))).first()[0]
+    options = {"header": True, "sep": separator, "multiLine": spans, "escape": '"'}
+    present = spark.read.options(**options).csv(path).columns
+    text = spark.read.options(**options, enforceSchema=False, mode="FAILFAST").csv(
         path, schema=", ".join(f"`{name}` string" for name in present)
     )
     return text.select(

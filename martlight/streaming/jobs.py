@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -45,10 +45,15 @@ def daily_counts(staged: DataFrame) -> DataFrame:
 
 
 def sessions(staged: DataFrame) -> DataFrame:
-    """Sessions ended by 30 minutes of inactivity."""
+    """Sessions ended by 30 minutes of inactivity; events without a user belong to none.
+
+    Sessions are merged in each partition before the shuffle, so a user with very many events costs little.
+    """
+    staged.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     window = F.session_window("event_timestamp", GAP).alias("session")
     return (
-        staged.groupBy("user_pseudo_id", window)
+        staged.where(F.col("user_pseudo_id").isNotNull())
+        .groupBy("user_pseudo_id", window)
         .agg(F.count(F.lit(1)).alias("events"), F.max("event_timestamp").alias("session_end"))
         .select("user_pseudo_id", F.col("session.start").alias("session_start"), "session_end", "events")
     )
@@ -69,19 +74,25 @@ def write_final(frame: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 def refresh_session_fact(raw: DataFrame, store: str, fact_path: str, checkpoint: str, site: Site = Site()) -> StreamingQuery:
     """Keep the session fact exact while events arrive.
 
-    Each micro-batch is added to the stored raw events under its batch number, so a repeated batch replaces
-    itself. Then exactly the days it touches are read back, recomputed and replaced.
+    Each micro-batch is added to the stored raw events under its days and batch number, so a repeated batch
+    replaces itself. Then exactly the folders of the days it touches are read back, recomputed and replaced.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.write.mode("overwrite").partitionBy("event_date").parquet(f"{store}/batch={batch_id}")
-        stored = spark.read.schema(schemas.EVENTS).parquet(store)
-        added = spark.read.schema(schemas.EVENTS).parquet(f"{store}/batch={batch_id}")
-        # Partition values only: the calendar days of one micro-batch.
-        days = [row[0] for row in added.select("event_date").distinct().collect()]
-        if days:
-            touched = stored.where(F.col("event_date").isin(days))
+        seen = Observation()
+        (
+            batch.observe(seen, F.collect_set("event_date").alias("days"))
+            .withColumn("batch", F.lit(batch_id))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_date", "batch")
+            .parquet(store)
+        )
+        # The calendar days of one micro-batch.
+        folders = [f"{store}/event_date={day}" for day in sorted(seen.get["days"])]
+        if folders:
+            touched = spark.read.schema(schemas.EVENTS).option("basePath", store).parquet(*folders)
             replace_days(facts.fact_sessions(stg_events(touched, site)), fact_path, "date", facts.CLUSTER)
 
     return (

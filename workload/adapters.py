@@ -258,6 +258,23 @@ def bank_export(rows: DataFrame) -> DataFrame:
     )
 
 
+def mixed_exports(rows: DataFrame, path: str) -> str:
+    """Bank rows as an export of files in UTF-8 and in the Cyrillic code page, with several forms of dates and quoted line breaks."""
+    last, day = F.substring("Event Param Value (String)", -1, 1), F.col("Event _date").cast("date")
+    other_form = F.when(last == "1", F.date_format(day, "M/d/yyyy H:mm:ss")).when(last == "2", F.date_format(day, "dd.MM.yyyy"))
+    rows = rows.withColumn("event_name", F.when(F.col("token_id").endswith("8"), "two\nlines").otherwise(F.col("event_name")))
+    export = bank_export(rows).withColumn("_odd", F.crc32(F.col("Client_code").cast("binary")) % 2)
+    export = export.withColumn("Event _date", F.coalesce(other_form, F.col("Event _date")))
+    upper = bytes(range(0x80, 0x100))
+    cyrillic, latin = upper.decode("cp1251", errors="replace"), upper.decode("latin1")
+    utf8, other = export.where("_odd = 0").drop("_odd"), export.where("_odd = 1").drop("_odd")
+    utf8.write.option("header", True).option("escape", '"').csv(f"{path}/utf8")
+    # Spark writes Latin-1, not the Cyrillic code page; the bytes are the same.
+    other = other.withColumn("Event Name", F.translate("Event Name", cyrillic, latin))
+    other.write.option("header", True).option("escape", '"').option("encoding", "ISO-8859-1").csv(f"{path}/cyrillic")
+    return f"{path}/*"
+
+
 def bank_applications(spark: SparkSession, folder: str) -> DataFrame:
     """Application rows with untidy texts."""
     key = F.col("o_orderkey")
@@ -299,6 +316,7 @@ TARGETS = (
     ("cpa", "google_ads", "all", 2500.0), ("cpa", "meta_ads", "all", 2000.0), ("roas", "all", "all", 0.05),
     ("roas", "google_ads", "all", 0.04), ("roas", "meta_ads", "all", 0.03), ("approval_rate", "all", "all", 35.0),
     ("approval_rate", "all", "loan", 60.0), ("approval_rate", "all", "card", 30.0),
+    ("revenue", "google_ads", "loan", 60_000_000.0),
 )
 BUDGETS = (("google_ads", 9_000_000.0, 290_000.0), ("meta_ads", 7_000_000.0, None), ("linkedin", 3000.0, 97.0))
 MONTH = date(2024, 1, 1)

@@ -317,19 +317,21 @@ CTES["targets"] = """SELECT DATE '2024-01-01' AS period, * FROM (VALUES
  ('revenue','all','deposit',100000000.0),('approved','all','all',5000.0),('approved','all','loan',2000.0),
  ('cpa','all','all',3000.0),('cpa','google_ads','all',2500.0),('cpa','meta_ads','all',2000.0),('roas','all','all',0.05),
  ('roas','google_ads','all',0.04),('roas','meta_ads','all',0.03),('approval_rate','all','all',35.0),
- ('approval_rate','all','loan',60.0),('approval_rate','all','card',30.0)) AS t(metric, channel, product, target)"""
+ ('approval_rate','all','loan',60.0),('approval_rate','all','card',30.0),('revenue','google_ads','loan',60000000.0)) AS t(metric, channel, product, target)"""
 
 CTES["code_list"] = """SELECT * FROM (VALUES ('google_ads','Google Ads'),('meta_ads','Meta Ads'),('linkedin','LinkedIn'),
  ('yandex','Yandex'),('email','Email'),('sms','SMS')) AS t(channel_code, channel_group)"""
 
-CTES["month_level"] = f"""SELECT a.period, a.channel, a.product, a.revenue, a.approved, a.applied, c.spend_usd FROM (
+CTES["month_level"] = f"""SELECT period, channel, product, a.revenue, a.approved, a.applied, c.spend_usd FROM (
   SELECT date_trunc('month', apply_date)::DATE AS period, 'all' AS channel, 'all' AS product, sum(revenue_amd) AS revenue,
     count(*) FILTER (WHERE status = 'approved') AS approved, count(*) AS applied FROM apps GROUP BY ALL
   UNION ALL SELECT date_trunc('month', apply_date)::DATE, 'all', product_type, sum(revenue_amd),
     count(*) FILTER (WHERE status = 'approved'), count(*) FROM apps GROUP BY ALL
   UNION ALL SELECT date_trunc('month', apply_date)::DATE, apply_channel, 'all', sum(revenue_amd),
+    count(*) FILTER (WHERE status = 'approved'), count(*) FROM apps GROUP BY ALL
+  UNION ALL SELECT date_trunc('month', apply_date)::DATE, apply_channel, product_type, sum(revenue_amd),
     count(*) FILTER (WHERE status = 'approved'), count(*) FROM apps GROUP BY ALL) a
-LEFT JOIN (
+FULL JOIN (
   SELECT date_trunc('month', date)::DATE AS period, 'all' AS channel, 'all' AS product, sum(spend_usd) AS spend_usd FROM spend GROUP BY ALL
   UNION ALL SELECT date_trunc('month', date)::DATE, channel_code, 'all', sum(spend_usd) FROM spend LEFT JOIN code_list USING (channel_group) GROUP BY ALL
 ) c USING (period, channel, product)"""
@@ -661,6 +663,13 @@ add(
     "bank_merge_counts",
     "SELECT count(*) FILTER (WHERE action = 'insert') AS added, count(*) FILTER (WHERE action = 'update') AS updated, count(*) AS total_rows FROM merged",
 )
+CTES["loaded_rows"] = """SELECT * REPLACE (
+  CASE WHEN token_id[-1] = '6' THEN 0.0 WHEN token_id[-1] >= '5' THEN loan_amount + 1 ELSE loan_amount END AS loan_amount,
+  CASE WHEN token_id[-1] >= '5' THEN deposit_amount + 1 ELSE deposit_amount END AS deposit_amount,
+  CASE WHEN token_id LIKE '%55' THEN card_count + 10 ELSE card_count END AS card_count)
+FROM bank_raw WHERE token_id[-1] <> '9' AND token_id NOT LIKE '%77'"""
+CTES["loaded_fact"] = CTES["bank"].replace("FROM bank_raw b", "FROM loaded_rows b")
+add("bank_load", "SELECT * FROM loaded_fact", f"{BANK_DOUBLES} total_revenue_amd")
 add("bank_merge_table", "SELECT * EXCLUDE (acquired_source, action) FROM merged", BANK_DOUBLES)
 add(
     "bank_insert_if_absent",
@@ -882,13 +891,14 @@ FULL JOIN (SELECT channel_group, sum(loan_count + card_count + deposit_count) AS
 add(
     "segment_table",
     f"""SELECT segment, name, sessions, sessions / sum(sessions) OVER (PARTITION BY segment) * 100 AS sessions_pct, users, {_per('bounced', 'sessions', ' * 100')} AS bounce_rate_pct,
-  registrations FROM (
-  SELECT 'device' AS segment, device_category AS name, CAST(sum(sessions) AS BIGINT) AS sessions, CAST(sum(users) AS BIGINT) AS users, sum(bounced_sessions) AS bounced FROM fs GROUP BY 2
-  UNION ALL SELECT 'user type', user_type, CAST(sum(sessions) AS BIGINT), CAST(sum(users) AS BIGINT), sum(bounced_sessions) FROM fs GROUP BY 2
-  UNION ALL SELECT 'city', COALESCE(city, 'Other'), CAST(sum(sessions) AS BIGINT), CAST(sum(users) AS BIGINT), sum(bounced_sessions) FROM fs GROUP BY 2)
-LEFT JOIN (SELECT 'device' AS segment, device_category AS name, CAST(sum(registrations) AS BIGINT) AS registrations FROM fc GROUP BY 2
-  UNION ALL SELECT 'city', COALESCE(city, 'Other'), CAST(sum(registrations) AS BIGINT) FROM fc GROUP BY 2) USING (segment, name)""",
-    "sessions_pct bounce_rate_pct",
+  registrations, {_per('bounced', 'sessions', ' * 100')} - {_per('sum(bounced) OVER s', 'sum(sessions) OVER s', ' * 100')} AS bounce_vs_avg,
+  {_per('registrations', 'sessions', ' * 100')} - {_per('sum(registrations) OVER s', 'sum(sessions) OVER s', ' * 100')} AS registration_rate_vs_avg FROM (
+  SELECT 'device' AS segment, COALESCE(device_category, '(not set)') AS name, CAST(sum(sessions) AS BIGINT) AS sessions, CAST(sum(users) AS BIGINT) AS users, sum(bounced_sessions) AS bounced FROM fs GROUP BY 2
+  UNION ALL SELECT 'user type', COALESCE(user_type, '(not set)'), CAST(sum(sessions) AS BIGINT), CAST(sum(users) AS BIGINT), sum(bounced_sessions) FROM fs GROUP BY 2
+  UNION ALL SELECT 'city', COALESCE(city, '(not set)'), CAST(sum(sessions) AS BIGINT), CAST(sum(users) AS BIGINT), sum(bounced_sessions) FROM fs GROUP BY 2)
+LEFT JOIN (SELECT 'device' AS segment, COALESCE(device_category, '(not set)') AS name, CAST(sum(registrations) AS BIGINT) AS registrations FROM fc GROUP BY 2
+  UNION ALL SELECT 'city', COALESCE(city, '(not set)'), CAST(sum(registrations) AS BIGINT) FROM fc GROUP BY 2) USING (segment, name) WINDOW s AS (PARTITION BY segment)""",
+    "sessions_pct bounce_rate_pct bounce_vs_avg registration_rate_vs_avg",
 )
 add(
     "device_trend",
@@ -1040,13 +1050,14 @@ REFRESH = " UNION ALL ".join(
     )
 )
 add("refresh_checks", REFRESH, "observed threshold")
-add(
-    "refresh_summary",
-    f"""SELECT count(*) FILTER (WHERE passed) AS passed, count(*) FILTER (WHERE NOT passed AND severity = 'critical') AS failed,
-  count(*) FILTER (WHERE NOT passed AND severity <> 'critical') AS warnings,
+def _summary(source: str) -> str:
+    return f"""SELECT count(*) FILTER (WHERE passed) AS passed, count(*) FILTER (WHERE NOT passed AND severity = 'critical') AS failed,
+  count(*) FILTER (WHERE NOT passed AND severity = 'warning') AS warnings,
   COALESCE(string_agg("table" || ': ' || "check", '; ' ORDER BY "table", "check") FILTER (WHERE NOT passed AND severity = 'critical'), '') AS critical_failures,
-  count(*) FILTER (WHERE NOT passed AND severity = 'critical') = 0 AS ok FROM ({REFRESH})""",
-)
+  count(*) FILTER (WHERE NOT passed AND severity = 'critical') = 0 AS ok FROM {source}"""
+
+
+add("refresh_summary", _summary(f"({REFRESH})"))
 
 
 def _nulls(table: str, column: str) -> tuple:
@@ -1181,8 +1192,37 @@ add(
 add("grain_duplicates", "SELECT CAST(0 AS BIGINT) AS duplicate_keys, CAST(0 AS BIGINT) AS surplus_rows FROM (SELECT count(*) FROM fs)")
 add(
     "orphan_channels",
-    "SELECT channel_group, count(*) AS fact_rows FROM bank WHERE channel_group NOT IN (SELECT channel_group FROM channels) GROUP BY 1",
+    "SELECT channel_group, count(*) AS fact_rows FROM bank WHERE channel_group NOT IN (SELECT channel_group FROM channels WHERE channel_group <> 'Email') GROUP BY 1",
 )
+CTES["all_checks"] = " UNION ALL ".join(
+    (
+        *[f"SELECT * FROM ({ORACLE[name]})" for name in ("refresh_checks", "quality_suite", "staging_checks", "spend_checks")],
+        *[
+            f"SELECT * FROM ({_checks(f'({source})', [(table, name, severity, value, '=', 0)], suite)})"
+            for source, table, name, severity, value, suite in (
+                (
+                    "SELECT count(*) AS n FROM ((SELECT DISTINCT channel_group, 1 AS a FROM fs) FULL JOIN "
+                    "(SELECT DISTINCT channel_group, 1 AS b FROM fc) USING (channel_group)) WHERE a IS NULL OR b IS NULL",
+                    "fact_sessions", "channels agree with fact_conversions", "critical", "max(n)", "suite",
+                ),
+                (ORACLE["channel_agreement"], "fact_sessions", "channels agree with fact_bank_conversions", "info", "max(only_on_one_side)", "suite"),
+                (
+                    "SELECT count(*) - count(DISTINCT ROW(date, source_clean, channel_group, campaign, device_category, product_category, country, city, user_type)) AS n FROM fs",
+                    "fact_sessions", "repeated grain", "critical", "max(n)", "suite",
+                ),
+                (ORACLE["duplicate_counts"], "bank_conversions", "repeated clients a day", "info", "max(surplus_rows)", "suite"),
+                (
+                    "SELECT DISTINCT channel_group FROM bank WHERE channel_group NOT IN (SELECT channel_group FROM channels)",
+                    "fact_bank_conversions", "channels without a dimension row", "warning", "count(*)", "matrix",
+                ),
+                (ORACLE["volume_drop"], "fact_sessions", "days with a drop of rows", "warning", "count(*) FILTER (WHERE NOT passed)", "matrix"),
+                (ORACLE["registration_band"], "fact_conversions", "days outside the band of registrations", "warning", "count(*) FILTER (WHERE NOT passed)", "matrix"),
+            )
+        ],
+    )
+)
+add("quality_all", "SELECT * FROM all_checks", "observed threshold")
+add("quality_all_summary", _summary("all_checks"))
 CTES["alert_input"] = """SELECT metric, channel || '/' || product AS subject, variance_pct AS value FROM variances
   WHERE metric IN ('cpa', 'approval_rate', 'roas')
 UNION ALL SELECT 'pacing', channel, pacing_pct FROM pacing
@@ -1206,11 +1246,23 @@ add(
 add("incremental_sessions", "SELECT * FROM fs")
 add("stream_fact_sessions", "SELECT * FROM fs")
 add("append_new_rows", "SELECT token_id, client_code, loan_count FROM bank_raw")
+REFRESHED = {
+    "dim_channel": "SELECT * FROM channels",
+    "dim_date": "SELECT unnest(generate_series(DATE '2025-01-01', DATE '2027-12-31', INTERVAL 1 DAY))",
+    "dim_product": "SELECT unnest(range(14))",
+    "fact_sessions": "SELECT * FROM fs",
+    "fact_conversions": "SELECT * FROM fc_clean",
+    "fact_ad_spend_google": "SELECT * FROM spend_google",
+    "fact_ad_spend": "SELECT * FROM spend",
+    **{name: ORACLE[name] for name in ("funnel_loans", "funnel_registration", "funnel_summary")},
+}
 add(
     "refresh_status",
-    """SELECT "table", 'full' AS mode, TRUE AS ok, CAST(NULL AS VARCHAR) AS error FROM (SELECT unnest(['dim_channel','dim_date','dim_product',
-  'fact_sessions','fact_conversions','fact_ad_spend_google','fact_ad_spend','funnel_loans','funnel_registration','funnel_summary']) AS "table")""",
+    " UNION ALL ".join(f"""SELECT '{t}' AS "table", 'full' AS mode, TRUE AS ok, count(*) AS rows FROM ({body})""" for t, body in REFRESHED.items()),
 )
+_COMPLETE = ("all marts", "MART-06 refresh completeness", "critical", "10", ">=", 10)
+add("refresh_check_rows", f"{REFRESH.replace('FROM fc)', 'FROM fc_clean)')} UNION ALL {_checks('(SELECT 1)', [_COMPLETE], 'matrix')}", "observed threshold")
+add("refresh_incremental", "SELECT * FROM fc_clean")
 add(
     "stream_daily_counts",
     "SELECT event_date AS date, channel_group, count(*) AS events, count(*) FILTER (WHERE event_name = 'page_view') AS pageviews FROM staged "
@@ -1218,7 +1270,7 @@ add(
 )
 CTES["stream_chunks"] = """SELECT user_pseudo_id, event_timestamp AS ts, event_id,
   CASE WHEN lag(event_timestamp) OVER w IS NULL OR event_timestamp - lag(event_timestamp) OVER w >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS starts
-FROM flat WINDOW w AS (PARTITION BY user_pseudo_id ORDER BY event_timestamp, event_id)"""
+FROM flat WHERE user_pseudo_id IS NOT NULL WINDOW w AS (PARTITION BY user_pseudo_id ORDER BY event_timestamp, event_id)"""
 add(
     "stream_sessions",
     """SELECT user_pseudo_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events FROM (

@@ -16,7 +16,7 @@ from martlight.operators.sinks import append_new, replace_recent, replace_table
 from martlight.plans import analytics, bank, charts, dims, facts, spend, staging
 from martlight.plans.queryspec import QuerySpec, run
 from martlight.plans.refresh import marts_path, refresh
-from martlight.session import configure, work_path
+from martlight.session import configure, materialize, work_path
 from martlight.sources import readers, schemas
 from martlight.sources.literals import dim_product
 from martlight.streaming import jobs
@@ -114,8 +114,10 @@ def stg_events(i):
 
 @query
 def stg_events_recent(i):
-    raw = given.raw_events(i.spark, i.folder)
-    recent = staging.stg_events(raw, given.SITE, since=date(2024, 1, 24), until=date(2024, 1, 30))
+    """Events landed by day, read through the reader, which prunes the days."""
+    path = work_path(i.spark, "landed-events")
+    given.raw_events(i.spark, i.folder).write.partitionBy("event_date").parquet(path)
+    recent = staging.stg_events(readers.events(i.spark, path, since=date(2024, 1, 24), until=date(2024, 1, 30)), given.SITE)
     return recent.groupBy("event_date", "source_clean", "product_category").agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -431,6 +433,16 @@ def bank_merge_table(i):
     return rounded(stored.select("token_id", "client_code", "event_date", *merge.UPDATED))
 
 
+@query
+def bank_load(i):
+    """Two loads of exports into one warehouse, the second overlapping the first; the files differ in encoding and date form."""
+    rows, warehouse = i.bank_rows(), work_path(i.spark, "bank-warehouse")
+    for name, part in (("first", given.merge_target(rows)), ("second", given.merge_source(rows))):
+        exports = given.mixed_exports(part, work_path(i.spark, f"exports-{name}"))
+        bank.load_bank(i.spark, exports, warehouse, given.LOADED_AT)
+    return rounded(i.spark.read.parquet(marts_path(warehouse, "fact_bank_conversions")))
+
+
 @query
 def bank_insert_if_absent(i):
     rows = i.bank_rows()
@@ -706,7 +718,35 @@ def grain_duplicates(i):
 
 @query
 def orphan_channels(i):
-    return quality.orphans(i.bank(), i.channels(), {"channel_group": "channel_group"})
+    """Channels of the bank fact that a dimension without e-mail lacks."""
+    known = i.channels().where(F.col("channel_group") != "Email")
+    return quality.orphans(i.bank(), known, {"channel_group": "channel_group"})
+
+
+def _quality_all(i):
+    staged = materialize(i.staged(), "staged")
+    sessions, conversions = materialize(facts.fact_sessions(staged), "sessions"), materialize(facts.fact_conversions(staged), "conversions")
+    channels = i.channels()
+    frames = {
+        "fact_sessions": sessions, "fact_conversions": conversions, "fact_bank_conversions": i.bank(),
+        "dim_channel": channels, "dim_product": dim_product(i.spark), "stg_events": staged, "ad_spend": i.spend(),
+    }
+    every = [*quality.refresh_checks(AS_OF).items(), *quality.suite_checks(AS_OF).items()]
+    every += [("stg_events", quality.staging_checks(AS_OF)), ("ad_spend", quality.spend_checks(AS_OF))]
+    grain = (*facts.CONVERSION_KEYS, "user_type")
+    relations = quality.relation_checks(sessions, conversions, i.bank(), i.bank_rows(), channels, grain)
+    return reduce(DataFrame.unionByName, [quality.run_checks(frames[t], c) for t, c in every], relations)
+
+
+@query
+def quality_all(i):
+    """Every check in the common columns."""
+    return rounded(_quality_all(i))
+
+
+@query
+def quality_all_summary(i):
+    return quality.summary(_quality_all(i))
 
 
 @query
@@ -769,7 +809,23 @@ def _refreshed(i):
 
 @query
 def refresh_status(i):
-    return _refreshed(i)[1].status
+    """Mode, outcome and rows of every mart of a full refresh."""
+    return _refreshed(i)[1].status.drop("error")
+
+
+@query
+def refresh_check_rows(i):
+    return rounded(_refreshed(i)[1].checks)
+
+
+@query
+def refresh_incremental(i):
+    """The conversion fact after a full refresh up to a day and an incremental one of all events."""
+    warehouse, raw = work_path(i.spark, "warehouse"), given.raw_events(i.spark, i.folder)
+    early = readers.between_days(raw, None, date(2024, 1, 26))
+    for events, as_of, full in ((early, date(2024, 1, 27), True), (raw, AS_OF, False)):
+        refresh(i.spark, events, warehouse, as_of, full, site=given.SITE, test_users=("u1",))
+    return i.spark.read.parquet(marts_path(warehouse, "fact_conversions"))
 
 
 @query
