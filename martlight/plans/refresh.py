@@ -69,9 +69,9 @@ def refresh(
 ) -> Outcome:
     """Dimensions, facts, ad spend, funnels, checks. A failing table is recorded and the others go on.
 
-    The columns the marts need are staged once into the shared folder and read by every mart of the run, so
-    the nested raw events are parsed once. An incremental run stages the days of the funnel summary only,
-    replaces the lookback days of the facts and funnels, and adds new pairs to the channel dimension.
+    The columns the marts need are staged into one table of the warehouse, partitioned by day and kept across runs,
+    so the nested raw events are parsed once. An incremental run stages and replaces the lookback days only, in that
+    table as in the facts and funnels, reads the days of the funnel summary, and adds new pairs to the channel dimension.
     ``conversions`` chooses the conversion fact over clean or raw event names. ``input_bytes``, the size of the
     events, sets the number of shuffle partitions. The status has the rows of each table, taken from file footers.
     """
@@ -99,10 +99,19 @@ def refresh(
     first_day = as_of - timedelta(days=max(lookback_days, SUMMARY_DAYS)) if incremental else None
 
     seen = Observation()
-    parsed = stg_events(raw_events, site, since=first_day).select(*STAGED_COLUMNS)
+    staging_path = f"{warehouse}/staging/stg_events"
     staged = None
     try:
-        staged = materialize(parsed.observe(seen, F.count(F.lit(1)).alias("rows")), "stg-events")
+        kept = incremental and path_exists(spark, staging_path)
+        parsed = stg_events(raw_events, site, since=since if kept else first_day).select(*STAGED_COLUMNS)
+        counted = parsed.observe(seen, F.count(F.lit(1)).alias("rows"))
+        if kept:
+            replace_recent(counted, staging_path, since, "event_date")
+        else:
+            replace_table(counted, staging_path, "event_date")
+        staged = spark.read.schema(parsed.schema).parquet(staging_path)
+        if first_day is not None:
+            staged = staged.where(F.col("event_date") >= F.lit(first_day))
     except Exception as error:  # noqa: BLE001
         status += [(name, "incremental" if incremental else "full", False, None, reason(error)) for name in EVENT_TABLES]
     if staged is not None:
