@@ -57,19 +57,20 @@ def share(value: str, keys: tuple[str, ...] = (), scale: float = 100) -> Column:
     return ratio(F.col(value), F.sum(value).over(group), scale)
 
 
-def period_overlay(series: DataFrame, values: tuple[str, ...], start, days: int, time: str = "date") -> DataFrame:
+def period_overlay(series: DataFrame, values: tuple[str, ...], start, days: int, time: str = "date", keys: tuple[str, ...] = ()) -> DataFrame:
     """Each day of a period next to the same day of the period before it, as ``previous_<value>``.
 
-    The period is the ``days`` days from ``start``; days without data count as 0.
+    The period is the ``days`` days from ``start``; days without data count as 0. With ``keys`` there is one series
+    for each of their values that occurs in either period.
     """
     first = F.lit(start)
-    spine = date_spine(series.sparkSession, first, F.date_add(first, days - 1))
     both = series.where(F.col(time).between(F.date_sub(first, days), F.date_add(first, days - 1)))
-    now = both.select(F.col(time).alias("date"), *values)
-    old = both.select(F.date_add(time, days).alias("date"), *[F.col(v).alias(f"previous_{v}") for v in values])
+    spine = date_spine(series.sparkSession, first, F.date_add(first, days - 1), both.select(*keys).distinct() if keys else None, keys)
+    now = both.select(F.col(time).alias("date"), *keys, *values)
+    old = both.select(F.date_add(time, days).alias("date"), *keys, *[F.col(v).alias(f"previous_{v}") for v in values])
     columns = [*values, *[f"previous_{v}" for v in values]]
     return (
-        spine.join(now, "date", "left")
-        .join(old, "date", "left")
-        .select("date", *[F.coalesce(c, F.lit(0)).alias(c) for c in columns])
+        spine.join(now, ["date", *keys], "left")
+        .join(old, ["date", *keys], "left")
+        .select("date", *keys, *[F.coalesce(c, F.lit(0)).alias(c) for c in columns])
     )

@@ -107,12 +107,14 @@ def upload(spark: SparkSession, path: str, kind: str, schema: str) -> DataFrame:
     return frame
 
 
-def date_spine(spark: SparkSession, start: Column | date, end: Column | date, source: DataFrame | None = None) -> DataFrame:
-    """One row per day from ``start`` to ``end``; ``source`` is a one-row frame the bounds may refer to."""
+def date_spine(
+    spark: SparkSession, start: Column | date, end: Column | date, source: DataFrame | None = None, keys: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per day from ``start`` to ``end`` for each row of ``source`` (one by default); the bounds may refer to its columns."""
     first = start if isinstance(start, Column) else F.lit(start)
     last = end if isinstance(end, Column) else F.lit(end)
     base = spark.range(1) if source is None else source
-    return base.select(F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date"))
+    return base.select(*keys, F.explode(F.sequence(first, last, F.expr("interval 1 day"))).alias("date"))
 
 
 def literal_table(spark: SparkSession, schema: str, rows: list[tuple]) -> DataFrame:

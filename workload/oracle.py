@@ -820,6 +820,20 @@ FROM ({' UNION ALL '.join(f"SELECT CAST({n} AS INTEGER) AS stage, '{label}' AS s
     "loan_amount pct_of_previous pct_of_total",
 )
 add("funnel_week_change", "SELECT week_start, stage_name, users, previous, change_pct FROM stage_change", "change_pct")
+CTES["card_weeks"] = " UNION ALL ".join(
+    f"SELECT date_trunc('week', date)::DATE AS week_start, '{s}' AS stage_name, CAST(sum({s}) AS BIGINT) AS users FROM fc GROUP BY 1"
+    for s in ("cards_deposits_pageview", "cards_deposits_apply_click", "cards_deposits_sub_id", "cards_deposits_phone_submit", "registrations")
+)
+CTES["card_change"] = CTES["stage_change"].replace("stage_weeks", "card_weeks")
+add("funnel_cards_week_change", "SELECT week_start, stage_name, users, previous, change_pct FROM card_change", "change_pct")
+add(
+    "channel_overlay",
+    """SELECT n.d AS date, c.channel_group, CAST(COALESCE(a.v, 0) AS BIGINT) AS sessions, CAST(COALESCE(b.v, 0) AS BIGINT) AS previous_sessions
+FROM (SELECT DISTINCT channel_group FROM fs WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-30') c
+CROSS JOIN (SELECT DATE '2024-01-16' + CAST(unnest(range(0, 15)) AS INTEGER) AS d) n
+LEFT JOIN (SELECT date, channel_group, sum(sessions) AS v FROM fs GROUP BY ALL) a ON a.date = n.d AND a.channel_group = c.channel_group
+LEFT JOIN (SELECT date, channel_group, sum(sessions) AS v FROM fs GROUP BY ALL) b ON b.date = n.d - 15 AND b.channel_group = c.channel_group""",
+)
 add("month_kpis", "SELECT period, channel, product, metric, actual FROM kpis", "actual")
 add("kpis_against_targets", "SELECT * FROM variances", "target_value actual variance_pct")
 add(

@@ -489,6 +489,18 @@ def funnel_week_change(i):
     return rounded(analytics.funnel_change(i.conversions(), stages))
 
 
+@query
+def funnel_cards_week_change(i):
+    return rounded(analytics.funnel_change(i.conversions(), charts.CARD_STAGES))
+
+
+@query
+def channel_overlay(i):
+    """Sessions of each channel and day next to those of the period before."""
+    daily = i.sessions().groupBy("date", "channel_group").agg(F.sum("sessions").alias("sessions"))
+    return series.period_overlay(daily, ("sessions",), date(2024, 1, 16), 15, keys=("channel_group",))
+
+
 def _kpis(i):
     return analytics.month_kpis(i.applications(), i.spend(), i.codes(), readers.USD_TO_AMD)
 
