@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlight.llm import decontaminate, mixing, quality, registry, simhash, tokens
+from martlight.llm import decontaminate, likeness, mixing, quality, registry, tokens
 from martlight.llm.common import table
 from martlight.session import materialize, work_path
 
@@ -26,11 +26,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of near copies stays: the one with the smallest doc_id.
 
+    Near copies share at least 0.8 of their shingles of five words (``likeness``).
     Rows with a null doc_id stay, since no group has a name for them. Of rows that share a doc_id one stays.
     """
     docs = docs.select(*COLUMNS)
-    found = simhash.near_duplicates(docs.select("doc_id", "text"))
-    kept = found.where("doc_id = component_id").select("doc_id").distinct()
+    classes = docs.groupBy(likeness.node_of().alias("text_node")).agg(F.min("doc_id").alias("doc_id"))
+    found = classes.join(likeness.groups(docs), F.col("text_node") == F.col("node"), "left")
+    kept = found.groupBy(F.coalesce("root", "text_node")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
     named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"])
     return named.unionByName(docs.where("doc_id IS NULL"))
 

@@ -1,0 +1,62 @@
+import random
+
+import numpy as np
+
+import corpus_pipeline
+from martlight.llm import likeness
+
+
+def shingles(text):
+    words = (text or "").encode().lower().split()
+    return {b" ".join(words[n : n + 5]) for n in range(max(1, len(words) - 4))} if words else set()
+
+
+def plain_kept(rows):
+    """Smallest ids of the groups, every pair compared."""
+    sets = {doc: shingles(text) for doc, text in rows}
+    root = {doc: doc for doc in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    docs = sorted(sets)
+    for n, a in enumerate(docs):
+        for b in docs[n + 1 :]:
+            x, y = sets[a], sets[b]
+            small, large = sorted((len(x), len(y)))
+            if small >= 0.8 * large and len(x & y) >= 0.8 * len(x | y):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return sorted({find(x) for x in docs})
+
+
+def test_words_within_two_bits_meet():
+    rand = random.Random(3)
+    for _ in range(300):
+        word = rand.getrandbits(31)
+        other = word ^ sum(1 << b for b in rand.sample(range(31), rand.choice((0, 1, 2))))
+        (_, a, x), (_, b, y) = (likeness.anchors(np.array([w], dtype=np.int64)) for w in (word, other))
+        assert len(a) <= 16 and set(a) & set(b) and all(int(v).bit_count() <= 2 for v in (*x, *y))
+
+
+def test_stage_against_brute_force(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").where("doc_id IS NOT NULL")
+    got = sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, small).collect())
+    assert got == plain_kept([(r.doc_id, r.text) for r in docs.collect()])
+
+
+def test_changed_words_and_a_large_group(spark, small):
+    rand, rows = random.Random(7), []
+    for n in range(12):
+        base = [f"w{rand.randrange(5000)}" for _ in range(400)]
+        for m in range(12 if n == 0 else 2):
+            words = list(base)
+            for at in rand.sample(range(400), 6 * (m > 0)):
+                words[at] = f"changed{n}x{m}x{at}"
+            rows.append((len(rows), " ".join(words)))
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    docs = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in rows], schema)
+    got = sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, small).collect())
+    assert got == plain_kept(rows) and len(got) == 12
