@@ -2,35 +2,52 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martlight.llm.common import let, text_of, words_of
 from martlight.session import materialize
 
-#: Masks over consecutive words: 1 is hashed, 0 may differ.
-MASKS = ("1101101011", "1110010111")
+#: Places of a mask that are hashed; together they hit every pattern of two changes in twelve or more words.
+MASKS = ((0, 2, 3, 5, 6, 7), (0, 1, 2, 4, 8, 9), (0, 1, 2, 5, 6, 8))
 #: An overlap is checked in windows of so many words (the whole item if it has fewer).
 WINDOW, SIMILARITY = 13, 0.8
 #: Rows up to which the seeds of the benchmark, and the rows to verify, are broadcast; beyond, Spark joins by shuffle.
 MOST_SEEDS, MOST_CANDIDATES = 2_000_000, 500_000
 
 
-def _seeds(words: Column) -> Column:
-    """Array of (place, seed): the hash of each mask at each place where it fits."""
+def masks_for(size: int, similarity: float = SIMILARITY) -> list[tuple[int, ...]]:
+    """Masks of which one fits on any ``size`` words with at least ``similarity`` equal words.
+
+    With c changes, of c + 2 parts two stay whole (of c + 1 parts one, where only one word must be equal): the masks
+    are all choices of so many parts.
+    """
+    changes = max((c for c in range(size) if (size - c) / size >= similarity), default=0)
+    if changes <= 2 and size >= 12:
+        return list(MASKS)
+    whole = min(2, size - changes)
+    cuts = [size * n // (changes + whole) for n in range(changes + whole + 1)]
+    parts = [tuple(range(a, b)) for a, b in zip(cuts, cuts[1:], strict=False)]
+    chosen = (sum(some, ()) for some in combinations(parts, whole))
+    return sorted({tuple(n - places[0] for n in places) for places in chosen})
+
+
+def _seeds(words: Column, masks: dict) -> Column:
+    """Array of (place, seed): the hash of each of the numbered masks at each place where it fits."""
 
-    def masked(h: Column, number: int) -> Column:
-        kept = [n for n, bit in enumerate(MASKS[number]) if bit == "1"]
-        last = F.size(h) - len(MASKS[number])
+    def masked(h: Column, kept: tuple[int, ...]) -> Column:
+        last = F.size(h) - (kept[-1] + 1)
 
         def seed(i: Column) -> Column:
-            return F.struct(i.alias("place"), F.xxhash64(F.lit(number), *[F.get(h, i + n) for n in kept]).alias("seed"))
+            return F.struct(i.alias("place"), F.xxhash64(F.lit(masks[kept]), *[F.get(h, i + n) for n in kept]).alias("seed"))
 
         places = F.sequence(F.lit(0), F.greatest(last, F.lit(0)))
         return F.transform(F.filter(places, lambda i: i <= last), seed)
 
     def hashed(h: Column) -> Column:
-        return F.concat(*[masked(h, number) for number in range(len(MASKS))])
+        return F.concat(*[masked(h, kept) for kept in masks])
 
     return let(F.transform(words, lambda w: F.xxhash64(w)), hashed)
 
@@ -47,18 +64,27 @@ def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, similarit
     two are laid over each other at that place; they overlap if in some ``window`` consecutive words of the item (all
     of them if it has fewer) at least ``similarity`` of the words are equal. ``overlap`` is that share in the best
     window, ``n_equal`` the equal words of the whole item, ``doc_start`` the word of the document on the item's first
-    word (negative if the item starts before the text); of several places the best counts, then the first. Items of
-    fewer words than the masks span are not looked for. Null texts count as empty; a null doc_id or item_id is a value
+    word (negative if the item starts before the text); of several places the best counts, then the first. Every
+    overlap has a mask that fits; items of fewer words than a window have masks of their own. Items without words are
+    not looked for. Null texts count as empty; a null doc_id or item_id is a value
     like any other; repeated rows give one row; empty tables give none; other columns are ignored.
     """
     items = benchmark.select("item_id", words_of(text_of()).alias("item")).distinct()
+    # At most one row for each size below the window.
+    sizes = [r[0] for r in items.select(F.least(F.size("item"), F.lit(window))).where(F.size("item") > 0).distinct().collect()]
+    fitting = {size: masks_for(size, similarity) for size in sorted({window, *sizes})}
+    masks = {kept: number for number, kept in enumerate(sorted({kept for some in fitting.values() for kept in some}))}
+    item_seeds = _seeds(F.col("item"), {kept: masks[kept] for kept in fitting[window]})
+    for size in sizes:
+        if size < window:
+            item_seeds = F.when(F.size("item") == size, _seeds(F.col("item"), {kept: masks[kept] for kept in fitting[size]})).otherwise(item_seeds)
     tested = _bounded(
-        items.select("item_id", "item", F.explode(_seeds(F.col("item"))).alias("s")).select(
+        items.select("item_id", "item", F.explode(item_seeds).alias("s")).select(
             "item_id", "item", F.col("s.place").alias("item_place"), F.col("s.seed").alias("item_seed")
         ).select("item_id", "item_place", "item_seed").distinct(),
         MOST_SEEDS,
     )
-    seeded = docs.select("doc_id", F.explode(_seeds(words_of(text_of()))).alias("s"))
+    seeded = docs.select("doc_id", F.explode(_seeds(words_of(text_of()), masks)).alias("s"))
     hits = seeded.select("doc_id", F.col("s.place").alias("place"), F.col("s.seed").alias("seed")).join(
         tested, F.col("seed") == F.col("item_seed")
     )
