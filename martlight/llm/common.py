@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from martlight.session import materialize
 
 TOP = "_top"
+#: Bytes of an Arrow batch, but for one longer row.
+BATCH_BYTES = 16 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -28,9 +30,10 @@ def importable(spark: SparkSession) -> None:
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Arrow batches of few rows, since one text may be very long. Called before Python runs in tasks."""
+    """Arrow batches of few rows and bytes, since one text may be very long. Called before Python runs in tasks."""
     importable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
 def text_of(name: str = "text") -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlight.llm import decontaminate, fingerprints, licenses, mixing, pages, quality, sharding, simhash, suffixes, tokens
+from martlight.llm import decontaminate, fingerprints, licenses, mixing, pages, pieces, quality, sharding, simhash, suffixes, tokens
 from martlight.llm.common import table
 from martlight.session import work_path
 
@@ -71,6 +71,17 @@ def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(table(spark, folder, "documents"))
 
 
+def piece_model_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+def op11_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    model = piece_model_path()
+    return pieces.digests(pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
