@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlight.llm import decontaminate, fingerprints, licenses, mixing, pages, pieces, quality, sharding, simhash, suffixes, tokens
+from martlight.llm import conversations, decontaminate, fingerprints, licenses, mixing, negatives, pages, pieces, quality, sharding, simhash, suffixes, tokens
 from martlight.llm.common import table
 from martlight.session import work_path
 
@@ -82,9 +82,19 @@ def op11_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return pieces.digests(pieces.decode(pieces.encode(table(spark, folder, "documents"), model), model))
 
 
+def op12_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "conversations")
+    found = conversations.repaired(conversations.damaged(rows), rows.select("conv_id"))
+    return found.where("repaired_sha256 IS NOT NULL").select("conv_id", *conversations.FIGURES, "audit", "repaired_sha256")
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mine(negatives.relabelled(table(spark, folder, "embeddings")), F.col("vec_id") % 50 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op")}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_license_scan": licenses.scan_sql()}
+    return {"op10_license_scan": licenses.scan_sql(), "op13_hard_negatives": negatives.mine_sql()}
