@@ -9,43 +9,61 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlight.llm import decontaminate, likeness, mixing, quality, registry, tokens
+from martlight.llm import decontaminate, mixing, quality, registry, simhash, tokens
 from martlight.llm.common import table
 from martlight.session import materialize, work_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: The contract of the SimHash operator: words of a shingle, and most differing bits of a link.
+SHINGLE, MOST_BITS = 3, 3
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that the quality votes don't reject; the votes are learned on ``docs`` and the table of labels."""
+    """Documents that the quality votes don't reject; the votes are learned on ``docs`` and the table of labels.
+
+    Null and empty texts get the share of label 1 in the sample. Rows that repeat, or whose doc_id is null, are judged
+    like others. An empty table gives no rows.
+    """
     docs = docs.select(*COLUMNS)
     model = quality.train(docs, table(spark, folder, "labels"))
     return quality.score(docs, model).where(F.col("score") >= quality.THRESHOLD).select(*COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id.
+    """One document of each group of linked fingerprints stays: the smallest doc_id, a null one last.
 
-    Near copies share at least 0.8 of their shingles of five words (``likeness``).
-    Rows with a null doc_id stay, since no group has a name for them. Of rows that share a doc_id one stays.
+    Fingerprints are those of shingles of 3 words and link at 3 or fewer differing bits (``simhash``). A row is named by
+    its doc_id and the digest of its text, so different texts under one doc_id, or under none, are different documents,
+    and equal rows are one. Of rows that differ in other columns only, the one with the smallest lang, source and n_chars
+    stays. An empty table gives no rows.
     """
     docs = docs.select(*COLUMNS)
-    classes = docs.groupBy(likeness.node_of().alias("text_node")).agg(F.min("doc_id").alias("doc_id"))
-    found = classes.join(likeness.groups(docs), F.col("text_node") == F.col("node"), "left")
-    kept = found.groupBy(F.coalesce("root", "text_node")).agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    named = docs.where("doc_id IS NOT NULL").join(kept, "doc_id").select(*COLUMNS).dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL"))
+    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+    named = docs.select(name.alias("doc_id"), "text")
+    found = simhash.near_duplicates(named, SHINGLE, MOST_BITS).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    kept = found.select(F.col("doc_id.doc_id").alias("kept_id"), F.col("doc_id.digest").alias("kept_digest")).distinct()
+    rows = docs.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")))
+    first = F.min(F.struct("lang", "source", "n_chars", "text")).alias("row")
+    return rows.groupBy("doc_id", "digest").agg(first).select("doc_id", "row.*").select(*COLUMNS)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
+    """Documents that overlap no benchmark item.
+
+    All rows of a doc_id go if one of them overlaps, also those of the null doc_id, since an overlap is known by it. Null
+    and empty texts and an empty benchmark leave nothing out. Repeated rows stay repeated; an empty table gives no rows.
+    """
     docs = docs.select(*COLUMNS)
     found = decontaminate.leaks(docs, table(spark, folder, "benchmark")).select(F.col("doc_id").alias("leak")).distinct()
     return docs.join(found, F.col("doc_id").eqNullSafe(F.col("leak")), "left_anti")
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """All documents, in the order of the mix: the files and the rows in them follow mix_position."""
+    """All documents, in the order of the mix: the files and the rows in them follow mix_position.
+
+    A null source is a source. Repeated rows and null ids stay; an empty table gives no rows.
+    """
     docs = docs.select(*COLUMNS)
     return mixing.mix(docs, mixing.tempered(docs)).orderBy("mix_position").select(*COLUMNS)
 
