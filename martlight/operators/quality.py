@@ -208,10 +208,10 @@ def mart_checks(as_of: date) -> list[Check]:
     ]
 
 
-def spend_checks(as_of: date) -> list[Check]:
+def spend_checks(as_of: date, table: str = "ad_spend") -> list[Check]:
     return [
-        Check("ad_spend", "AD-01 rows yesterday", "warning", _on(as_of, 1), ">", 0, "matrix"),
-        Check("ad_spend", "AD-02 negative cost", "critical", out_of_range("spend_usd", 0), "==", 0, "matrix"),
+        Check(table, "AD-01 rows yesterday", "warning", _on(as_of, 1), ">", 0, "matrix"),
+        Check(table, "AD-02 negative cost", "critical", out_of_range("spend_usd", 0), "==", 0, "matrix"),
     ]
 
 
@@ -281,19 +281,35 @@ def completeness(status: DataFrame, tables: int) -> DataFrame:
     )
 
 
-def relation_checks(sessions: DataFrame, conversions: DataFrame, bank: DataFrame, bank_rows: DataFrame, channels: DataFrame, grain: tuple[str, ...]) -> DataFrame:
-    """The checks that compare tables, rows or days, in the common columns; repeated clients a day are for information."""
+def related(
+    sessions: DataFrame | None, conversions: DataFrame | None, bank: DataFrame | None, bank_rows: DataFrame | None,
+    channels: DataFrame | None, grain: tuple[str, ...],
+) -> list[tuple[DataFrame, Check]]:
+    """The checks that compare tables, rows or days, each with the frame it runs on; those without their tables are left out.
+
+    Repeated clients a day are for information.
+    """
     surplus, failing = F.max("surplus_rows"), F.count_if(~F.col("passed"))
-    checks = [
-        (channel_agreement(sessions, conversions), Check("fact_sessions", "channels agree with fact_conversions", "critical", F.max("only_on_one_side"), "==", 0, "suite")),
-        (channel_agreement(sessions, bank), Check("fact_sessions", "channels agree with fact_bank_conversions", "info", F.max("only_on_one_side"), "==", 0, "suite")),
-        (duplicate_keys(sessions, grain), Check("fact_sessions", "repeated grain", "critical", surplus, "==", 0, "suite")),
-        (duplicate_keys(bank_rows, ("event_date", "client_code")), Check("bank_conversions", "repeated clients a day", "info", surplus, "==", 0, "suite")),
-        (orphans(bank, channels, {"channel_group": "channel_group"}), Check("fact_bank_conversions", "channels without a dimension row", "warning", _rows(), "==", 0, "matrix")),
-        (volume_drop(sessions), Check("fact_sessions", "days with a drop of rows", "warning", failing, "==", 0, "matrix")),
-        (registration_band(conversions), Check("fact_conversions", "days outside the band of registrations", "warning", failing, "==", 0, "matrix")),
-    ]
-    return reduce(DataFrame.unionByName, [run_checks(frame, [check]) for frame, check in checks])
+    found = []
+
+    def compare(tables: tuple, frame: Callable[..., DataFrame], *check) -> None:
+        if all(t is not None for t in tables):
+            found.append((frame(*tables), Check(*check)))
+
+    compare((sessions, conversions), channel_agreement, "fact_sessions", "channels agree with fact_conversions", "critical", F.max("only_on_one_side"), "==", 0, "suite")
+    compare((sessions, bank), channel_agreement, "fact_sessions", "channels agree with fact_bank_conversions", "info", F.max("only_on_one_side"), "==", 0, "suite")
+    compare((sessions,), lambda t: duplicate_keys(t, grain), "fact_sessions", "repeated grain", "critical", surplus, "==", 0, "suite")
+    compare((bank_rows,), lambda t: duplicate_keys(t, ("event_date", "client_code")), "bank_conversions", "repeated clients a day", "info", surplus, "==", 0, "suite")
+    compare((bank, channels), lambda t, c: orphans(t, c, {"channel_group": "channel_group"}), "fact_bank_conversions", "channels without a dimension row", "warning", _rows(), "==", 0, "matrix")
+    compare((sessions,), volume_drop, "fact_sessions", "days with a drop of rows", "warning", failing, "==", 0, "matrix")
+    compare((conversions,), registration_band, "fact_conversions", "days outside the band of registrations", "warning", failing, "==", 0, "matrix")
+    return found
+
+
+def relation_checks(sessions: DataFrame, conversions: DataFrame, bank: DataFrame, bank_rows: DataFrame, channels: DataFrame, grain: tuple[str, ...]) -> DataFrame:
+    """The checks that compare tables, rows or days, in the common columns."""
+    found = related(sessions, conversions, bank, bank_rows, channels, grain)
+    return reduce(DataFrame.unionByName, [run_checks(frame, [check]) for frame, check in found])
 
 
 def summary(results: DataFrame) -> DataFrame:

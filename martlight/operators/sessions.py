@@ -34,13 +34,16 @@ def inactivity_sessions(events: DataFrame, user: str, ts: str, gap_minutes: int
     chunks = events.where(F.col(user).isNotNull()).groupBy(user, _chunk(F.col(ts), gap).alias("_chunk")).agg(
         F.min(ts).alias("_first"), F.max(ts).alias("_last"), F.count(F.lit(1)).alias("_events")
     )
-    sessions = _chunk_sessions(chunks, user, gap)
-    return (
-        sessions.groupBy(user, "session_no")
-        .agg(F.min("_first").alias("session_start"), F.max("_last").alias("session_end"), F.sum("_events").alias("events"))
-        .withColumn(
-            "duration_sec", (F.unix_micros("session_end") - F.unix_micros("session_start")) / F.lit(1_000_000.0)
-        )
+    return sessions_of_chunks(chunks, user, gap).withColumn(
+        "duration_sec", (F.unix_micros("session_end") - F.unix_micros("session_start")) / F.lit(1_000_000.0)
+    )
+
+
+def sessions_of_chunks(chunks: DataFrame, user: str, gap_seconds: int) -> DataFrame:
+    """user, session_no, session_start, session_end, events from the summaries (_chunk, _first, _last, _events) of chunks."""
+    sessions = _chunk_sessions(chunks, user, gap_seconds)
+    return sessions.groupBy(user, "session_no").agg(
+        F.min("_first").alias("session_start"), F.max("_last").alias("session_end"), F.sum("_events").alias("events")
     )
 
 

@@ -4,24 +4,33 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martlight.session import materialize
 
 
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop path and the file system it is in."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
+    target, system = file_system(spark, path)
+    return system.exists(target)
+
+
+def metrics(seen: Observation) -> dict:
+    """What was observed; nothing where Spark found the input to be empty and left the observation out of the plan."""
     try:
-        spark.read.schema("_probe int").parquet(path)
-        return True
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return False
+        return seen.get
+    except Py4JJavaError:
+        return {}
 
 
-def _laid_out(df: DataFrame, partition: str, cluster: tuple[str, ...]) -> DataFrame:
+def laid_out(df: DataFrame, partition: str, cluster: tuple[str, ...]) -> DataFrame:
     """Rows of a day together, sorted by the cluster columns; a rebalance splits days that are too large."""
     spread = df.hint("rebalance", partition)
     return spread.sortWithinPartitions(partition, *cluster) if cluster else spread
@@ -36,7 +45,7 @@ def replace_table(df: DataFrame, path: str, partition: str | None = None, cluste
         materialize(df, "replacement").write.mode("overwrite").parquet(path)
         return
     (
-        _laid_out(df, partition, cluster)
+        laid_out(df, partition, cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy(partition)
@@ -69,21 +78,21 @@ def replace_recent(df: DataFrame, path: str, since: date, partition: str = "date
     had = {row[0] for row in stored.where(F.col(partition) >= F.lit(since)).select(partition).distinct().collect()}
     seen = Observation()
     (
-        _laid_out(window.select(*schema.names).observe(seen, F.collect_set(partition).alias("days")), partition, cluster)
+        laid_out(window.select(*schema.names).observe(seen, F.collect_set(partition).alias("days")), partition, cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)
         .parquet(path)
     )
     empty = spark.createDataFrame([], schema).drop(partition)
-    for day in sorted(had - set(seen.get["days"])):
+    for day in sorted(had - set(metrics(seen).get("days", ()))):
         empty.write.mode("overwrite").parquet(f"{path}/{partition}={day.isoformat()}")
 
 
 def replace_days(df: DataFrame, path: str, partition: str = "date", cluster: tuple[str, ...] = ()) -> None:
     """Replace exactly the days that occur in ``df``; creates the table where it does not exist."""
     (
-        _laid_out(df, partition, cluster)
+        laid_out(df, partition, cluster)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition)

@@ -6,7 +6,7 @@ from datetime import datetime
 from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlight.functions.classify import bank_channel_group
@@ -47,8 +47,17 @@ def _windows_1251(column: Column) -> Column:
     return F.translate(column, upper.decode("latin1"), upper.decode("cp1251", errors="replace"))
 
 
-def read_export(spark: SparkSession, path: str) -> DataFrame:
-    """The export as text columns, whatever the encoding of each of its files.
+#: Where a record of the export is from: its file, the split of the file, and a number that grows within the split.
+PLACE = ("_file", "_block", "_order")
+
+
+def _placed(frame: DataFrame) -> DataFrame:
+    meta = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    return frame.select("*", *meta, F.monotonically_increasing_id().alias("_order"))
+
+
+def read_export(spark: SparkSession, path: str, places: bool = False) -> DataFrame:
+    """The export as text columns, whatever the encoding of each of its files; with ``places``, also the columns PLACE.
 
     One pass over the lines finds out for each file whether it is valid UTF-8, whether a byte occurs that the
     Cyrillic code page lacks, and whether a quoted field spans lines. Files alike in this are read together; only
@@ -71,13 +80,13 @@ def read_export(spark: SparkSession, path: str) -> DataFrame:
 
     def read(paths: str | list[str], utf8: bool, cyrillic: bool, spans: bool) -> DataFrame:
         reader = spark.read.options(header=True, multiLine=spans, escape='"')
-        if utf8:
-            return reader.csv(paths)
-        frame = reader.option("encoding", "ISO-8859-1").csv(paths)
-        if not cyrillic:
+        stored = reader.csv(paths) if utf8 else reader.option("encoding", "ISO-8859-1").csv(paths)
+        frame = _placed(stored) if places else stored
+        if utf8 or not cyrillic:
             return frame
         return frame.select(
-            *[_windows_1251(F.col(f"`{c}`")).alias(c.encode("latin1").decode("cp1251", errors="replace")) for c in frame.columns]
+            *[_windows_1251(F.col(f"`{c}`")).alias(c.encode("latin1").decode("cp1251", errors="replace")) for c in stored.columns],
+            *(PLACE if places else ()),
         )
 
     if len(alike) < 2:
@@ -93,16 +102,63 @@ def check_headers(frame: DataFrame, required: tuple[str, ...] = REQUIRED) -> Dat
     return frame
 
 
-def clean_export(frame: DataFrame, loaded_at: datetime) -> DataFrame:
-    """Typed rows of the raw bank table. Absent optional columns get the default, missing texts are NULL."""
+def clean_export(frame: DataFrame, loaded_at: datetime, strict: bool = True) -> DataFrame:
+    """Typed rows of the raw bank table. Absent optional columns get the default, missing texts are NULL.
+
+    An unreadable date is an error, or NULL if not ``strict``.
+    """
+    return frame.select(*_typed(frame, loaded_at, strict))
+
+
+def _typed(frame: DataFrame, loaded_at: datetime, strict: bool) -> list[Column]:
     none = F.lit(None).cast("string")
-    columns = {"event_date": flexible_date(column_or(frame, "Event _date", none))}
+    day = column_or(frame, "Event _date", none)
+    columns = {"event_date": flexible_date(day) if strict else try_date(missing_to_null(day))}
     columns |= {name: missing_to_null(column_or(frame, header, none)) for name, header in TEXT_HEADERS.items()}
     columns |= {name: whole_number(column_or(frame, header, none)) for name, header in WHOLE_HEADERS.items()}
     columns |= {name: number(column_or(frame, header, none)) for name, header in AMOUNT_HEADERS.items()}
     columns["uploaded_at"] = F.lit(loaded_at).cast("timestamp")
     order = [part.split()[0] for part in schemas.BANK_CONVERSIONS.replace("\n", " ").split(",")]
-    return frame.select(*[columns[name].alias(name) for name in order])
+    return [columns[name].alias(name) for name in order]
+
+
+REJECTS = "file string, record long, reason string, event_date_text string, token_id string, client_code string, loaded_at timestamp"
+
+
+def judged_export(frame: DataFrame, loaded_at: datetime) -> DataFrame:
+    """The typed rows with ``_reason``, why a row must not be loaded (NULL: it may), its date as text, and PLACE.
+
+    Refused are unreadable dates, rows without any part of the key, and negative counts or amounts.
+    """
+    none = F.lit(None).cast("string")
+    day = missing_to_null(column_or(frame, "Event _date", none))
+    rows = frame.select(*_typed(frame, loaded_at, strict=False), day.alias("_day"), *PLACE)
+    negative = any_of(*[F.col(c) < 0 for c in (*(set(WHOLE_HEADERS) & {"loan_count", "deposit_count", "card_count"}), *AMOUNT_HEADERS)])
+    reason = (
+        F.when(F.col("_day").isNotNull() & F.col("event_date").isNull(), "unreadable date")
+        .when(F.coalesce("token_id", "client_code", "_day").isNull(), "no key")
+        .when(negative, "negative figure")
+    )
+    return rows.withColumn("_reason", reason)
+
+
+def rejects(judged: DataFrame) -> DataFrame:
+    """The refused rows with file, number of the record in its file (from 1, the header not counted), and reason.
+
+    ``judged`` must be stored, since the order within a file is that of its one reading.
+    """
+    blocks = judged.groupBy("_file", "_block").agg(F.min("_order").alias("_first"), F.count(F.lit(1)).alias("_rows"))
+    # One row for each split of a file.
+    before = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = blocks.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
+    return judged.where(F.col("_reason").isNotNull()).join(blocks, ["_file", "_block"]).select(
+        F.url_decode("_file").alias("file"), (F.col("_order") - F.col("_first") + F.col("_before") + 1).alias("record"),
+        F.col("_reason").alias("reason"), F.col("_day").alias("event_date_text"), "token_id", "client_code", F.col("uploaded_at").alias("loaded_at"),
+    )
+
+
+class LoadRefused(ValueError):
+    """More rows were refused than the load allows; nothing was loaded."""
 
 
 def export_checks(frame: DataFrame) -> DataFrame:
@@ -166,12 +222,19 @@ def load_totals(fact: DataFrame) -> DataFrame:
     )
 
 
-def load_bank(spark: SparkSession, csv_path: str, warehouse: str, loaded_at: datetime) -> dict:
+def load_bank(spark: SparkSession, csv_path: str, warehouse: str, loaded_at: datetime, max_rejected: float = 0.05) -> dict:
     """CSV export to raw table (merge), staging table and fact table. Returns the counts and totals.
 
-    All three are partitioned by day, and only the days that occur in the export are built and replaced.
+    Rows that must not be loaded go to the table ``rejects`` of the warehouse, with their place and reason; if they are
+    more than ``max_rejected`` of all rows, nothing is loaded. The three tables are partitioned by day, and only the
+    days that occur in the accepted rows are built and replaced.
     """
-    cleaned = materialize(clean_export(check_headers(read_export(spark, csv_path)), loaded_at), "bank-export")
+    judged = materialize(judged_export(check_headers(read_export(spark, csv_path, places=True)), loaded_at), "bank-export")
+    total, refused = judged.agg(F.count(F.lit(1)), F.count("_reason")).first()
+    rejects(judged).write.mode("append").parquet(f"{warehouse}/rejects/bank_conversions")
+    if refused > max_rejected * total:
+        raise LoadRefused(f"{refused} of {total} rows are refused")
+    cleaned = judged.where(F.col("_reason").isNull()).drop("_reason", "_day", *PLACE)
     raw_path = f"{warehouse}/raw/bank_conversions"
     counts = merge_into(spark, raw_path, cleaned, schemas.BANK_CONVERSIONS)
     # One row for each calendar day of the export, so the size is bounded.
@@ -186,4 +249,4 @@ def load_bank(spark: SparkSession, csv_path: str, warehouse: str, loaded_at: dat
     stored = touched(", ".join(f"`{name}` {kind}" for name, kind in staged.dtypes), staged_path)
     replace_days(fact_bank_conversions(stored), f"{warehouse}/marts/fact_bank_conversions")
     totals = load_totals(spark.read.parquet(f"{warehouse}/marts/fact_bank_conversions")).first()
-    return {**counts, **totals.asDict()}
+    return {**counts, **totals.asDict(), "rejected": refused}

@@ -55,12 +55,12 @@ def fact_ad_spend_meta(insights: DataFrame, usd_to_amd: float = USD_TO_AMD) -> D
     return _meta(insights, "Paid Social", usd_to_amd).drop("ad_group")
 
 
-def fact_ad_spend(google: DataFrame, insights: DataFrame, usd_to_amd: float = USD_TO_AMD) -> DataFrame:
-    """All platforms. Meta conversions are tracked elsewhere and are the number 0, not NULL."""
+def fact_ad_spend(google: DataFrame | None, insights: DataFrame, usd_to_amd: float = USD_TO_AMD) -> DataFrame:
+    """All platforms, or Meta alone. Meta conversions are tracked elsewhere and are the number 0, not NULL."""
     meta = _meta(insights, "Meta Ads", usd_to_amd).drop("reach")
     zero = F.lit(0.0)
     meta = meta.withColumns({"conversions": zero, "cost_per_conversion": zero})
-    return google.where(F.col("date").isNotNull()).unionByName(meta)
+    return meta if google is None else google.where(F.col("date").isNotNull()).unionByName(meta)
 
 
 def raw_spend(rows: DataFrame, usd_to_amd: float = USD_TO_AMD) -> DataFrame:

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from martlight.functions.classify import Site
-from martlight.operators.sinks import replace_days
+from martlight.operators.sinks import metrics, replace_days
 from martlight.plans import facts
 from martlight.plans.staging import stg_events
 from martlight.sources import schemas
+from martlight.streaming import store as stores
 
 LATE = "7 days"
 GAP = "30 minutes"
@@ -75,24 +76,18 @@ def refresh_session_fact(raw: DataFrame, store: str, fact_path: str, checkpoint:
     """Keep the session fact exact while events arrive.
 
     Each micro-batch is added to the stored raw events under its days and batch number, so a repeated batch
-    replaces itself. Then exactly the folders of the days it touches are read back, recomputed and replaced.
+    replaces itself. Then exactly the days it touches are read back, recomputed and replaced. ``compact_events``
+    keeps the number of stored files in proportion to the days.
     """
 
     def upsert(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         seen = Observation()
-        (
-            batch.observe(seen, F.collect_set("event_date").alias("days"))
-            .withColumn("batch", F.lit(batch_id))
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("event_date", "batch")
-            .parquet(store)
-        )
+        stores.add_batch(batch.observe(seen, F.collect_set("event_date").alias("days")), batch_id, store, "event_date")
         # The calendar days of one micro-batch.
-        folders = [f"{store}/event_date={day}" for day in sorted(seen.get["days"])]
-        if folders:
-            touched = spark.read.schema(schemas.EVENTS).option("basePath", store).parquet(*folders)
+        days = sorted(metrics(seen).get("days", ()))
+        if days:
+            touched = stored_events(spark, store, days)
             replace_days(facts.fact_sessions(stg_events(touched, site)), fact_path, "date", facts.CLUSTER)
 
     return (
@@ -101,3 +96,13 @@ def refresh_session_fact(raw: DataFrame, store: str, fact_path: str, checkpoint:
         .trigger(availableNow=True)
         .start()
     )
+
+
+def stored_events(spark: SparkSession, store: str, days: list[str] | None = None) -> DataFrame:
+    """The raw events that a stream has stored, of all days or of some."""
+    return stores.read(spark, store, "event_date", schemas.EVENTS, days=days).drop("batch")
+
+
+def compact_events(spark: SparkSession, store: str, before: str, running: bool = True) -> list[str]:
+    """Rewrite the stored days before ``before`` (yyyyMMdd), one folder each, for good; late events go on beside them."""
+    return stores.compact(spark, store, "event_date", schemas.EVENTS, before, running=running)

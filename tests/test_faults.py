@@ -9,7 +9,7 @@ from martlight.functions.columns import flexible_date
 from martlight.operators.sessions import inactivity_sessions
 from martlight.operators.sinks import path_exists, replace_table
 from martlight.plans import analytics, charts, queryspec, staging
-from martlight.plans.refresh import refresh
+from martlight.plans.refresh import read_mart, refresh
 from workload import adapters as given
 
 
@@ -22,7 +22,7 @@ def test_damaged_statistics_fail_only_their_tables(spark, small, tmp_path):
     outcome = refresh(spark, given.raw_events(spark, small), str(tmp_path / "w"), given.AS_OF, google_stats=stats, site=given.SITE)
     rows = {r.table: (r.ok, r.error) for r in outcome.status.collect()}
     assert [t for t, (ok, _) in rows.items() if not ok] == ["fact_ad_spend_google"] and len(rows) == 9 and not outcome.ok
-    assert spark.read.parquet(f"{tmp_path}/w/marts/funnel_loans").count() > 0
+    assert read_mart(spark, f"{tmp_path}/w", "funnel_loans").count() > 0
 
 
 def test_a_failed_write_keeps_the_table(spark, tmp_path):

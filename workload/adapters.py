@@ -181,6 +181,28 @@ def landed_spend(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def spend_drops(spark: SparkSession, folder: str, path: str) -> str:
+    """Landed spend as two drops: one as it is, one with the dates as numbers and the figures as text."""
+    rows = landed_spend(spark, folder)
+    odd = F.col("campaign_name").isin("camp_1", "camp_4")
+    rows.where(~odd).write.parquet(f"{path}/drop=1")
+    text = {c: F.concat(F.lit(" "), F.col(c).cast("string")) for c in ("impressions", "clicks", "cost")}
+    other = rows.where(odd).withColumns(text).withColumn("date", F.date_format("date", "yyyyMMdd").cast("int"))
+    other.write.parquet(f"{path}/drop=2")
+    return path
+
+
+def insight_drops(spark: SparkSession, folder: str, path: str) -> str:
+    """Insights as two drops: one as they are, one all text, with missing and unreadable figures."""
+    rows = meta_insights(spark, folder)
+    odd = F.col("reach") % 3 == 0
+    rows.where(~odd).write.parquet(f"{path}/drop=1")
+    text = rows.where(odd).select(*[F.col(c).cast("string").alias(c) for c in rows.columns])
+    text = text.withColumn("clicks", F.when(F.col("reach").endswith("5"), "many").when(F.col("reach").endswith("4"), "N/A").otherwise(F.col("clicks")))
+    text.withColumn("impressions", F.concat("impressions", F.lit(".0"))).write.parquet(f"{path}/drop=2")
+    return path
+
+
 BANK_SOURCES = ("Meta_ads", "google", "NN ads", "sfmc", "SMS", "landing", "yandex", "ms_network", None)
 BANK_MEDIA = ("cpc", "email", "referral", None)
 
@@ -258,6 +280,17 @@ def bank_export(rows: DataFrame) -> DataFrame:
     )
 
 
+def damaged_export(rows: DataFrame, named: bool = False) -> DataFrame:
+    """An export with unreadable and missing dates, missing clients or negative figures, by the number of the client (with ``named`` of the token)."""
+    export = bank_export(rows)
+    number = F.substring("Event Param Value (String)" if named else "Client_code", 2, 20).try_cast("long")
+    day = F.when(number % 40 == 1, "31/31/2024").when(number % 40 == 2, "NaN").otherwise(F.col("Event _date"))
+    export = export.withColumn("Event _date", day)
+    if named:
+        return export.withColumn("DEPOSIT_AMOUNT", F.when(number % 40 == 11, "-5.00").otherwise(F.col("DEPOSIT_AMOUNT")))
+    return export.withColumn("Client_code", F.when(number % 40 == 3, "").otherwise(F.col("Client_code")))
+
+
 def mixed_exports(rows: DataFrame, path: str) -> str:
     """Bank rows as an export of files in UTF-8 and in the Cyrillic code page, with several forms of dates and quoted line breaks."""
     last, day = F.substring("Event Param Value (String)", -1, 1), F.col("Event _date").cast("date")

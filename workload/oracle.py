@@ -1279,18 +1279,111 @@ add("refresh_check_rows", f"{REFRESH.replace('FROM fc)', 'FROM fc_clean)')} UNIO
 add("refresh_incremental", "SELECT * FROM fc_clean")
 add(
     "stream_daily_counts",
-    "SELECT event_date AS date, channel_group, count(*) AS events, count(*) FILTER (WHERE event_name = 'page_view') AS pageviews FROM staged "
-    "WHERE event_date + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 7 DAY FROM events) GROUP BY ALL",
+    "SELECT event_date AS date, channel_group, count(*) AS events, count(*) FILTER (WHERE event_name = 'page_view') AS pageviews, "
+    "event_date + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 7 DAY FROM events) AS final FROM staged GROUP BY event_date, channel_group",
 )
+add("stream_users_by_sketch", "SELECT channel_group, count(DISTINCT user_pseudo_id) AS users, TRUE AS near FROM staged GROUP BY 1")
 CTES["stream_chunks"] = """SELECT user_pseudo_id, event_timestamp AS ts, event_id,
   CASE WHEN lag(event_timestamp) OVER w IS NULL OR event_timestamp - lag(event_timestamp) OVER w >= INTERVAL 30 MINUTE THEN 1 ELSE 0 END AS starts
 FROM flat WHERE user_pseudo_id IS NOT NULL WINDOW w AS (PARTITION BY user_pseudo_id ORDER BY event_timestamp, event_id)"""
 add(
     "stream_sessions",
-    """SELECT user_pseudo_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events FROM (
-  SELECT *, sum(starts) OVER (PARTITION BY user_pseudo_id ORDER BY ts, event_id) AS no FROM stream_chunks) GROUP BY user_pseudo_id, no
-HAVING max(ts) + INTERVAL 30 MINUTE <= (SELECT max(ts) - INTERVAL 7 DAY FROM events)""",
+    """SELECT user_pseudo_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS events,
+  max(ts) + INTERVAL 30 MINUTE <= (SELECT max(event_timestamp) - INTERVAL 7 DAY FROM flat WHERE user_pseudo_id IS NOT NULL) AS final FROM (
+  SELECT *, sum(starts) OVER (PARTITION BY user_pseudo_id ORDER BY ts, event_id) AS no FROM stream_chunks) GROUP BY user_pseudo_id, no""",
 )
+add("stream_compacted_store", "SELECT * FROM fs")
+_EARLY = "SELECT date, CAST(sum(sessions) AS BIGINT) AS sessions FROM fs WHERE date <= DATE '2024-01-26' GROUP BY 1"
+add(
+    "table_versions",
+    f"""SELECT 'while written' AS reader, * FROM ({_EARLY}) UNION ALL SELECT 'the first', * FROM ({_EARLY})
+UNION ALL SELECT 'published', date, CAST(sum(sessions) AS BIGINT) FROM fs GROUP BY date""",
+)
+add(
+    "refresh_published",
+    """SELECT "table", "table" <> 'fact_ad_spend' AS published, CASE WHEN "table" <> 'fact_ad_spend' THEN CAST(2 AS BIGINT) END AS number,
+  CASE WHEN "table" = 'fact_ad_spend' AND (SELECT count(*) FROM google) > 0 THEN 'AD-02 negative cost' END AS reason
+FROM (SELECT unnest(['dim_channel','dim_date','dim_product','fact_sessions','fact_conversions','fact_ad_spend_google','fact_ad_spend',
+  'funnel_loans','funnel_registration','funnel_summary']) AS "table")""",
+)
+add("refresh_keeps_bad_spend", "SELECT date, channel_group, sum(spend_usd) AS spend_usd, count(*) AS rows FROM spend GROUP BY ALL", "spend_usd")
+_RELATIONS = (
+    (
+        "SELECT count(*) AS n FROM ((SELECT DISTINCT channel_group, 1 AS a FROM fs) FULL JOIN "
+        "(SELECT DISTINCT channel_group, 1 AS b FROM fc_clean) USING (channel_group)) WHERE a IS NULL OR b IS NULL",
+        "fact_sessions", "channels agree with fact_conversions", "critical", "max(n)", "suite",
+    ),
+    (
+        "SELECT count(*) - count(DISTINCT ROW(date, source_clean, channel_group, campaign, device_category, product_category, country, city, user_type)) AS n FROM fs",
+        "fact_sessions", "repeated grain", "critical", "max(n)", "suite",
+    ),
+    (ORACLE["volume_drop"], "fact_sessions", "days with a drop of rows", "warning", "count(*) FILTER (WHERE NOT passed)", "matrix"),
+    (
+        _with(f"""SELECT COALESCE(registrations BETWEEN rolling_avg * 0.5 AND rolling_avg * 1.5, TRUE) AS passed
+FROM (SELECT *, avg(registrations) OVER (ORDER BY date ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS rolling_avg
+FROM ({_daily('sum(registrations)', 'fc_clean', 'registrations')}))"""),
+        "fact_conversions", "days outside the band of registrations", "warning", "count(*) FILTER (WHERE NOT passed)", "matrix",
+    ),
+)
+add(
+    "refresh_relation_rows",
+    " UNION ALL ".join(
+        [f"SELECT * FROM ({_checks(f'({source})', [(table, name, severity, value, '=', 0)], suite)})" for source, table, name, severity, value, suite in _RELATIONS]
+        + [f"SELECT * FROM ({ORACLE['spend_checks']})".replace("'ad_spend' AS", "'fact_ad_spend' AS")]
+    ),
+    "observed threshold",
+)
+add(
+    "scanned_inputs",
+    " UNION ALL ".join(
+        f"SELECT 'since {since}' AS input, count(DISTINCT CAST(ts AS DATE)) AS files, TRUE AS fewer_bytes FROM events {test}"
+        for since, test in (("2024-01-01", ""), ("2024-01-10", "WHERE ts >= DATE '2024-01-10'"), ("2024-01-24", "WHERE ts >= DATE '2024-01-24'"))
+    ),
+)
+add(
+    "views_report",
+    "SELECT channel_type, is_paid, date, CAST(sum(sessions) AS BIGINT) AS sessions FROM fs JOIN channels USING (source_clean, channel_group) GROUP BY ALL",
+)
+add(
+    "empty_spend_table",
+    """SELECT date, channel AS channel_group, sum(CASE WHEN currency = 'amd' THEN cost / 400 ELSE cost END) AS spend_usd, count(*) AS rows FROM landed GROUP BY ALL""",
+    "spend_usd",
+)
+for _kind in ("csv", "parquet"):
+    ORACLE[f"uploads_{_kind}"] = ORACLE["uploads_tsv"]
+ORACLE["raw_ad_spend_landed"] = ORACLE["raw_ad_spend"]
+add("google_ads_landed", "SELECT * FROM spend_google WHERE date >= DATE '2024-01-11'")
+CTES["meta_drops"] = """SELECT * REPLACE (CASE WHEN reach % 3 = 0 AND reach % 10 IN (4, 5) THEN NULL ELSE clicks END AS clicks) FROM meta"""
+add(
+    "meta_insights_landed",
+    f"SELECT date, 'Paid Social' AS channel_group, campaign, impressions, clicks, spend_usd, spend_amd, reach, {RATES} FROM meta_drops",
+)
+add(
+    "lost_values",
+    """SELECT field, CASE WHEN field = 'clicks' THEN (SELECT count(*) FROM meta WHERE reach % 3 = 0 AND reach % 10 = 5) ELSE 0 END AS lost,
+  (SELECT count(*) FROM meta) AS rows
+FROM (SELECT unnest(['date_start','campaign_name','adset_name','impressions','clicks','spend','reach']) AS field)""",
+)
+CTES["damaged_rows"] = """SELECT *, token_id[-1] = '9' AS anonymous, CAST(substr(client_code, 2) AS BIGINT) % 40 AS k
+FROM (SELECT * FROM bank_raw UNION ALL SELECT * FROM bank_raw WHERE loan_count > 0)"""
+add(
+    "bank_export_checks_damaged",
+    """SELECT count(*) AS total_rows, CAST(1 AS BIGINT) AS missing_columns, count(*) FILTER (WHERE k = 1) AS bad_dates,
+  count(*) FILTER (WHERE k = 2) AS empty_dates, count(*) FILTER (WHERE k = 3) AS empty_clients, count(*) FILTER (WHERE anonymous) AS empty_tokens,
+  count(*) FILTER (WHERE NOT anonymous AND k NOT IN (1, 2, 3)) - count(DISTINCT token_id) FILTER (WHERE NOT anonymous AND k NOT IN (1, 2, 3)) AS duplicate_rows
+FROM damaged_rows""",
+)
+CTES["export_rows"] = """SELECT *, CAST(substr(token_id, 2) AS BIGINT) % 40 AS k, row_number() OVER (ORDER BY CAST(substr(token_id, 2) AS BIGINT)) AS record
+FROM bank_raw WHERE token_id[-1] <> '9'"""
+add(
+    "bank_load_rejects",
+    """SELECT record, CASE k WHEN 1 THEN 'unreadable date' ELSE 'negative figure' END AS reason,
+  CASE k WHEN 1 THEN '31/31/2024' ELSE strftime(event_date, '%Y-%m-%d') END AS event_date_text, token_id, client_code FROM export_rows WHERE k IN (1, 11)""",
+)
+CTES["accepted_rows"] = """SELECT * REPLACE (CASE WHEN token_id[-1] = '6' THEN 0.0 ELSE loan_amount END AS loan_amount,
+  CASE WHEN k = 2 THEN NULL ELSE event_date END AS event_date) FROM export_rows WHERE k NOT IN (1, 11)"""
+CTES["accepted_fact"] = CTES["bank"].replace("FROM bank_raw b", "FROM accepted_rows b")
+add("bank_load_accepted", "SELECT * FROM accepted_fact", f"{BANK_DOUBLES} total_revenue_amd")
 
 
 def oracle_sql() -> dict[str, str]:

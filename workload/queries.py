@@ -6,20 +6,20 @@ from collections.abc import Callable
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlight.functions.metrics import contract_metrics, session_quality
 from martlight.functions.columns import date_bucket
-from martlight.operators import alerts, funnels, merge, quality, series, sessions
-from martlight.operators.sinks import append_new, replace_recent, replace_table
+from martlight.operators import alerts, funnels, merge, quality, series, sessions, versions
+from martlight.operators.sinks import append_new, create_if_absent, replace_recent, replace_table
 from martlight.plans import analytics, bank, charts, dims, facts, spend, staging
 from martlight.plans.queryspec import QuerySpec, run
-from martlight.plans.refresh import marts_path, refresh
+from martlight.plans.refresh import marts_path, read_mart, refresh, register_views, scan_figures
 from martlight.session import configure, materialize, work_path
 from martlight.sources import readers, schemas
 from martlight.sources.literals import dim_product
-from martlight.streaming import jobs
+from martlight.streaming import jobs, windows
 from workload import adapters as given
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -195,6 +195,34 @@ def bank_export_checks(i):
     return bank.export_checks(given.bank_export(doubled))
 
 
+@query
+def bank_export_checks_damaged(i):
+    """The checks before a load on an export with every kind of damage."""
+    return bank.export_checks(given.damaged_export(i.bank_rows().unionByName(i.bank_rows().where(F.col("loan_count") > 0))).drop("LOAN_COUNT"))
+
+
+def _damaged_load(i):
+    warehouse, path = work_path(i.spark, "bank-warehouse"), work_path(i.spark, "damaged")
+    number = F.substring("Event Param Value (String)", 2, 20).try_cast("long")
+    export = given.damaged_export(i.bank_rows(), named=True)
+    export.orderBy(number.asc_nulls_last(), "Client_code").coalesce(1).write.option("header", True).csv(path)
+    bank.load_bank(i.spark, path, warehouse, given.LOADED_AT, max_rejected=0.2)
+    return warehouse
+
+
+@query
+def bank_load_rejects(i):
+    """The refused rows of a damaged export: record, reason, and what they had."""
+    stored = i.spark.read.schema(bank.REJECTS).parquet(f"{_damaged_load(i)}/rejects/bank_conversions")
+    return stored.drop("file", "loaded_at")
+
+
+@query
+def bank_load_accepted(i):
+    """The fact after the load of a damaged export: its other rows."""
+    return rounded(i.spark.read.parquet(marts_path(_damaged_load(i), "fact_bank_conversions")))
+
+
 @query
 def approvals_csv(i):
     """Applications through the approvals CSV template."""
@@ -239,6 +267,55 @@ def uploads_tsv(i):
     )
 
 
+def _uploaded(i, kind: str):
+    path, rows = work_path(i.spark, f"upload-{kind}"), given.landed_spend(i.spark, i.folder)
+    writer = rows.write.option("header", True)
+    writer.csv(path) if kind == "csv" else writer.parquet(path)
+    upload = readers.upload(i.spark, path, kind, schemas.AD_SPEND)
+    return rounded(
+        upload.groupBy("date", "channel", "currency").agg(
+            F.count(F.lit(1)).alias("rows"), F.sum("impressions").alias("impressions"), F.sum("cost").alias("cost")
+        )
+    )
+
+
+@query
+def uploads_csv(i):
+    return _uploaded(i, "csv")
+
+
+@query
+def uploads_parquet(i):
+    return _uploaded(i, "parquet")
+
+
+@query
+def raw_ad_spend_landed(i):
+    """Landed spend through its reader: one drop has its dates as numbers and its figures as text."""
+    return spend.raw_spend(readers.ad_spend(i.spark, given.spend_drops(i.spark, i.folder, work_path(i.spark, "spend-drops"))))
+
+
+@query
+def google_ads_landed(i):
+    """Campaign statistics landed by day, read from a day on."""
+    path = work_path(i.spark, "google")
+    stats = given.google_ads_stats(i.spark, i.folder).withColumn("clicks", F.col("clicks").cast("int"))
+    stats.repartition("data_date").write.partitionBy("data_date").parquet(path)
+    return spend.fact_ad_spend_google(readers.google_ads_stats(i.spark, path, since=date(2024, 1, 11)))
+
+
+@query
+def meta_insights_landed(i):
+    """Insights of two drops, one with all figures as text, some of them unreadable."""
+    return spend.fact_ad_spend_meta(readers.meta_insights(i.spark, given.insight_drops(i.spark, i.folder, work_path(i.spark, "meta-drops"))))
+
+
+@query
+def lost_values(i):
+    """How many values of each field of the landed insights do not fit."""
+    return readers.lost_values(i.spark, given.insight_drops(i.spark, i.folder, work_path(i.spark, "meta-drops")), schemas.META_INSIGHTS)
+
+
 @query
 def manual_ad_spend(i):
     """Manual spend files; missing local amounts are filled from USD."""
@@ -837,12 +914,88 @@ def refresh_incremental(i):
     early = readers.between_days(raw, None, date(2024, 1, 26))
     for events, as_of, full in ((early, date(2024, 1, 27), True), (raw, AS_OF, False)):
         refresh(i.spark, events, warehouse, as_of, full, site=given.SITE, test_users=("u1",))
-    return i.spark.read.parquet(marts_path(warehouse, "fact_conversions"))
+    return read_mart(i.spark, warehouse, "fact_conversions")
 
 
 @query
 def refreshed_funnel_summary(i):
-    return i.spark.read.parquet(marts_path(_refreshed(i)[0], "funnel_summary"))
+    return read_mart(i.spark, _refreshed(i)[0], "funnel_summary")
+
+
+@query
+def table_versions(i):
+    """Sessions per day as a reader sees them while a new version is written, after it is published, and by its number."""
+    path, raw = work_path(i.spark, "versions"), given.raw_events(i.spark, i.folder)
+    versions.replace(facts.fact_sessions(staging.stg_events(raw, given.SITE, until=date(2024, 1, 26))), path, "date", facts.CLUSTER)
+    since = date(2024, 1, 23)
+    draft = versions.write(facts.fact_sessions(staging.stg_events(raw, given.SITE, since=since)), path, "date", facts.CLUSTER, since)
+    seen = {"while written": versions.read(i.spark, path)}
+    versions.publish(i.spark, draft)
+    seen |= {"published": versions.read(i.spark, path), "the first": versions.read(i.spark, path, 1)}
+    days = [f.groupBy("date").agg(F.sum("sessions").alias("sessions")).select(F.lit(name).alias("reader"), "*") for name, f in seen.items()]
+    return reduce(DataFrame.unionByName, days)
+
+
+def _after_bad_spend(i):
+    """A full refresh, then one whose Google costs are negative."""
+    warehouse, raw = work_path(i.spark, "warehouse"), given.raw_events(i.spark, i.folder)
+    google, meta = given.google_ads_stats(i.spark, i.folder), given.meta_insights(i.spark, i.folder)
+    bad = google.withColumn("cost_micros", -F.col("cost_micros") - 1)
+    for stats in (google, bad):
+        outcome = refresh(i.spark, raw, warehouse, AS_OF, google_stats=stats, meta_insights=meta, site=given.SITE, test_users=("u1",))
+    return warehouse, outcome
+
+
+@query
+def refresh_published(i):
+    """Which marts a refresh has published, and why not."""
+    return _after_bad_spend(i)[1].published
+
+
+@query
+def refresh_keeps_bad_spend(i):
+    """The spend fact after a refresh whose spend failed its check: the rows of before."""
+    spent = read_mart(i.spark, _after_bad_spend(i)[0], "fact_ad_spend")
+    return rounded(spent.groupBy("date", "channel_group").agg(F.sum("spend_usd").alias("spend_usd"), F.count(F.lit(1)).alias("rows")))
+
+
+@query
+def refresh_relation_rows(i):
+    """The checks of a refresh that compare tables and days."""
+    return rounded(_refreshed(i)[1].relations)
+
+
+@query
+def scanned_inputs(i):
+    """Files that a scan of landed events reads from a day on, one a day, and whether its bytes fall when the day moves."""
+    path = work_path(i.spark, "landed-events")
+    given.raw_events(i.spark, i.folder).repartition("event_date").write.partitionBy("event_date").parquet(path)
+    starts = (date(2024, 1, 1), date(2024, 1, 10), date(2024, 1, 24))
+    figures = [scan_figures(readers.events(i.spark, path, since), f"since {since}") for since in starts]
+    rows = reduce(DataFrame.unionByName, figures)
+    return rows.select("input", "files", (F.col("bytes") < F.lag("bytes", 1, 1 << 60).over(Window.orderBy("input"))).alias("fewer_bytes"))
+
+
+@query
+def views_report(i):
+    """A star join in SQL over the views of a refreshed warehouse."""
+    register_views(i.spark, _refreshed(i)[0])
+    return i.spark.sql(
+        "SELECT channel_type, is_paid, date, sum(sessions) AS sessions FROM fact_sessions JOIN dim_channel USING (source_clean, channel_group) "
+        "GROUP BY channel_type, is_paid, date"
+    )
+
+
+@query
+def empty_spend_table(i):
+    """A table created empty, then again, then filled with landed spend, then created once more."""
+    path = work_path(i.spark, "spend")
+    for rows in (None, spend.raw_spend(given.landed_spend(i.spark, i.folder)), None):
+        create_if_absent(i.spark, path, schemas.FACT_AD_SPEND)
+        if rows is not None:
+            rows.write.mode("append").parquet(path)
+    stored = i.spark.read.schema(schemas.FACT_AD_SPEND).parquet(path)
+    return rounded(stored.groupBy("date", "channel_group").agg(F.sum("spend_usd").alias("spend_usd"), F.count(F.lit(1)).alias("rows")))
 
 
 def _stored_events(i) -> str:
@@ -851,22 +1004,43 @@ def _stored_events(i) -> str:
     return path
 
 
+def _open_windows(i, build) -> str:
+    store = work_path(i.spark, "windows")
+    staged = jobs.staged_stream(jobs.event_stream(i.spark, _stored_events(i)), given.SITE)
+    windows.write_open(build(staged), store, work_path(i.spark, "checkpoint")).awaitTermination()
+    return store
+
+
 @query
 def stream_daily_counts(i):
-    """Daily counts of a stream over the stored events: the days the watermark has made final."""
-    out = work_path(i.spark, "daily")
-    staged = jobs.staged_stream(jobs.event_stream(i.spark, _stored_events(i)), given.SITE)
-    jobs.write_final(jobs.daily_counts(staged), out, work_path(i.spark, "checkpoint")).awaitTermination()
-    return i.spark.read.parquet(out).drop("approx_users")
+    """Daily counts of a stream over the stored events, of all days: those the watermark has closed and open ones."""
+    return windows.daily_counts(i.spark, _open_windows(i, windows.daily_windows)).drop("users_sketch")
+
+
+@query
+def stream_users_by_sketch(i):
+    """Users of each channel over all days, exact, and whether the merged sketches of days and channels come within 3 %."""
+    daily = windows.daily_counts(i.spark, _open_windows(i, windows.daily_windows))
+    exact = i.staged().groupBy("channel_group").agg(F.count_distinct("user_pseudo_id").alias("users"))
+    near = F.abs(F.col("approx_users") - F.col("users")) <= 0.03 * F.col("users") + 1
+    return exact.join(windows.users_of(daily, ("channel_group",)), "channel_group").select("channel_group", "users", near.alias("near"))
 
 
 @query
 def stream_sessions(i):
-    """Inactivity sessions of a stream over the stored events: those the watermark has made final."""
-    out = work_path(i.spark, "sessions")
-    staged = jobs.staged_stream(jobs.event_stream(i.spark, _stored_events(i)), given.SITE)
-    jobs.write_final(jobs.sessions(staged), out, work_path(i.spark, "checkpoint")).awaitTermination()
-    return i.spark.read.parquet(out)
+    """Inactivity sessions of a stream over the stored events, final and open ones."""
+    return windows.sessions(i.spark, _open_windows(i, windows.session_chunks))
+
+
+@query
+def stream_compacted_store(i):
+    """The session fact rebuilt from the store of a stream after two compactions, which remove the folders of batches."""
+    store = work_path(i.spark, "store")
+    raw = jobs.event_stream(i.spark, _stored_events(i))
+    jobs.refresh_session_fact(raw, store, work_path(i.spark, "stream-fact"), work_path(i.spark, "checkpoint"), given.SITE).awaitTermination()
+    for _ in range(2):
+        jobs.compact_events(i.spark, store, "99999999", running=False)
+    return facts.fact_sessions(staging.stg_events(jobs.stored_events(i.spark, store), given.SITE))
 
 
 @query
