@@ -36,6 +36,14 @@ def small_batches(spark: SparkSession, rows: int = 256) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name like ``name`` that the frame doesn't have, in any case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_of(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
@@ -45,44 +53,29 @@ def ascii_lower(column: Column) -> Column:
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def group_ranks(df: DataFrame, group: list[str], order: list[Column], out: str, rows: int, per_bucket: int = 2048) -> DataFrame:
-    """Adds ``out``: the gapless rank from 0 of each row in its group, however large the group is.
+def buckets_for(rows: int, per_bucket: int = 2048) -> int:
+    return max(1, -(-rows // per_bucket))
+
 
-    A group is cut into hash buckets of about ``per_bucket`` rows; a window ranks the rows of a bucket, and a
-    running sum over the bucket counts gives each bucket its start. ``rows`` is the number of rows of ``df``; it
-    sets the number of buckets. ``order`` must start with a column the bucket is derived from: rows are ordered by
-    its hash, and ties by the further columns. Rows that agree in all of them are interchangeable.
+def bucket_starts(keyed: DataFrame, group: list[str], bucket: str, buckets: int) -> DataFrame:
+    """(group, bucket, _n, _start) of each bucket of rows: its rows, and those of the group's buckets before it.
+
+    The counts are summed in two levels, so that no task holds all of them.
     """
-    buckets = max(1, -(-rows // per_bucket))
     upper = max(1, int(buckets**0.5))
-    hashed = F.xxhash64(*order) if len(order) > 1 else F.xxhash64(order[0])
-    keyed = df.withColumn("_bucket", F.pmod(hashed, F.lit(buckets)))
-    # Counts of buckets are summed in two levels, so that no task holds all of them.
-    counts = keyed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn(TOP, F.col("_bucket").cast("long") % upper)
+    counts = keyed.groupBy(*group, bucket).agg(F.count(F.lit(1)).alias("_n")).withColumn(TOP, F.col(bucket).cast("long") % upper)
     tops = counts.groupBy(*group, TOP).agg(F.sum("_n").alias("_m"))
-    same = [F.col(f"_t.{g}").eqNullSafe(F.col(f"_c.{g}")) for g in group]
     over = Window.partitionBy(*group).orderBy(TOP).rowsBetween(Window.unboundedPreceding, -1)
     tops = tops.withColumn("_before", F.coalesce(F.sum("_m").over(over), F.lit(0)))
-    within = Window.partitionBy(*group, TOP).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*group, TOP).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.withColumn("_start", F.coalesce(F.sum("_n").over(within), F.lit(0)))
     match = F.col(f"_t.{TOP}") == F.col(f"_c.{TOP}")
-    for c in same:
-        match = match & c
-    starts = counts.alias("_c").join(tops.alias("_t"), match).select(
-        *[F.col(f"_c.{g}").alias(f"_g{n}") for n, g in enumerate(group)],
-        F.col("_c._bucket").alias("_b"),
-        (F.col("_start") + F.col("_before")).alias("_offset"),
+    for g in group:
+        match = match & F.col(f"_t.{g}").eqNullSafe(F.col(f"_c.{g}"))
+    return counts.alias("_c").join(tops.alias("_t"), match).select(
+        *[F.col(f"_c.{g}").alias(g) for g in group], F.col(f"_c.{bucket}").alias(bucket), "_n",
+        (F.col("_start") + F.col("_before")).alias("_start"),
     )
-    rank = F.row_number().over(Window.partitionBy(*group, "_bucket").orderBy(*order)) - 1
-    ranked = keyed.withColumn("_rank", rank.cast("long"))
-    match = F.col("_bucket") == F.col("_b")
-    for n, g in enumerate(group):
-        match = match & F.col(g).eqNullSafe(F.col(f"_g{n}"))
-    return (
-        ranked.join(starts, match)
-        .withColumn(out, F.col("_rank") + F.col("_offset"))
-        .drop("_bucket", "_rank", "_b", "_offset", *[f"_g{n}" for n in range(len(group))])
-    )
 
 
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
