@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlight.llm.common import small_batches, text_of
+from martlight.llm.common import free_name, small_batches, text_of
 
 #: Hashed byte trigrams, and pseudo terms for how much of a text repeats the word before.
 TRIGRAMS, REPEATS = 4096, 8
@@ -127,16 +127,17 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.drop("score").withColumn("_body", F.encode(text_of(), "UTF-8"))
+    name = free_name(docs, "body")
+    rows = docs.drop("score").withColumn(name, F.encode(text_of(), "UTF-8"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
-            body = batch.column(names.index("_body"))
+            body = batch.column(names.index(name))
             counts = np.empty((batch.num_rows, TERMS), dtype=np.float32)
             for n in range(batch.num_rows):
                 counts[n] = term_counts(body[n].as_py())
-            kept = [n for n, name in enumerate(names) if name != "_body"]
+            kept = [n for n, other in enumerate(names) if other != name]
             scores = pa.array(shared.value.scores(counts), pa.float64())
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in kept], scores], [*[names[n] for n in kept], "score"])
 

@@ -8,6 +8,7 @@ level, so any id is read by a few array accesses, without decoding a block.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
 
@@ -16,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from martlight.llm.common import small_batches, text_of
+from martlight.llm.common import free_name, small_batches, text_of
 
 MAGIC = 0x31434144
 RANK_BITS = 512
@@ -106,10 +107,16 @@ class Encoder:
     """Encodes texts by the pieces between ASCII white space.
 
     The tokenizer splits at white space and drops it, so the ids of a text are those of its pieces, joined; ASCII
-    letters are lower-cased, which it does too. It also splits where an ASCII letter is followed by other ASCII signs
-    than an apostrophe, so such an ending is encoded apart. Pieces recur; each worker keeps a bounded memo of them.
+    letters are lower-cased, which it does too, but for pieces that hold the name of a special token in any spelling.
+    It also splits where an ASCII letter is followed by other ASCII signs than an apostrophe, so such an ending is
+    encoded apart. Pieces recur; each worker keeps a bounded memo of them. Tokenizers of which these rules are not
+    known to hold, by their normalizer and splitter, encode whole texts.
     """
 
+    # The normalizer and the splitting pattern that the rules are for.
+    NORMALIZER = ("NFC", "Replace", "Lowercase")
+    PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
     ENDINGS = b".,!?;:*|$%&#()[]-"
     LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
@@ -118,9 +125,30 @@ class Encoder:
 
         self.tokenizer, self.memo = Tokenizer.from_file(path), {}
         vocabulary = self.tokenizer.get_vocab()
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.specials = [t.content.lower().encode() for t in added]
+        self.by_piece = self._splits(json.loads(self.tokenizer.to_str())) and not any(t.normalized or t.single_word for t in added)
         self.last = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.last[[n for word, n in vocabulary.items() if word.endswith("</w>")]] = True
 
+    def _splits(self, settings: dict) -> bool:
+        """Whether the tokenizer's settings are those the pieces are for."""
+        normalizer = (settings["normalizer"] or {}).get("normalizers") or [{}]
+        splitter = ((settings["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0]
+        return (
+            tuple(n.get("type") for n in normalizer) == self.NORMALIZER
+            and (normalizer[1].get("pattern"), normalizer[1].get("content")) == ({"Regex": r"\s+"}, " ")
+            and (splitter.get("type"), splitter.get("pattern"), splitter.get("invert")) == ("Split", {"Regex": self.PATTERN}, True)
+            and settings["model"].get("end_of_word_suffix") == "</w>"
+        )
+
+    def _pieces(self, text: bytes) -> list[bytes]:
+        lowered = text.lower()
+        if not any(s in lowered for s in self.specials):
+            return lowered.split()
+        # Only one spelling is the special token, so these pieces keep theirs.
+        return [p if any(s in p.lower() for s in self.specials) else p.lower() for p in text.split()]
+
     def _plain(self, pieces: list[bytes]) -> None:
         for at in range(0, len(pieces), 8192):
             some = pieces[at : at + 8192]
@@ -157,7 +185,10 @@ class Encoder:
                 self.memo[p] = self.memo[core] + self.memo[p[len(core) :]]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        pieces = [text.lower().split() for text in texts]
+        if not self.by_piece:
+            found = self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)
+            return [np.array(e.ids, dtype="<u4") for e in found]
+        pieces = [self._pieces(text) for text in texts]
         if len(self.memo) > MEMO:
             self.memo.clear()
         memo = self.memo
@@ -169,15 +200,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, order:
     """Encodes every text of ``docs`` and writes the ids, in the given order, to a folder of shards at ``path``.
 
     Null texts count as empty and give the end id alone. Repeated rows are written again; null ids come first. Ties
-    of ``order`` are broken by doc_id and text. The rows are range-partitioned before they are encoded, one shard for
+    of ``order`` are broken by doc_id and a hash of the text. The rows are range-partitioned before they are encoded, one shard for
     each partition; a shard is written a segment at a time. An empty table writes an empty folder.
     """
     spark = docs.sparkSession
     small_batches(spark)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [*order, F.col("doc_id").asc_nulls_first()]
-    rows = docs.select("*", F.encode(text_of(), "UTF-8").alias("_body")).repartitionByRange(n, *keys)
-    rows = rows.sortWithinPartitions(*keys, "_body").select(F.col("doc_id").cast("long"), "_body")
+    body = free_name(docs, "body")
+    rows = docs.select("*", F.encode(text_of(), "UTF-8").alias(body))
+    # Rows that share an id are dealt by their texts too.
+    rows = rows.repartitionByRange(n, *keys, F.xxhash64(body)).sortWithinPartitions(*keys, F.xxhash64(body), body)
+    rows = rows.select(F.col("doc_id").cast("long"), body)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os

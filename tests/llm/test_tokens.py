@@ -25,6 +25,29 @@ def test_pieces_give_the_ids_of_the_text():
     assert [[*x.tolist(), 1] for x in encoder.encode([t.encode() for t in ODD])] == plain(ODD)
 
 
+def test_special_tokens_in_any_spelling():
+    texts = ["<|ENDOFTEXT|> a", "<|endoftext|>a", "foo<|endoftext|>bar Z", "a <|EndOfText|>b", "x!<|startoftext|>. <|STARTOFTEXT|>, THE end", "<|endoftext|", "İ<|endoftext|> A."]
+    encoder = tokens.Encoder(registry.tokenizer_path())
+    assert encoder.by_piece and [[*x.tolist(), 1] for x in encoder.encode([t.encode() for t in texts])] == plain(texts)
+
+
+def test_other_tokenizers_encode_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = tokens.Encoder(path), Tokenizer.from_file(path)
+    assert not encoder.by_piece
+    assert [x.tolist() for x in encoder.encode([t.encode() for t in ODD])] == [tokenizer.encode(t, add_special_tokens=False).ids for t in ODD]
+
+
+def test_names_of_the_caller(spark):
+    docs = spark.createDataFrame([(1, "a b", "x", "y", "z"), (1, "c", "x", "y", "z")], "doc_id long, text string, _body string, body string, Body_ string")
+    path = work_path(spark, "tokens")
+    tokens.write_tokens(docs, path, registry.tokenizer_path(), 1, [F.col("doc_id")])
+    assert sorted(r.n_tokens for r in tokens.read_tokens(spark, path).collect()) == [2, 3]
+
+
 def test_segment_round_trip_and_access():
     rand = np.random.default_rng(3)
     ids = np.concatenate([rand.integers(0, 300, 900), rand.integers(0, 2**32, 400), rand.integers(0, 70_000, 700), [0, 2**32 - 1]]).astype(np.uint32)
@@ -50,7 +73,8 @@ def test_odd_rows(spark):
         path = work_path(spark, "tokens")
         tokens.write_tokens(docs, path, registry.tokenizer_path(), 1, [F.col("doc_id").asc_nulls_first()], segment)
         got = sorted(tokens.read_tokens(spark, path).collect(), key=lambda r: r.start)
-        want = plain([t or "" for _, t, _ in sorted(rows, key=lambda r: (r[0] or 0, r[1] or ""))])
+        hashes = {r.t: r.h for r in docs.select(F.coalesce("text", F.lit("")).alias("t"), F.xxhash64(F.encode(F.coalesce("text", F.lit("")), "UTF-8")).alias("h")).collect()}
+        want = plain([t or "" for _, t, _ in sorted(rows, key=lambda r: (r[0] or 0, hashes[r[1] or ""]))])
         assert [(r.n_tokens, r.ids_crc32) for r in got] == [(len(x), crc(x)) for x in want]
         assert [r.start for r in got] == [sum(map(len, want[:n])) for n in range(len(want))]
     path = work_path(spark, "tokens")
