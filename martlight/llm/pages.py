@@ -21,7 +21,12 @@ BLOCKS = frozenset(
 )
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements whose content is never shown as text.
-UNSEEN = frozenset("script style title textarea iframe noscript noembed noframes template svg math object".split())
+UNSEEN = frozenset("script style title textarea iframe noscript noembed noframes template svg".split())
+#: Elements that may be in a head; any other, or a text, ends it, whether or not it is closed.
+IN_HEAD = frozenset("head title base basefont bgsound link meta noframes noscript script style template html".split())
+#: Elements that set parts of a page apart, and those of them that could hold an article.
+PARTS = frozenset("article aside div footer form header main nav section table".split())
+HOLDERS = frozenset("article div main section table".split())
 #: An element of the left kind ends an open one of the right kinds.
 ENDS = {
     "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "option": ("option",), "tr": ("tr", "td", "th"),
@@ -56,6 +61,21 @@ class Tree:
         self._add("html", "")
         self._parse(page)
         self._flush()
+        if self._plain():
+            self.features[0].append("page:plain")
+
+    def _plain(self) -> bool:
+        """Whether the page has no parts beside each other: at most one element in another that could hold an article."""
+        within = 0
+        for n, tag in enumerate(self._tags):
+            if tag in PARTS:
+                at = n
+                while at > within:
+                    at = self.parent[at]
+                if tag not in HOLDERS or at != within:
+                    return False
+                within = n
+        return True
 
     def _add(self, tag: str, attributes: str) -> None:
         found = {a.lower(): b or c or d for a, b, c, d in ATTRIBUTE.findall(attributes)} if attributes else {}
@@ -108,24 +128,25 @@ class Tree:
         while True:
             m = TAG.search(page, at)
             if not m:
-                if not head:
-                    self._say(CUT.sub("", page[at:]))  # a tag cut off at the end of the page is no text
+                self._say(CUT.sub("", page[at:]))  # a tag cut off at the end of the page is no text
                 return
+            said = page[at : m.start()]
+            head = head and not said.strip()
             if not head:
-                self._say(page[at : m.start()])
+                self._say(said)
             at = m.end()
             end, tag, attributes = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
             if not tag:
                 continue
             tag = tag.lower()
             if tag in UNSEEN and not end:
-                if not attributes.endswith("/") or tag not in ("svg", "math"):
+                if not attributes.endswith("/") or tag != "svg":
                     close = re.compile(rf"</{tag}\s*+>|</{tag}\s", re.I).search(page, at)
                     at = close.end() if close else len(page)
                 continue
             if tag == "head":
                 head = not end
-            elif tag == "body":
+            elif not end and tag not in IN_HEAD:
                 head = False
             if head:
                 continue
@@ -133,6 +154,8 @@ class Tree:
                 self._in_link = not end
             elif tag == "br":
                 self._run.append("\n")
+            if tag == "html" and "k=" in attributes:
+                self.mark[0] = "1"
             if tag not in BLOCKS or tag in ("html", "body"):
                 if tag == "body" and not end and attributes:
                     self._flush()
@@ -178,6 +201,8 @@ def labelled_pages() -> list[str]:
         ("<article k=1>", "</article>"), ("<main k=1><article>", "</article></main>"), ("<main k=1>", "</main>"), ('<main k=1 id="content">', "</main>"),
         ('<div id="main"><div k=1 class="post-content entry">', "</div></div>"), ('<div k=1 class="article-body story">', "</div>"),
         ('<section k=1 class="article text">', "</section>"), ('<div k=1 role="main">', "</div>"), ("<article k=1>", "</article>"),
+        ("<div k=1>", "</div>"), ('<div k=1 class="zq">', "</div>"), ("<div><section k=1>", "</section></div>"), ('<div class="zr"><div k=1 id="zs">', "</div></div>"),
+        ("", ""),
     ]
     before = [
         f"<nav k=0><ul>{links}</ul></nav>", f"<header k=0><h1>{short}</h1><p>{mid}</p></header>", f"<header k=0><div>{short}</div><nav><ul>{links}</ul></nav></header>",
@@ -204,11 +229,13 @@ def labelled_pages() -> list[str]:
     inside = ["", "", "", f'<div k=0 class="ad">{long}</div>', f'<aside k=0 class="related"><p>{mid}</p></aside>', f"<footer k=0><p>{short}</p></footer>",
               f'<section k=0 class="comments"><p>{long}</p></section>', f"<form k=0><p>{mid}</p></form>", f'<nav k=0><ul>{links}</ul></nav>']
     pages = []
-    for n in range(240):
+    for n in range(392):
         opened, closed = holders[n % len(holders)]
         tops = before[n % len(before)] + (before[(n * 7 + 3) % len(before)] if n % 3 else "")
         ends = after[n % len(after)] + (after[(n * 5 + 2) % len(after)] if n % 4 else "")
-        body = f"{opened}{bodies[n // 3 % len(bodies)]}{inside[n // 2 % len(inside)]}{closed}"
+        article = bodies[n // 3 % len(bodies)]
+        # Without a holder the article's blocks are marked one by one.
+        body = f"{opened}{article if opened else re.sub('<([a-z0-9]+)>', r'<\1 k=1>', article)}{inside[n // 2 % len(inside)]}{closed}"
         kind, name = ("div", "section", "div")[n % 3], names[n % len(names)]
         ends += f'<{kind} k=0 class="{name}">{inner[n % len(inner)]}</{kind}>'
         tops += f"<header k=0><h1>{short}</h1></header>" if n % 6 == 0 else ""
@@ -216,7 +243,10 @@ def labelled_pages() -> list[str]:
         if n % 5 == 0:
             page = f'<div class="page wrapper container">{page}</div>'
         pages.append(f"<html><body k=0>{page}</body></html>")
-    return pages
+    # Pages that are an article and nothing else.
+    bare = [*bodies, f"<p>{long}<p>{long}", f"<p>{long}", f"<p>{mid}</p><p>{long}"]
+    held = [*bare, *[f"<div class=zq>{b}</div>" for b in bare[-3:]], *[f"<div><section>{b}</section></div>" for b in bare[:2]]]
+    return pages + [f"<html k=1>{b}</html>" for b in held if "<header>" not in b] * 3
 
 
 class Model:

@@ -59,6 +59,37 @@ def test_other_pages(holder):
         assert pages.model().extract(page) == want, chosen
 
 
+HELD_OUT = (
+    "<div class='postbody'>{}</div>", "<div>{}</div>", "<section class='lede x12'>{}</section>", "<div id='p4711'><div class='rte'>{}</div></div>",
+    "<main><div class='col-8'>{}</div></main>", "<div class='entry-text'>{}</div>", "<table><tr><td class='zz'>{}</td></tr></table>",
+)
+
+
+def test_layouts_that_were_not_labelled():
+    """Blocks of articles in holders of unknown names: precision and recall over all of them."""
+    rand, hits, wrong, missed = random.Random(5), 0, 0, 0
+    blocks = [f"{TEXT} Number {n}." for n in range(4)]
+    for holder in HELD_OUT:
+        for _ in range(20):
+            chosen = rand.sample(PARTS, 4)
+            body = f"<h1>{blocks[0]}</h1>" + "".join(f"<p>{b}</p>" for b in blocks[1:])
+            found = pages.model().extract(f"<html><body>{''.join(chosen[:2])}{holder.format(body)}{''.join(chosen[2:])}</body></html>").split("\n")
+            hits += sum(b in found for b in blocks)
+            missed += sum(b not in found for b in blocks)
+            wrong += sum(bool(f) and f not in blocks for f in found)
+    assert hits / (hits + missed) >= 0.95 and hits / (hits + wrong) >= 0.95, (hits, missed, wrong)
+
+
+def test_heads_without_an_end_and_other_markup():
+    extract = pages.model().extract
+    long = f"{TEXT} {TEXT}"
+    assert extract(f"<html><head><title>t</title><meta charset=utf-8><p>{long}<p>{long}") == f"{long}\n{long}"
+    assert extract(f"<html><body><div class='postbody'><p>{long}</p></div></body></html>") == extract(f"<div>{long}") == long
+    assert extract(f"<head><title>t</title><article><p>{long}</p></article>") == long
+    assert extract(f"<html><head>\n<link rel=x><script>a</script></head><body><article><p>{long}</p></article></body>") == long
+    assert extract(f"<article><p>Let <math><mi>x</mi></math> be. <object data=a>{TEXT}</object></p></article>") == f"Let x be. {TEXT}"
+
+
 def test_odd_rows(spark):
     rows = [
         (None, None, None, "x", "y"), (1, "u", "", "x", "y"), (2, "u", "<article><p>a&nbsp;&lt;b&#33;\n\t c<br>d<p cla", None, None), (2, "u", "just words", "", ""),
