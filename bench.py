@@ -67,11 +67,12 @@ def main() -> None:
             "channel_performance", {charts.CONVERSIONS: facts.fact_conversions(staged())}, given.AS_OF
         ),
         "channel_scorecard": lambda: analytics.channel_scorecard(inputs.bank(), inputs.spend(), 400.0),
-        "website_and_bank": lambda: analytics.website_and_bank(
-            facts.fact_sessions(staged()), facts.fact_conversions(staged()), inputs.bank()
-        ),
+        "website_and_bank": lambda: analytics.website_and_bank(*facts.both_facts(staged()), inputs.bank()),
+    }
+    yardsticks = {
+        "fact_conversions_plain": lambda: facts.fact_conversions_plain(staged()),
+        "website_and_bank_apart": lambda: analytics.website_and_bank(facts.fact_sessions(staged()), facts.fact_conversions(staged()), inputs.bank()),
     }
-    yardsticks = {"fact_conversions_plain": lambda: facts.fact_conversions_plain(staged())}
 
     def measure(build) -> float:
         start = time.perf_counter()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from martlight.operators.sinks import path_exists
@@ -107,6 +107,53 @@ def merge_into(spark: SparkSession, path: str, source: DataFrame, schema: str) -
     return dict(seen.get)
 
 
+def key_bucket(keys: tuple[str, ...], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+
+
+def merge_into_buckets(
+    spark: SparkSession, path: str, source: DataFrame, schema: str, buckets: int, keys: tuple[str, ...] = KEYS, day: str = "event_date"
+) -> dict[str, int]:
+    """Merge ``source`` into a table whose days are cut into ``buckets`` by a hash of the key.
+
+    A source row can only match in its own day and bucket, so only these folders are read and replaced, not whole days:
+    the number of buckets, fixed for a table, decides how little of a day a few late rows rewrite. Returns added and
+    updated rows, the bytes read and replaced, and the bytes of the touched days, which a merge by days replaces.
+    """
+    source = materialize(latest_per_key(source, keys).withColumn("key_bucket", key_bucket(keys, buckets)), "merge-source")
+    layout = f"{schema}, key_bucket int"
+    figures = {"bytes": 0, "day_bytes": 0}
+    if path_exists(spark, path):
+        # At most the days of the source times the buckets.
+        pairs = source.select(F.col(day).alias("_day"), F.col("key_bucket").alias("_bucket")).distinct()
+        stored = spark.read.schema(layout).parquet(path)
+        same_day = F.col(day).eqNullSafe(F.col("_day"))
+        size = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_size").alias("size"), F.col(day), F.col("key_bucket")]
+        files = stored.select(*size).distinct()
+        marked = files.join(F.broadcast(pairs.groupBy("_day").agg(F.collect_set("_bucket").alias("_hit"))), same_day)
+        figures = marked.agg(
+            F.coalesce(F.sum(F.when(F.array_contains("_hit", F.col("key_bucket")), F.col("size"))), F.lit(0)).alias("bytes"),
+            F.coalesce(F.sum("size"), F.lit(0)).alias("day_bytes"),
+        ).first().asDict()
+        touched = stored.join(F.broadcast(pairs), same_day & (F.col("key_bucket") == F.col("_bucket")), "left_semi")
+        merged = upsert(touched, source, (*keys, "key_bucket") if "key_bucket" not in keys else keys, unique=True)
+    else:
+        merged = source.withColumn("_action", F.lit("insert"))
+    seen = Observation()
+    tagged = merged.observe(
+        seen, F.count_if(F.col("_action") == "insert").alias("added"), F.count_if(F.col("_action") == "update").alias("updated")
+    )
+    (
+        tagged.drop("_action")
+        .hint("rebalance", day, "key_bucket")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(day, "key_bucket")
+        .parquet(path)
+    )
+    return {**dict(seen.get), **figures}
+
+
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """The source rows whose key the target does not have yet."""
     return source.join(target.select(*keys).distinct(), list(keys), "left_anti")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from martlight.functions.columns import one_of
 from martlight.operators.distinct import Distinct, distinct_counts
 from martlight.operators.funnels import key_column
+from martlight.session import materialize
 
 CONVERSION_KEYS = (
     "date", "source_clean", "channel_group", "campaign", "device_category", "product_category", "country", "city",
@@ -41,7 +42,11 @@ def fact_sessions(staged: DataFrame) -> DataFrame:
     distinct count is enough and Spark needs no row copies. Averages are ratios of exact integer sums,
     so they do not depend on the order of the rows.
     """
-    sessions = session_rollup(staged)
+    return sessions_of(session_rollup(staged))
+
+
+def sessions_of(sessions: DataFrame) -> DataFrame:
+    """The session fact from the rows of a roll-up."""
     rows = sessions.groupBy(*CONVERSION_KEYS, "user_type").agg(
         F.count_distinct("user_pseudo_id").alias("users"),
         F.expr("count(1) AS sessions"),
@@ -121,6 +126,41 @@ def fact_conversions(staged: DataFrame, variant: str = "raw") -> DataFrame:
     return counts.select(*CONVERSION_KEYS, "total_users", "total_sessions", *steps)
 
 
+def user_sessions(staged: DataFrame, variant: str = "raw") -> DataFrame:
+    """The session roll-up with the conversion steps of each session as bits: all that both facts need, of one pass."""
+    steps = {"raw": raw_conversions, "clean": clean_conversions}[variant]()
+    keys = {name: key_column(name) for name in CONVERSION_KEYS}
+    keys |= {"user_pseudo_id": "user_pseudo_id", "session_id": "session_id"}
+    keys["user_type"] = "IF(session_number = 1, 'New', 'Returning')"
+    bits = Distinct("user_pseudo_id", dict(steps)).bits()
+    rows = staged.selectExpr(*[f"{expression} AS {name}" for name, expression in keys.items()], "event_name", "engagement_time_msec", f"{bits} AS _bits")
+    return rows.groupBy(*keys).agg(
+        F.expr("count_if(event_name = 'page_view') AS pageviews"),
+        F.expr("sum(coalesce(engagement_time_msec, 0L)) AS engagement_msec"),
+        F.expr("bit_or(_bits) AS _bits"),
+    )
+
+
+def conversions_of(sessions: DataFrame, variant: str = "raw") -> DataFrame:
+    """The conversion fact from the rows of ``user_sessions``."""
+    steps = {"raw": raw_conversions, "clean": clean_conversions}[variant]()
+    marks = {name: f"(_bits & {1 << n}L) <> 0" for n, name in enumerate(steps)}
+    counts = distinct_counts(
+        sessions, {name: name for name in CONVERSION_KEYS},
+        [Distinct("user_pseudo_id", {"total_users": None, **marks}), Distinct(USER_SESSION, {"total_sessions": None})],
+    )
+    return counts.select(*CONVERSION_KEYS, "total_users", "total_sessions", *steps)
+
+
+def both_facts(staged: DataFrame, variant: str = "raw") -> tuple[DataFrame, DataFrame]:
+    """The session fact and the conversion fact from one pass over the events.
+
+    The roll-up, one row for each user, session and keys, is stored once and read by both.
+    """
+    sessions = materialize(user_sessions(staged, variant), "user-sessions")
+    return sessions_of(sessions), conversions_of(sessions, variant)
+
+
 def fact_conversions_plain(staged: DataFrame, variant: str = "raw") -> DataFrame:
     """The same fact as one aggregation of plain distinct counts; kept as the yardstick of the bench and tests."""
     steps = {"raw": raw_conversions, "clean": clean_conversions}[variant]()

@@ -137,3 +137,12 @@ def test_scan_reads_only_needed_fields(spark, small, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in text and ">= 20240124" in text
     read = text[text.rindex("ReadSchema") :]
     assert "int_value" in read and "string_value" not in read and "traffic_source" not in read
+
+
+@pytest.mark.parametrize("variant", ["raw", "clean"])
+def test_both_facts_of_one_pass(spark, small, variant):
+    staged = staging.stg_events_clean(staging.stg_events(given.raw_events(spark, small), given.SITE), test_users=("u1",), site=given.SITE)
+    sessions, conversions = facts.both_facts(staged, variant)
+    for got, want in ((sessions, facts.fact_sessions(staged)), (conversions, facts.fact_conversions(staged, variant))):
+        assert got.columns == want.columns and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert "events.parquet" not in sessions._jdf.queryExecution().toString() + conversions._jdf.queryExecution().toString()

@@ -1386,5 +1386,21 @@ CTES["accepted_fact"] = CTES["bank"].replace("FROM bank_raw b", "FROM accepted_r
 add("bank_load_accepted", "SELECT * FROM accepted_fact", f"{BANK_DOUBLES} total_revenue_amd")
 
 
+CTES["late_merged"] = """SELECT * REPLACE (
+  CASE WHEN token_id LIKE '%55' THEN loan_amount + 1 ELSE loan_amount END AS loan_amount,
+  CASE WHEN token_id LIKE '%55' THEN deposit_amount + 1 ELSE deposit_amount END AS deposit_amount,
+  CASE WHEN token_id LIKE '%55' THEN card_count + 10 ELSE card_count END AS card_count,
+  CASE WHEN token_id LIKE '%55' THEN TIMESTAMP '2024-01-31 07:00:00' ELSE uploaded_at END AS uploaded_at) FROM merge_old"""
+add(
+    "bank_merge_pruned",
+    "SELECT token_id, client_code, event_date, loan_count, loan_amount, deposit_count, deposit_amount, card_count, uploaded_at FROM late_merged",
+    "loan_amount deposit_amount",
+)
+add(
+    "bank_merge_pruned_bytes",
+    "SELECT count(*) AS source_keys, count(*) AS updated, CAST(0 AS BIGINT) AS added, TRUE AS fewer_bytes FROM merge_old WHERE token_id LIKE '%55'",
+)
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(ORACLE)

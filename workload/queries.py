@@ -57,6 +57,9 @@ class Inputs:
     def conversions(self) -> DataFrame:
         return facts.fact_conversions(self.staged())
 
+    def both(self) -> tuple[DataFrame, DataFrame]:
+        return facts.both_facts(self.staged())
+
     def clean_conversions(self) -> DataFrame:
         return facts.fact_conversions(self.clean(), "clean")
 
@@ -510,6 +513,31 @@ def bank_merge_table(i):
     return rounded(stored.select("token_id", "client_code", "event_date", *merge.UPDATED))
 
 
+def _pruned(i):
+    path, rows = work_path(i.spark, "bank-buckets"), i.bank_rows()
+    late = given.merge_source(rows).where(F.col("token_id").endswith("55"))
+    merge.merge_into_buckets(i.spark, path, given.merge_target(rows), schemas.BANK_CONVERSIONS, 8)
+    return path, merge.merge_into_buckets(i.spark, path, late, schemas.BANK_CONVERSIONS, 8)
+
+
+@query
+def bank_merge_pruned(i):
+    """A few late rows merged into a table whose days are cut by key, then the table."""
+    stored = i.spark.read.schema(schemas.BANK_CONVERSIONS).parquet(_pruned(i)[0])
+    return rounded(stored.select("token_id", "client_code", "event_date", *merge.UPDATED))
+
+
+@query
+def bank_merge_pruned_bytes(i):
+    """Rows of the merge, and whether it replaced fewer bytes than the touched days have."""
+    got = _pruned(i)[1]
+    source = given.merge_source(i.bank_rows()).where(F.col("token_id").endswith("55")).select("token_id").distinct()
+    return source.agg(
+        F.count(F.lit(1)).alias("source_keys"), F.lit(got["updated"]).cast("long").alias("updated"), F.lit(got["added"]).cast("long").alias("added"),
+        F.lit(0 < got["bytes"] < got["day_bytes"]).alias("fewer_bytes"),
+    )
+
+
 @query
 def bank_load(i):
     """Two loads of exports into one warehouse, the second overlapping the first; the files differ in encoding and date form."""
@@ -547,12 +575,12 @@ for _name in charts.CHARTS:
 
 @query
 def website_and_bank(i):
-    return rounded(analytics.website_and_bank(i.sessions(), i.conversions(), i.bank()))
+    return rounded(analytics.website_and_bank(*i.both(), i.bank()))
 
 
 @query
 def spend_and_conversions(i):
-    return rounded(analytics.spend_and_conversions(i.spend(), i.sessions(), i.conversions()))
+    return rounded(analytics.spend_and_conversions(i.spend(), *i.both()))
 
 
 @query
@@ -629,7 +657,7 @@ def funnel_heat_table(i):
 
 @query
 def segment_table(i):
-    return rounded(analytics.segment_table(i.sessions(), i.conversions()))
+    return rounded(analytics.segment_table(*i.both()))
 
 
 @query
