@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,19 +30,59 @@ BASE = (
     template("apache-2", "", "apache license version 2", ""),
     template("cc-by-nc", "", "cc by nc", ""),
 )
-#: Sentences that may differ from the template outside of the key phrase.
+#: Sentences and notices that may differ from the template outside of the key phrase. The wording of the
+#: public notices, without signs.
 METHOD = (
     template("gpl", "this work is licensed under the", "gnu general public license", "version 3"),
     template("mit", "", "permission is hereby granted free of charge", "to any person obtaining a copy"),
     template("bsd", "", "redistribution and use in source and binary forms", "with or without modification are permitted"),
     template("cc-by", "licensed under a", "creative commons attribution", "international license"),
     template("mpl-2", "subject to the terms of the", "mozilla public license", "v 2 0"),
-)
+    template(
+        "mit", "", "permission is hereby granted free of charge",
+        "to any person obtaining a copy of this software and associated documentation files the software to deal in the software "
+        "without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or "
+        "sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following "
+        "conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of "
+        "the software",
+    ),
+    template(
+        "bsd", "", "redistribution and use in source and binary forms",
+        "with or without modification are permitted provided that the following conditions are met redistributions of source code "
+        "must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form "
+        "must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or "
+        "other materials provided with the distribution",
+    ),
+    template(
+        "apache-2", "", "licensed under the apache license version 2",
+        "0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at http "
+        "www apache org licenses license 2 0 unless required by applicable law or agreed to in writing software distributed under the "
+        "license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the "
+        "license for the specific language governing permissions and limitations under the license",
+    ),
+    template(
+        "gpl", "this program is free software you can redistribute it and or modify it under the terms of the", "gnu general public license",
+        "as published by the free software foundation either version 3 of the license or at your option any later version this "
+        "program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of "
+        "merchantability or fitness for a particular purpose see the gnu general public license for more details",
+    ),
+    template(
+        "mpl-2", "this source code form is subject to the terms of the", "mozilla public license",
+        "v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    ),
+    template(
+        "isc", "", "permission to use copy modify and or distribute this software",
+        "for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice "
+        "appear in all copies",
+    ),
+)
+#: Words of a template's key phrase whose postings are intersected, at most.
+PROBES = 3
 SHARE = 0.5
 
 
-def rarest(docs: DataFrame, templates: tuple[Template, ...]) -> list[int]:
-    """For each template, the place in it of the key word with the highest IDF over all of ``docs``.
+def rarest(docs: DataFrame, templates: tuple[Template, ...]) -> list[list[int]]:
+    """For each template, the places in it of the key words with the highest IDF over all of ``docs``.
 
     Document counts are taken of licence words only, so the driver gets one row for each of them.
     """
@@ -49,14 +90,19 @@ def rarest(docs: DataFrame, templates: tuple[Template, ...]) -> list[int]:
     present = F.array_distinct(F.filter(words_of(text_of()), lambda w: w.isin(vocabulary)))
     counted = docs.select(F.explode(present).alias("word")).groupBy("word").count().collect()
     seen = {r["word"]: r["count"] for r in counted}
-    return [min(range(t.key[0], sum(t.key)), key=lambda n: (seen.get(t.words[n], 0), n)) for t in templates]  # noqa: B023
+    return [sorted(range(t.key[0], sum(t.key)), key=lambda n: (seen.get(t.words[n], 0), n))[:PROBES] for t in templates]  # noqa: B023
+
 
+def _starts(words: Column, hits: Column, t: Template, rare: list[int]) -> Column:
+    """First places of ``t`` (may be before the text) where its key phrase stands.
 
-def _starts(words: Column, hits: Column, t: Template, rare: int) -> Column:
-    """First places of ``t`` (may be before the text) where its key phrase stands, from the postings of its rarest word."""
+    The postings of its rarest key words, shifted to the template's start, are intersected; the phrase is verified on
+    what is left.
+    """
     first, n = t.key
     phrase = F.array(*[F.lit(w) for w in t.words[first : first + n]])
-    places = F.transform(F.filter(hits, lambda h: h["word"] == t.words[rare]), lambda h: h["place"] - rare)
+    shifted = [F.transform(F.filter(hits, lambda h: h["word"] == t.words[r]), lambda h: h["place"] - r) for r in rare]  # noqa: B023
+    places = reduce(F.array_intersect, shifted)
     return F.filter(places, lambda s: (s + first >= 0) & (F.slice(words, F.greatest(s + first, F.lit(0)) + 1, n) == phrase))
 
 
@@ -64,8 +110,9 @@ def _share(words: Column, t: Template) -> callable:
     """The share of the template's words that stand at their relative places, for a first place."""
 
     def share(s: Column) -> Column:
-        same = [F.when(F.get(words, s + n) == w, 1).otherwise(0) for n, w in enumerate(t.words)]
-        return sum(same[1:], same[0]) / float(len(same))
+        wanted = F.array(*[F.lit(w) for w in t.words])
+        same = F.filter(F.sequence(F.lit(0), F.lit(len(t.words) - 1)), lambda n: F.get(words, s + n) == F.get(wanted, n))
+        return F.size(same) / float(len(t.words))
 
     return share
 
@@ -73,8 +120,8 @@ def _share(words: Column, t: Template) -> callable:
 def scan(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score) of every row of ``docs``.
 
-    Each file's licence words of the highest IDF are looked up in the index, which gives the places where a template
-    could stand; there the key phrase must stand word for word. Base phrases are all key phrase. The other templates
+    Each file's licence words of the highest IDF are looked up in the index; the postings of a template's words are
+    intersected by relative position, and there the key phrase must stand word for word. Base phrases are all key phrase. The other templates
     also need at least half of their words at the relative places. ``score`` is the largest share of a template that
     stands (1 with a base phrase), 0 without any. Null and empty texts have no words and no labels. Repeated rows are
     repeated, an empty table gives no rows, other columns are ignored. All of it are column functions of one row; only
@@ -82,7 +129,7 @@ def scan(docs: DataFrame) -> DataFrame:
     """
     templates = BASE + METHOD
     rare = rarest(docs, templates)
-    wanted = sorted({t.words[n] for t, n in zip(templates, rare, strict=True)})
+    wanted = sorted({t.words[n] for t, places in zip(templates, rare, strict=True) for n in places})
 
     def result(words: Column, hits: Column) -> Column:
         found = [_starts(words, hits, t, n) for t, n in zip(templates, rare, strict=True)]

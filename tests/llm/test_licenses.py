@@ -45,3 +45,18 @@ def test_places_labels_and_scores(spark):
         *[(8, 10, 0, None, None, "", "mit", 10 / 13)] * 2,
     ]
     assert licenses.scan(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_whole_notices_and_scattered_words(spark):
+    notices = [t for t in licenses.METHOD if len(t.words) > 30]
+    assert {t.label for t in notices} == {"mit", "bsd", "apache-2", "gpl", "mpl-2", "isc"}
+    texts = [f"// Copyright someone. {' '.join(t.words).upper()} end" for t in notices]
+    # every third word after the key phrase changed: still over half; the key words scattered: nothing
+    changed = [" ".join("other" if n >= sum(t.key) and n % 3 == 0 else w for n, w in enumerate(t.words)) for t in notices]
+    scattered = [" x ".join(reversed(t.words[t.key[0] : sum(t.key)])) for t in notices]
+    docs = spark.createDataFrame(list(enumerate(texts + changed + scattered)), "doc_id long, text string")
+    got = {r.doc_id: (r.labels.split(","), r.score) for r in licenses.scan(docs).collect()}
+    for n, t in enumerate(notices):
+        assert t.label in got[n][0] and got[n][1] == 1.0
+        assert t.label in got[n + len(notices)][0] and got[n + len(notices)][1] >= licenses.SHARE
+        assert got[n + 2 * len(notices)] == ([""], 0.0)
