@@ -13,7 +13,7 @@ PARAGRAPH = 200
 TABLES, SLOTS, PER_BLOCK = 3, 4, 8
 CELLS = TABLES * SLOTS
 #: How often a sketch is doubled where the digests of a difference can't be recovered.
-RETRIES = 7
+RETRIES = 18
 #: Rows of a bucket of neighbouring ids.
 PER_BUCKET = 1024
 
@@ -133,13 +133,29 @@ def peel(cells: Column) -> Column:
     return F.when(_filled(cells), let(F.aggregate(F.sequence(F.lit(0), F.lit(CELLS)), start, step), done)).otherwise(empty)
 
 
-def recovered(one: Column, other: Column, blocks: Column, retries: int = RETRIES) -> Column:
+def fold(cells: Column, blocks: Column) -> Column:
+    """A sketch of fewer ``blocks``: blocks with the same low bits are added, cell by cell."""
+
+    def add(one: Column, other: Column) -> Column:
+        return F.zip_with(one, other, lambda x, y: F.struct(
+            (x["n"] + y["n"]).alias("n"), x["key"].bitwiseXOR(y["key"]).alias("key"), x["check"].bitwiseXOR(y["check"]).alias("check"),
+        ))
+
+    def folded(b: Column) -> Column:
+        parts = F.filter(cells, lambda _, n: n.bitwiseAND((blocks - 1).cast("int")) == b)
+        return F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), parts[0], add)
+
+    return F.when(F.size(cells) == blocks, cells).otherwise(F.transform(F.sequence(F.lit(0), (blocks - 1).cast("int")), folded))
+
+
+def recovered(one: Column, other: Column, one_cells: Column, other_cells: Column, retries: int = RETRIES) -> Column:
     """(gone, new): the digests that only one side has, recovered by peeling the difference of their sketches.
 
-    A block that can't be taken apart is tried again at twice the size: its keys go to two blocks of the larger
-    sketch. What is left after ``retries`` doublings, where digests would have to share all cells time and again, is
-    compared as sets.
+    The larger sketch is folded to the size of the smaller one, and the two are subtracted block by block. A block that
+    can't be taken apart is sketched again at twice the size: its digests go to two blocks. After ``retries`` doublings
+    digests would have to agree in all their low bits and share all their cells; what is left is compared as sets.
     """
+    blocks = F.least(F.size(one_cells), F.size(other_cells)).cast("long")
 
     def attempt(b: Column, size: Column) -> Column:
         def in_block(keys: Column) -> Column:
@@ -164,13 +180,26 @@ def recovered(one: Column, other: Column, blocks: Column, retries: int = RETRIES
         tries = F.transform(state["pending"], lambda b: attempt(b, state["size"]))
         return F.when(F.size(state["pending"]) > 0, let(tries, next_state)).otherwise(state)
 
-    start = F.struct(
-        F.sequence(F.lit(0), blocks - 1).alias("pending"), blocks.alias("size"), _none().alias("gone"), _none().alias("new")
-    )
+    def first(one_cells: Column, other_cells: Column) -> Column:
+        """The state after the two sketches themselves."""
+
+        def tried(cells: Column, b: Column) -> Column:
+            return let(peel(cells), lambda p: F.struct(b.cast("long").alias("b"), p["ok"].alias("ok"), p["gone"].alias("gone"), p["new"].alias("new")))
+
+        def state(parts: Column) -> Column:
+            good, bad = F.filter(parts, lambda p: p["ok"]), F.filter(parts, lambda p: ~p["ok"])
+            return F.struct(
+                F.flatten(F.transform(bad, lambda p: F.array(p["b"], p["b"] + blocks))).alias("pending"), (blocks * 2).alias("size"),
+                F.flatten(F.transform(good, lambda p: p["gone"])).alias("gone"), F.flatten(F.transform(good, lambda p: p["new"])).alias("new"),
+            )
+
+        return let(F.transform(F.zip_with(one_cells, other_cells, subtract), tried), state)
+
+    start = let(fold(one_cells, blocks), lambda x: let(fold(other_cells, blocks), lambda y: first(x, y)))
 
     def rest(state: Column) -> Column:
         def left(keys: Column) -> Column:
-            return F.filter(keys, lambda k: F.array_contains(state["pending"], _block(k, state["size"]).cast("int")))
+            return F.filter(keys, lambda k: F.array_contains(state["pending"], _block(k, state["size"])))
 
         plain = F.struct(
             F.concat(state["gone"], F.array_except(left(one), left(other))).alias("gone"),
@@ -178,28 +207,29 @@ def recovered(one: Column, other: Column, blocks: Column, retries: int = RETRIES
         )
         return F.when(F.size(state["pending"]) == 0, F.struct(state["gone"].alias("gone"), state["new"].alias("new"))).otherwise(plain)
 
-    return let(F.aggregate(F.sequence(F.lit(0), F.lit(retries)), start, level), rest)
+    return let(F.aggregate(F.slice(F.sequence(F.lit(0), F.lit(retries)), 2, F.lit(retries)), start, level), rest)
 
 
-def likeness(one: Column, other: Column, blocks: Column) -> Column:
-    """The share of common digests in all digests of two texts (1 for two without any)."""
+def likeness(one: Column, other: Column, one_cells: Column, other_cells: Column) -> Column:
+    """The share of common digests in all digests of two texts (1 for two without any), by their sketches."""
 
     def share(d: Column) -> Column:
         common = F.size(one) - F.size(d["gone"])
         whole = F.size(one) + F.size(d["new"])
         return F.when(whole > 0, common.cast("double") / whole).otherwise(F.lit(1.0))
 
-    return let(recovered(one, other, blocks), share)
+    return let(recovered(one, other, one_cells, other_cells), share)
 
 
-def fingerprint(keys: Column) -> Column:
-    """The sketch as text: the number of digests, then count, key and check of each cell in hexadecimal."""
+def own_sketch(keys: Column) -> Column:
+    """The sketch of a text, at the size that the number of its digests gives it."""
+    return let(blocks_for(F.size(keys)), lambda blocks: sketch(keys, blocks))
 
-    def written(blocks: Column) -> Column:
-        cells = F.transform(F.flatten(sketch(keys, blocks)), lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"])))
-        return F.concat_ws(" ", F.size(keys).cast("string"), F.array_join(cells, " "))
 
-    return let(blocks_for(F.size(keys)), written)
+def fingerprint(keys: Column, cells: Column) -> Column:
+    """The sketch as text: the number of digests, then count, key and check of each cell in hexadecimal."""
+    written = F.transform(F.flatten(cells), lambda c: F.concat_ws(".", F.hex(c["n"]), F.hex(c["key"]), F.hex(c["check"])))
+    return F.concat_ws(" ", F.size(keys).cast("string"), F.array_join(written, " "))
 
 
 def with_next(docs: DataFrame, per_bucket: int = PER_BUCKET) -> DataFrame:
@@ -233,7 +263,8 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     """(doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next) of every row.
 
     The edited text has the last quarter of its code points replaced by as many of the next row's first (all, if it
-    has fewer). Likeness is recovered from the sketches alone. Null texts count as empty; an empty text has a sketch
+    has fewer). Likeness is recovered from the sketches that are returned, and
+    where their difference can't be peeled, from larger ones. Null texts count as empty; an empty text has a sketch
     of no digests, alike to another empty one. Rows with equal ids follow by text; a single row is its own next one.
     An empty table gives no rows; other columns are ignored.
     """
@@ -241,14 +272,15 @@ def edited_fingerprints(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.left(F.col("text"), n - F.expr("length(text) div 4")), F.left(F.col("next_text"), F.expr("length(text) div 4")))
     rows = with_next(docs).withColumn("edited", edited)
 
-    def found(own: Column, other: Column, after: Column) -> Column:
-        return F.struct(
-            fingerprint(own).alias("fingerprint"), fingerprint(other).alias("edited_fingerprint"),
-            likeness(own, other, blocks_for(F.greatest(F.size(own), F.size(other)))).alias("near_edited"),
-            likeness(own, after, blocks_for(F.size(own) + F.size(after))).alias("near_next"),
-        )
-
-    whole = let(digests(F.col("edited")), lambda other: found(F.col("keys"), other, F.col("next_keys")))
+    # One projection after another: each is resolved by itself, and a sketch is made once for all that reads it.
+    rows = rows.withColumn("other", digests(F.col("edited")))
+    rows = rows.withColumns({f"{c}_cells": own_sketch(F.col(c)) for c in ("keys", "other", "next_keys")})
+    near = {
+        f"near_{name}": likeness(F.col("keys"), F.col(c), F.col("keys_cells"), F.col(f"{c}_cells")) for name, c in (("edited", "other"), ("next", "next_keys"))
+    }
+    written = {"fingerprint": fingerprint(F.col("keys"), F.col("keys_cells")), "edited_fingerprint": fingerprint(F.col("other"), F.col("other_cells"))}
+    rows = rows.withColumns(near | written)
     return rows.select(
-        "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"), whole.alias("r")
-    ).select("doc_id", "n_chars", "edited_sha256", "r.*")
+        "doc_id", n.cast("long").alias("n_chars"), F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )

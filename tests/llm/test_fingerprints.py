@@ -55,7 +55,7 @@ def test_buckets_do_not_show(spark, monkeypatch):
     assert len(want) == len(rows)
 
 
-@pytest.mark.parametrize("retries", [7, 1, 0])
+@pytest.mark.parametrize("retries", [18, 7, 1, 0])
 def test_differences_are_recovered(spark, retries):
     import random
 
@@ -67,8 +67,10 @@ def test_differences_are_recovered(spark, retries):
             one, other = keys[: n + m // 2], keys[n // 2 :]
             rows.append((one, other, sorted(set(one) - set(other)), sorted(set(other) - set(one))))
     frame = spark.createDataFrame(rows, "one array<long>, other array<long>, gone array<long>, new array<long>")
-    blocks = fingerprints.blocks_for(F.greatest(F.size("one"), F.size("other")))
-    got = frame.select("gone", "new", fingerprints.recovered(F.col("one"), F.col("other"), blocks, retries).alias("d")).collect()
+    cells = [fingerprints.own_sketch(F.col(c)).alias(f"{c}_cells") for c in ("one", "other")]
+    frame = frame.select("*", *cells)
+    found = fingerprints.recovered(*[F.col(c) for c in ("one", "other", "one_cells", "other_cells")], retries)
+    got = frame.select("gone", "new", found.alias("d")).collect()
     assert len(got) == 24 and all(sorted(r.d.gone) == r.gone and sorted(r.d.new) == r.new for r in got)
 
 
@@ -81,3 +83,14 @@ def test_odd_rows(spark):
     one = fingerprints.edited_fingerprints(docs.where("doc_id = 2")).first()
     assert (one.near_next, one.n_chars) == (1.0, 200_000)
     assert fingerprints.edited_fingerprints(docs.limit(0)).count() == 0
+
+
+def test_folded_sketches_are_smaller_sketches(spark):
+    import random
+
+    rand = random.Random(4)
+    frame = spark.createDataFrame([([rand.randrange(-(2**63), 2**63) for _ in range(n)],) for n in (0, 1, 50, 300)], "keys array<long>")
+    for blocks in (1, 4, 32):
+        small = fingerprints.sketch(F.col("keys"), F.lit(blocks))
+        folded = fingerprints.fold(fingerprints.sketch(F.col("keys"), F.lit(32)), F.lit(blocks).cast("long"))
+        assert frame.where(small != folded).count() == 0
