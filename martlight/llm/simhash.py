@@ -13,6 +13,10 @@ from martlight.llm.common import components, small_batches, text_of
 from martlight.session import materialize
 
 
+#: Shingles that are hashed at once.
+PART = 4096
+
+
 def fingerprint_of(text: bytes, shingle: int = 3) -> int:
     """The 64-bit SimHash of a text: A-Z lower-cased, words between ASCII white space, shingles with repeats.
 
@@ -25,16 +29,19 @@ def fingerprint_of(text: bytes, shingle: int = 3) -> int:
     if not words:
         return 0
     joined = b" ".join(words)
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
+    ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     k = min(shingle, len(words))
+    n = len(words) - k + 1
+    del words
+    starts = np.concatenate([[0], ends[:-1] + 1])
     digest = xxhash.xxh64_digest
-    spans = zip(starts[: len(words) - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)
-    hashes = np.frombuffer(b"".join([digest(joined[a:b], 42) for a, b in spans]), dtype=np.uint8).reshape(-1, 8)
     counts = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 4096):
-        counts += np.unpackbits(hashes[at : at + 4096], axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(counts * 2 > len(hashes)).tobytes(), "big", signed=True)
+    # In parts, so that a very long text takes little more memory than its bytes.
+    for at in range(0, n, PART):
+        spans = zip(starts[at : min(n, at + PART)].tolist(), ends[at + k - 1 : min(n, at + PART) + k - 1].tolist(), strict=True)
+        hashes = np.frombuffer(b"".join([digest(joined[a:b], 42) for a, b in spans]), dtype=np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(hashes, axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(counts * 2 > n).tobytes(), "big", signed=True)
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
