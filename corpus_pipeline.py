@@ -32,20 +32,17 @@ def good_quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame
 def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each group of linked fingerprints stays: the smallest doc_id, a null one last.
 
-    Fingerprints are those of shingles of 3 words and link at 3 or fewer differing bits (``simhash``). A row is named by
-    its doc_id and the digest of its text, so different texts under one doc_id, or under none, are different documents,
-    and equal rows are one. Of rows that differ in other columns only, the one with the smallest lang, source and n_chars
-    stays. An empty table gives no rows.
+    Fingerprints are those of shingles of 3 words and link at 3 or fewer differing bits (``simhash``). Of rows that share
+    a doc_id the hash of the text and then lang, source and n_chars decide, and rows that agree in all of it are equal, so
+    the choice is the same in every run. Rows without an id are grouped like others. ``docs`` is read from Parquet; file
+    and row number tell equal rows apart. An empty table gives no rows.
     """
-    docs = docs.select(*COLUMNS)
-    name = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
-    named = docs.select(name.alias("doc_id"), "text")
-    found = simhash.near_duplicates(named, SHINGLE, MOST_BITS).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = found.select(F.col("doc_id.doc_id").alias("kept_id"), F.col("doc_id.digest").alias("kept_digest")).distinct()
-    rows = docs.withColumn("digest", F.sha2(F.coalesce("text", F.lit("")), 256))
-    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (F.col("digest") == F.col("kept_digest")))
-    first = F.min(F.struct("lang", "source", "n_chars", "text")).alias("row")
-    return rows.groupBy("doc_id", "digest").agg(first).select("doc_id", "row.*").select(*COLUMNS)
+    place = [F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row")]
+    rows = docs.select(*COLUMNS, *place)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("text"), "lang", "source", "n_chars", "_file", "_row")
+    found = simhash.near_duplicates(rows.select(order.alias("doc_id"), "text"), SHINGLE, MOST_BITS)
+    kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id._file", "doc_id._row")
+    return rows.join(kept, ["_file", "_row"], "left_semi").select(*COLUMNS)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
