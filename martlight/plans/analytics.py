@@ -215,6 +215,26 @@ def channel_scorecard(bank: DataFrame, spend: DataFrame, usd_to_amd: float) -> D
     )
 
 
+def scorecard_against_targets(scorecard: DataFrame, targets: DataFrame, codes: DataFrame, period: date) -> DataFrame:
+    """The scorecard with the targets of CPA and ROAS of a month and the distance from them, in percent.
+
+    Targets name channels by code; the one for all channels belongs to the grand total.
+    """
+    wanted = targets.where((F.col("period") == F.lit(period)) & (F.col("product") == "all") & F.col("metric").isin("cpa", "roas"))
+    named = wanted.join(codes.withColumnRenamed("channel_group", "_group"), F.col("channel") == F.col("channel_code"), "left")
+    label = F.when(F.col("channel") == "all", "Grand Total").otherwise(F.col("_group"))
+    per_channel = named.groupBy(label.alias("channel_group")).agg(
+        F.max(F.when(F.col("metric") == "cpa", F.col("target_value"))).alias("cpa_target_usd"),
+        F.max(F.when(F.col("metric") == "roas", F.col("target_value"))).alias("roas_target"),
+    )
+    joined = scorecard.join(per_channel, "channel_group", "left")
+    return joined.select(
+        *scorecard.columns, "cpa_target_usd", "roas_target",
+        ratio(F.col("cpa_usd") - F.col("cpa_target_usd"), F.col("cpa_target_usd"), 100).alias("cpa_vs_target_pct"),
+        ratio(F.col("roas") - F.col("roas_target"), F.col("roas_target"), 100).alias("roas_vs_target_pct"),
+    )
+
+
 def campaign_results(bank: DataFrame, spend: DataFrame) -> DataFrame:
     """Revenue, approved products and spend per campaign and channel."""
     keys = ["campaign", "channel_group"]
@@ -334,7 +354,8 @@ def segment_table(sessions: DataFrame, conversions: DataFrame) -> DataFrame:
     """Sessions, users, bounce rate and registrations by device, by user type and by city in one result.
 
     Missing values are named ``(not set)``. Registrations have no user type, so they are NULL there. The last two
-    columns are the distance of bounce rate and registration rate from those of the whole segment, in points.
+    columns are the distance of bounce rate and registration rate from those of the whole segment, in points. A value
+    that only conversions have is a row without sessions.
     """
     unset = F.lit("(not set)")
     segment = (
@@ -364,7 +385,7 @@ def segment_table(sessions: DataFrame, conversions: DataFrame) -> DataFrame:
         F.sum("registrations").alias("registrations"),
     )
     joined = web.select("segment", "name", "sessions", "users", "_bounced").join(
-        registered.select("segment", "name", "registrations"), ["segment", "name"], "left"
+        registered.select("segment", "name", "registrations"), ["segment", "name"], "full"
     )
     whole = Window.partitionBy("segment")
     bounce = ratio(F.col("_bounced"), F.col("sessions"), 100)

@@ -77,10 +77,11 @@ def test_segments_without_a_name(spark):
     day = date(2026, 2, 1)
     web = "date date, device_category string, user_type string, city string, sessions bigint, users bigint, bounced_sessions bigint"
     sessions = spark.createDataFrame([(day, None, "New", None, 4, 4, 1), (day, "mobile", "New", "Other", 4, 4, 3)], web)
-    conversions = spark.createDataFrame([(None, None, 2), ("mobile", "Other", 1)], "device_category string, city string, registrations bigint")
+    conversions = spark.createDataFrame([(None, None, 2), ("mobile", "Other", 1), ("tv", "Other", 3)], "device_category string, city string, registrations bigint")
     rows = {(r.segment, r.name): r for r in analytics.segment_table(sessions, conversions).collect()}
     assert rows["device", "(not set)"].registrations == 2 and rows["city", "(not set)"].registrations == 2
-    assert rows["city", "Other"].registrations == 1 and rows["device", "mobile"].bounce_vs_avg == 25.0
+    assert rows["device", "tv"].registrations == 3 and rows["device", "tv"].sessions is None
+    assert rows["city", "Other"].registrations == 4 and rows["device", "mobile"].bounce_vs_avg == 25.0
 
 
 def test_bank_schema_is_kept(spark, tmp_path):

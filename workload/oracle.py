@@ -841,8 +841,9 @@ add(
     "SELECT * FROM pacing",
     "monthly_budget_usd daily_budget_usd spent_usd remaining_usd needed_daily_usd current_daily_usd spent_pct pacing_pct",
 )
-add(
-    "channel_scorecard",
+CTES["card_targets"] = """SELECT metric, CAST(target AS DOUBLE) AS target, CASE WHEN channel = 'all' THEN 'Grand Total' ELSE channel_group END AS channel_group
+FROM targets LEFT JOIN code_list ON channel = channel_code WHERE product = 'all' AND metric IN ('cpa', 'roas')"""
+CTES["scorecard"] = (
     f"""SELECT level, channel_group, revenue, CAST(approved AS BIGINT) AS approved, spend_usd, {_per('spend_usd', 'approved')} AS cpa_usd,
   {_per('revenue', 'spend_usd * 400')} AS roas FROM (
   SELECT 'channel' AS level, channel_group, revenue, approved, spend_usd FROM ch
@@ -851,8 +852,16 @@ add(
         "FROM ch",
         "FROM ((SELECT channel_group, sum(total_revenue_amd) AS revenue, sum(loan_count + card_count + deposit_count) AS approved FROM bank GROUP BY 1) "
         "FULL JOIN (SELECT channel_group, sum(spend_usd) AS spend_usd FROM spend GROUP BY 1) USING (channel_group))",
-    ),
-    "revenue spend_usd cpa_usd roas",
+    )
+)
+add("channel_scorecard", "SELECT * FROM scorecard", "revenue spend_usd cpa_usd roas")
+add(
+    "channel_scorecard_targets",
+    """SELECT s.*, c.target AS cpa_target_usd, r.target AS roas_target, (cpa_usd - c.target) / c.target * 100 AS cpa_vs_target_pct,
+  (roas - r.target) / r.target * 100 AS roas_vs_target_pct
+FROM scorecard s LEFT JOIN card_targets c ON c.metric = 'cpa' AND c.channel_group = s.channel_group
+  LEFT JOIN card_targets r ON r.metric = 'roas' AND r.channel_group = s.channel_group""",
+    "revenue spend_usd cpa_usd roas cpa_target_usd roas_target cpa_vs_target_pct roas_vs_target_pct",
 )
 add(
     "top_campaigns_against_average",

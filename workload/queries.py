@@ -630,6 +630,12 @@ def channel_scorecard(i):
     return rounded(analytics.channel_scorecard(i.bank(), i.spend(), readers.USD_TO_AMD))
 
 
+@query
+def channel_scorecard_targets(i):
+    card = analytics.channel_scorecard(i.bank(), i.spend(), readers.USD_TO_AMD)
+    return rounded(analytics.scorecard_against_targets(card, i.targets(), i.codes(), date(2024, 1, 1)))
+
+
 @query
 def top_campaigns_against_average(i):
     return rounded(analytics.top_campaigns_against_average(analytics.campaign_results(i.bank(), i.spend())))
