@@ -42,7 +42,8 @@ def near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", F.xxhash64("text").alias("text"), "lang", "source", "n_chars", "_file", "_row")
     found = simhash.near_duplicates(rows.select(order.alias("doc_id"), "text"), SHINGLE, MOST_BITS)
     kept = found.where(F.col("doc_id") == F.col("component_id")).select("doc_id._file", "doc_id._row")
-    return rows.join(kept, ["_file", "_row"], "left_semi").select(*COLUMNS)
+    # As many rows as documents stay, and small when compressed, which Spark would take for a table to broadcast.
+    return rows.join(kept.hint("merge"), ["_file", "_row"], "left_semi").select(*COLUMNS)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
