@@ -1,6 +1,7 @@
 """Landed ad files of drifting types, and bank exports of which some records must not be loaded."""
 
 from datetime import date, datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from martlight.operators import merge
 from martlight.plans import bank
 from martlight.sources import readers, schemas
+from workload import queries
 
 NOW = datetime(2026, 2, 10, 6)
 HEADER = "Event _date,Event Param Value (String),Client_code,LOAN_COUNT,CARD_COUNT,LOAN_AMOUNT,Event Name\n"
@@ -63,6 +65,33 @@ def test_refused_records_are_kept_with_their_place(spark, tmp_path):
     ]
 
 
+def test_positions_of_refused_records_go_on_over_files(spark, tmp_path):
+    folder = tmp_path / "exports"
+    folder.mkdir()
+    for name, days in (("part-0", ("2026-02-01", "bad", "2026-02-02")), ("part-1", ()), ("part-2", ("bad", "2026-02-01", "bad"))):
+        (folder / name).write_text(HEADER + "".join(f"{d},{name}{n},c,1,0,10,x\n" for n, d in enumerate(days)))
+    bank.load_bank(spark, str(folder), str(tmp_path / "wh"), NOW, max_rejected=0.5)
+    kept = spark.read.schema(bank.REJECTS).parquet(str(tmp_path / "wh/rejects/bank_conversions")).collect()
+    assert sorted((r.position, r.record, r.token_id) for r in kept) == [(2, 2, "part-01"), (4, 1, "part-20"), (6, 3, "part-22")]
+
+
+def test_damaged_export_is_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    rows = [(n, n % 7, "F", 1.0 + n, date(2024, 1, 1)) for n in range(400)]
+    frame = spark.createDataFrame(rows, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate date")
+    frame.write.parquet(str(tmp_path / "orders.parquet"))
+    files = []
+    monkeypatch.setattr(queries.bank, "load_bank", lambda spark, path, *a, f=bank.load_bank, **k: files.extend(Path(path).glob("*.csv")) or f(spark, path, *a, **k))
+    small = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k"}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    got = queries.queries()["bank_load_rejects"](spark, str(tmp_path)).collect()
+    for key in small:
+        spark.conf.unset(key)
+    known = [n for n in range(400) if n % 10 != 9]
+    assert sorted((r.record, r.token_id) for r in got) == [(known.index(n) + 1, f"t{n}") for n in known if n % 40 in (1, 11)]
+    assert len(files) > 1
+
+
 def test_merge_by_buckets_equals_merge_by_days(spark, tmp_path):
     def rows(*values):
         day = [date(2026, 2, 1), date(2026, 2, 2)]
