@@ -35,9 +35,13 @@ def term_counts(text: bytes) -> np.ndarray:
 
 
 def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    """Rows of unit length: logarithm of the counts times idf."""
-    rows = np.log1p(counts) * idf
-    return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
+    """Rows of unit length: logarithm of the counts times idf. Takes little more memory than the result."""
+    rows = np.log1p(counts)
+    rows *= idf
+    for at in range(0, len(rows), 256):
+        part = rows[at : at + 256]
+        part /= np.maximum(np.linalg.norm(part, axis=1, keepdims=True), 1e-9)
+    return rows
 
 
 class Model:
@@ -56,10 +60,13 @@ class Model:
         self.basis = np.ascontiguousarray((basis @ turn.T)[:, :rank], dtype=np.float32)
         self.labels = labels.astype(np.float32)
         self.prior = float(labels.mean()) if len(labels) else 0.5
-        self.vectors = self.project(counts)
+        self.vectors = self._turned(rows)
 
     def project(self, counts: np.ndarray) -> np.ndarray:
-        rows = weighted(counts, self.idf) @ self.basis
+        return self._turned(weighted(counts, self.idf))
+
+    def _turned(self, rows: np.ndarray) -> np.ndarray:
+        rows = rows @ self.basis
         return rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-9)
 
     def scores(self, counts: np.ndarray) -> np.ndarray:

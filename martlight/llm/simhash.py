@@ -102,8 +102,9 @@ def links(fps: DataFrame, threshold: int = 3) -> DataFrame:
     )
     distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     near = (F.col("anchor") == F.col("anchor_b")) & (F.col("side") == F.col("side_b")) & (F.col("a") != F.col("b")) & (distance <= threshold)
-    # a at home, b sent: both orders occur, and either one suffices
-    return home.join(sent, near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    # a at home, b sent: both orders occur, and either one suffices. The places sent are many times the fingerprints, by
+    # whose size Spark would take them for a table to broadcast.
+    return home.hint("merge").join(sent.hint("merge"), near).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, threshold: int = 3) -> DataFrame:

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -51,3 +52,14 @@ def test_odd_rows(spark, model):
     untaught = quality.train(docs.limit(0), labels)
     assert {r.score for r in quality.score(docs, untaught).collect()} == {0.5}
     assert quality.score(docs.limit(0), model).count() == 0
+
+
+def test_learning_takes_little_more_than_the_counts_and_their_weights():
+    counts = np.random.default_rng(1).integers(0, 3, (1024, quality.TERMS)).astype(np.float32)
+    labels = np.arange(1024, dtype=np.float32) % 2
+    tracemalloc.start()
+    model = quality.Model(counts, labels)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * counts.nbytes
+    assert np.array_equal(model.vectors, model.project(counts))

@@ -68,3 +68,10 @@ def test_odd_rows(spark):
     assert [c for d, f, c in got if int(f, 16) == plain_fingerprint("a b c d")] == [None]
     assert [int(f, 16) for d, f, c in got if d == 4] == [plain_fingerprint(LONG)]
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_places_of_few_fingerprints_are_not_broadcast(spark):
+    fps = spark.createDataFrame([(n * 0x9E3779B97F4A7C15 % (1 << 63),) for n in range(50)] + [(1,), (3,)], "fp long")
+    found = simhash.links(fps)
+    assert (1, 3) in {tuple(r) for r in found.collect()}
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
