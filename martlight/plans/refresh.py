@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -24,6 +26,8 @@ from martlight.sources.readers import between_days
 
 LOOKBACK_DAYS = 7
 SUMMARY_DAYS = 30
+#: Marts written at a time: as many as there are, so that one fills the cores that another leaves idle.
+WRITERS = 10
 
 STAGED_COLUMNS = (
     "event_date", "event_name", "user_pseudo_id", "session_id", "session_number", "campaign", "engagement_time_msec",
@@ -63,6 +67,12 @@ def reason(error: Exception) -> str:
 #: Tables that need the staged events.
 EVENT_TABLES = ("dim_channel", "fact_sessions", "fact_conversions", "funnel_loans", "funnel_registration", "funnel_summary")
 
+#: The marts of a refresh, in the order of its status.
+ORDER = (
+    "dim_channel", "dim_date", "dim_product", "fact_sessions", "fact_conversions", "fact_ad_spend_google", "fact_ad_spend",
+    "funnel_loans", "funnel_registration", "funnel_summary",
+)
+
 
 def scan_figures(frame: DataFrame, name: str) -> DataFrame | None:
     """(input, files, bytes) of the files a scan reads after its pruning; None for frames that are no plain scan."""
@@ -101,7 +111,8 @@ def refresh(
 
     Every mart is written as a version that nobody reads. All checks run on these versions. A mart that was not
     written, or of which a critical check fails, keeps its published version; with ``together`` one such mart keeps
-    all as they are. A failing table is recorded and the others go on.
+    all as they are. A failing table is recorded and the others go on. Marts that do not read each other are written
+    at the same time, the ad spend while the events are staged.
 
     The columns the marts need are staged into one table of the warehouse, partitioned by day and kept across runs,
     so the nested raw events are parsed once. An incremental run stages and replaces the lookback days only, in that
@@ -114,19 +125,22 @@ def refresh(
         size_shuffles(spark, input_bytes)
     status: list[tuple] = []
     drafts: dict[str, versions.Version] = {}
+    writers = ThreadPoolExecutor(WRITERS)
+    # The write of each mart; its status and draft are taken over in the order of ``ORDER`` once all have ended.
+    started: dict[str, Future] = {}
 
     def table(name: str) -> str:
         return marts_path(warehouse, name)
 
     def attempt(name: str, mode: str, write: Callable[[], versions.Version]) -> None:
-        try:
-            draft = write()
-            rows = draft.read(spark).count()
-        except Exception as error:  # noqa: BLE001  failed reads and tasks come as errors of the JVM
-            status.append((name, mode, False, None, reason(error)))
-            return
-        drafts[name] = draft
-        status.append((name, mode, True, rows, None))
+        def run() -> tuple[tuple, versions.Version | None]:
+            try:
+                draft = write()
+                return (name, mode, True, draft.read(spark).count(), None), draft
+            except Exception as error:  # noqa: BLE001  failed reads and tasks come as errors of the JVM
+                return (name, mode, False, None, reason(error)), None
+
+        started[name] = writers.submit(inheritable_thread_target(spark)(run))
 
     dated = ("fact_sessions", "fact_conversions", "funnel_loans", "funnel_registration")
     stored = {name: versions.published(spark, table(name)) is not None for name in ("dim_channel", *dated)}
@@ -135,6 +149,26 @@ def refresh(
     since = as_of - timedelta(days=lookback_days)
     first_day = as_of - timedelta(days=max(lookback_days, SUMMARY_DAYS)) if incremental else None
 
+    if google_stats is not None:
+        attempt(
+            "fact_ad_spend_google",
+            "full",
+            lambda: versions.write(spend.fact_ad_spend_google(google_stats), table("fact_ad_spend_google")),
+        )
+    if meta_insights is not None:
+
+        def unified() -> versions.Version:
+            part = started["fact_ad_spend_google"].result()[1] if google_stats is not None else None
+            if google_stats is not None and part is None:
+                raise ValueError("the Google part was not written")
+            google = part.read(spark) if part is not None else None
+            return versions.write(spend.fact_ad_spend(google, meta_insights), table("fact_ad_spend"), "date", ("channel_group",))
+
+        attempt("fact_ad_spend", "full", unified)
+
+    attempt("dim_date", "full", lambda: versions.write(dims.dim_date(spark), table("dim_date")))
+    attempt("dim_product", "full", lambda: versions.write(dim_product(spark), table("dim_product")))
+
     seen = Observation()
     staging_path = f"{warehouse}/staging/stg_events"
     staged, staged_from = None, first_day
@@ -160,10 +194,7 @@ def refresh(
             known = read_mart(spark, warehouse, "dim_channel").select("source_clean", "channel_group")
             pairs = pairs.unionByName(known).distinct()
         attempt("dim_channel", "full", lambda: versions.write(dims.dim_channel(pairs), table("dim_channel")))
-    attempt("dim_date", "full", lambda: versions.write(dims.dim_date(spark), table("dim_date")))
-    attempt("dim_product", "full", lambda: versions.write(dim_product(spark), table("dim_product")))
 
-    if staged is not None:
         def write_dated(name: str, build: Callable[[DataFrame], DataFrame], frame: DataFrame, cluster: tuple[str, ...]):
             if full or not stored[name]:
                 attempt(name, "full", lambda: versions.write(build(frame), table(name), "date", cluster))
@@ -174,23 +205,6 @@ def refresh(
         write_dated("fact_sessions", facts.fact_sessions, staged, facts.CLUSTER)
         write_dated("fact_conversions", lambda frame: facts.fact_conversions(frame, conversions), clean, facts.CLUSTER)
 
-    if google_stats is not None:
-        attempt(
-            "fact_ad_spend_google",
-            "full",
-            lambda: versions.write(spend.fact_ad_spend_google(google_stats), table("fact_ad_spend_google")),
-        )
-    if meta_insights is not None:
-
-        def unified() -> versions.Version:
-            if google_stats is not None and "fact_ad_spend_google" not in drafts:
-                raise ValueError("the Google part was not written")
-            google = drafts["fact_ad_spend_google"].read(spark) if google_stats is not None else None
-            return versions.write(spend.fact_ad_spend(google, meta_insights), table("fact_ad_spend"), "date", ("channel_group",))
-
-        attempt("fact_ad_spend", "full", unified)
-
-    if staged is not None:
         write_dated("funnel_loans", lambda frame: funnel(frame, LOANS), clean, ("channel_group",))
         write_dated("funnel_registration", lambda frame: funnel(frame, REGISTRATION), clean, facts.CLUSTER)
         attempt(
@@ -199,6 +213,13 @@ def refresh(
             lambda: versions.write(funnel_summary(clean, as_of, SUMMARY_DAYS), table("funnel_summary")),
         )
 
+    writers.shutdown()
+    for name in (n for n in ORDER if n in started):
+        row, draft = started[name].result()
+        status.append(row)
+        if draft is not None:
+            drafts[name] = draft
+
     status_rows = spark.createDataFrame(status, STATUS_SCHEMA)
     expected = len(EVENT_TABLES) + len(("dim_date", "dim_product")) + (google_stats is not None) + (meta_insights is not None)
 

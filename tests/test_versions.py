@@ -1,5 +1,6 @@
 """Versioned tables, and refreshes that publish only what passes its checks."""
 
+import threading
 from datetime import date, timedelta
 
 import pytest
@@ -122,3 +123,27 @@ def test_scanned_files_fall_with_the_days(spark, small, tmp_path):
     assert (first.input, first.files, first.mode) == ("events", 30, "full") and (second.files, second.mode) == (7, "incremental")
     assert 0 < second.bytes < first.bytes and second["rows"] < first["rows"]
     assert spark.read.parquet(str(tmp_path / "w/runs")).count() == 2
+
+
+def test_marts_are_written_at_the_same_time(spark, small, tmp_path, monkeypatch):
+    """The ad spend is being written while the events are staged; the status keeps its order."""
+    spending, staging_begun = threading.Event(), threading.Event()
+    write, stage = refreshes.versions.write, refreshes.stg_events
+
+    def held(df, path, *rest):
+        if path.endswith("fact_ad_spend_google"):
+            spending.set()
+            assert staging_begun.wait(30)
+        return write(df, path, *rest)
+
+    def begun(*args, **options):
+        assert spending.wait(30)
+        staging_begun.set()
+        return stage(*args, **options)
+
+    monkeypatch.setattr(refreshes.versions, "write", held)
+    monkeypatch.setattr(refreshes, "stg_events", begun)
+    google, meta = given.google_ads_stats(spark, small), given.meta_insights(spark, small)
+    outcome = refreshes.refresh(spark, given.raw_events(spark, small), str(tmp_path / "lake"), given.AS_OF, google_stats=google, meta_insights=meta)
+    status = outcome.status.collect()
+    assert [r["table"] for r in status] == list(refreshes.ORDER) and all(r["ok"] for r in status)
