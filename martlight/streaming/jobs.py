@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from martlight.functions.classify import Site
 from martlight.operators.sinks import metrics, replace_days
@@ -17,7 +18,7 @@ LATE = "7 days"
 GAP = "30 minutes"
 
 
-def event_stream(spark: SparkSession, path: str, schema: str = schemas.EVENTS, files_per_batch: int | None = None) -> DataFrame:
+def event_stream(spark: SparkSession, path: str, schema: str | StructType = schemas.EVENTS, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

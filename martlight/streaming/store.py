@@ -38,10 +38,9 @@ def _open(spark: SparkSession, store: str, schema: str) -> DataFrame:
     return spark.read.schema(_without_batch(schema)).parquet(f"{store}/open")
 
 
-def _covered(spark: SparkSession, version: versions.Version | None) -> DataFrame:
+def _covered(spark: SparkSession, version: versions.Version) -> DataFrame:
     """(_day, _upto) of the compacted days."""
-    entries = version.entries if version else ()
-    return spark.createDataFrame([(e.day or NO_DAY, e.upto) for e in entries], "_day string, _upto long")
+    return spark.createDataFrame([(e.day or NO_DAY, e.upto) for e in version.entries], "_day string, _upto long")
 
 
 def read(spark: SparkSession, store: str, day: str, schema: str, keys: tuple[str, ...] = (), days: list[str] | None = None) -> DataFrame:
@@ -53,11 +52,12 @@ def read(spark: SparkSession, store: str, day: str, schema: str, keys: tuple[str
     later = _open(spark, store, schema)
     if days is not None:
         later = later.where(F.col(day).cast("string").isin(days))
-    # One row for each compacted day.
-    marks = F.broadcast(_covered(spark, version))
-    later = later.join(marks, F.coalesce(F.col(day).cast("string"), F.lit(NO_DAY)) == F.col("_day"), "left")
-    rows = later.where(F.col("_upto").isNull() | (F.col("batch") > F.col("_upto"))).drop("_day", "_upto")
+    rows = later
     if version is not None:
+        # One row for each compacted day.
+        marks = F.broadcast(_covered(spark, version))
+        later = later.join(marks, F.coalesce(F.col(day).cast("string"), F.lit(NO_DAY)) == F.col("_day"), "left")
+        rows = later.where(F.col("_upto").isNull() | (F.col("batch") > F.col("_upto"))).drop("_day", "_upto")
         closed = version.read(spark)
         if days is not None:
             closed = closed.where(F.col(day).cast("string").isin(days))

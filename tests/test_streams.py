@@ -1,3 +1,7 @@
+import shutil
+from datetime import datetime
+
+import pytest
 from pyspark.sql import functions as F
 
 from martlight.operators.sessions import inactivity_sessions
@@ -5,6 +9,7 @@ from martlight.plans import facts, staging
 from martlight.streaming import jobs, windows
 from martlight.streaming import store as stores
 from workload import adapters as given
+from workload import queries
 
 
 def test_fact_stream_in_batches_equals_batch(spark, small, tmp_path):
@@ -121,3 +126,26 @@ def test_fact_stream_with_compaction(spark, small, tmp_path):
     want = facts.fact_sessions(staging.stg_events(raw, given.SITE))
     again = facts.fact_sessions(staging.stg_events(jobs.stored_events(spark, store), given.SITE))
     assert again.exceptAll(want).count() == 0 and want.exceptAll(again).count() == 0
+
+
+@pytest.mark.parametrize("form", ["file", "folder"])
+def test_streams_read_the_given_table_without_a_copy(spark, tmp_path, monkeypatch, form):
+    """The stream takes the files of the table as they are, one file or several; only its own results are written."""
+    rows = [(n % 40, datetime(2024, 1, 1 + n % 3, n % 24), n % 5, ("click", "view", None)[n % 3], 1.5 * n, f'{{"k": {n}}}') for n in range(60)]
+    rows += rows[:7] + [(None, datetime(2024, 1, 2), None, "view", None, None)]
+    folder, parts = tmp_path / "in", str(tmp_path / "parts")
+    folder.mkdir()
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).repartition(1 if form == "file" else 3).write.parquet(parts)
+    if form == "file":
+        shutil.copy(next((tmp_path / "parts").glob("part-*")), folder / "events.parquet")
+    else:
+        shutil.copytree(parts, folder / "events.parquet")
+    # A neighbour that is not the table.
+    shutil.copytree(parts, folder / "events.parquet2")
+    monkeypatch.setattr(queries, "work_path", lambda spark, name: str(tmp_path / "work" / name))
+    got = queries.queries()["stream_compacted_store"](spark, str(folder))
+    want = facts.fact_sessions(staging.stg_events(given.raw_events(spark, str(folder)), given.SITE))
+    assert want.agg(F.sum("pageviews")).first()[0] > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert sorted(p.name for p in (tmp_path / "work").iterdir()) == ["checkpoint", "store", "stream-fact"]

@@ -11,6 +11,7 @@ from martlight.functions.classify import Site
 from martlight.sources.literals import channel_codes
 from martlight.sources.readers import literal_table
 from martlight.sources.schemas import MONTHLY_BUDGETS, MONTHLY_TARGETS
+from martlight.streaming.jobs import event_stream
 
 AS_OF = date(2024, 1, 31)
 LOADED_AT = datetime(2024, 1, 31, 6, 0, 0)
@@ -85,7 +86,18 @@ def _param(key: str, text: str = "CAST(NULL AS STRING)", number: str = "CAST(NUL
 
 def raw_events(spark: SparkSession, folder: str) -> DataFrame:
     """The nested raw event shape from the events table."""
-    base = table(spark, folder, "events").selectExpr(
+    return raw_shape(table(spark, folder, "events"))
+
+
+def raw_event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows as a stream that reads the files of the events table."""
+    schema = table(spark, folder, "events").schema
+    # A pattern that matches the name only: the source takes a plain path for a folder, and a table may be one file.
+    return raw_shape(event_stream(spark, f"{folder}/events.parque[t]", schema))
+
+
+def raw_shape(events: DataFrame) -> DataFrame:
+    base = events.selectExpr(
         "event_id",
         "user_id",
         "event_type",

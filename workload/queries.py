@@ -1034,15 +1034,9 @@ def empty_spend_table(i):
     return rounded(stored.groupBy("date", "channel_group").agg(F.sum("spend_usd").alias("spend_usd"), F.count(F.lit(1)).alias("rows")))
 
 
-def _stored_events(i) -> str:
-    path = work_path(i.spark, "raw-events")
-    given.raw_events(i.spark, i.folder).write.parquet(path)
-    return path
-
-
 def _open_windows(i, build) -> str:
     store = work_path(i.spark, "windows")
-    staged = jobs.staged_stream(jobs.event_stream(i.spark, _stored_events(i)), given.SITE)
+    staged = jobs.staged_stream(given.raw_event_stream(i.spark, i.folder), given.SITE)
     windows.write_open(build(staged), store, work_path(i.spark, "checkpoint")).awaitTermination()
     return store
 
@@ -1072,7 +1066,7 @@ def stream_sessions(i):
 def stream_compacted_store(i):
     """The session fact rebuilt from the store of a stream after two compactions, which remove the folders of batches."""
     store = work_path(i.spark, "store")
-    raw = jobs.event_stream(i.spark, _stored_events(i))
+    raw = given.raw_event_stream(i.spark, i.folder)
     jobs.refresh_session_fact(raw, store, work_path(i.spark, "stream-fact"), work_path(i.spark, "checkpoint"), given.SITE).awaitTermination()
     for _ in range(2):
         jobs.compact_events(i.spark, store, "99999999", running=False)
@@ -1083,7 +1077,7 @@ def stream_compacted_store(i):
 def stream_fact_sessions(i):
     """The session fact kept up to date by a stream, exact."""
     fact = work_path(i.spark, "stream-fact")
-    raw = jobs.event_stream(i.spark, _stored_events(i))
+    raw = given.raw_event_stream(i.spark, i.folder)
     jobs.refresh_session_fact(raw, work_path(i.spark, "store"), fact, work_path(i.spark, "checkpoint"), given.SITE).awaitTermination()
     return i.spark.read.parquet(fact)
 
